@@ -39,8 +39,8 @@ def number_swipes(log: DataFrame, *, max_rows_per_segment: int | None = DEFAULT_
     """
     df = (log.filter(F.col("employee_id").isNotNull() & F.col("action").isin("In", "Out"))
              .withColumn("_day", F.coalesce(F.to_date("created_at"), F.lit(_NULL_DAY).cast("date"))))
-    df = add_segments(df, KEYS, "created_at", "_day", max_rows_per_segment, broadcast_rows)
-    return number_in_sequence(df, KEYS, "created_at", ["_day", SEGMENT]).drop("_day", SEGMENT)
+    df, seg_cols = add_segments(df, KEYS, "created_at", "_day", max_rows_per_segment, broadcast_rows)
+    return number_in_sequence(df, KEYS, "created_at", seg_cols).drop("_day", SEGMENT)
 
 
 def pair_swipes(log: DataFrame, **kw) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
 from ..functions.numeric import MEAN_TYPE, mean16
-from .sequence import DEFAULT_SEGMENT_ROWS, SEGMENT, add_segments, lead_in_sequence
+from .sequence import DEFAULT_SEGMENT_ROWS, add_segments, lead_in_sequence
 
 PAIR = ["store_id", "sku_id"]
 
@@ -37,8 +37,9 @@ def inventory_movement(snap: DataFrame, store_city: DataFrame, *,
         F.col("l2_category_id").alias("sub_category_id"),
         "sku_name", "brand_id", "brand", "image_url", "mrp", "selling_price",
         "city_name", "inventory")
-    m = add_segments(m, PAIR, "created_at", "event_date", max_rows_per_segment, broadcast_rows)
-    moved = lead_in_sequence(m, PAIR, "created_at", ["inventory"], ["event_date", SEGMENT])
+    m, seg_cols = add_segments(m, PAIR, "created_at", "event_date", max_rows_per_segment,
+                               broadcast_rows)
+    moved = lead_in_sequence(m, PAIR, "created_at", ["inventory"], seg_cols)
     return moved.withColumn("next_event_time", F.col("next_created_at").cast("timestamp_ntz")) \
                 .drop("next_created_at")
 

@@ -35,15 +35,18 @@ def _micros_into_day(ts: Column) -> Column:
 
 def add_segments(df: DataFrame, keys: list[str], ts_col: str, day_col: str,
                  max_rows: int | None = DEFAULT_SEGMENT_ROWS,
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, list[str]]:
     """Add ``segment``: 0, or for (keys, day) groups above ``max_rows`` rows the
     index of an equal-width time slice of the day (ceil(rows / max_rows) slices).
 
+    Returns the frame and the segment columns to partition on: ``[day_col]``
+    when no group is hot (a constant column would be folded out of the
+    partitioning and cost an extra exchange), else ``[day_col, "segment"]``.
     The hot-group table has at most total_rows / max_rows rows; its size is
     still checked before it is broadcast.
     """
     if not max_rows:
-        return df.withColumn(SEGMENT, F.lit(0))
+        return df.withColumn(SEGMENT, F.lit(0)), [day_col]
     hot = (df.groupBy(*keys, day_col).count()
              .filter(F.col("count") > max_rows)
              .select(*keys, day_col, F.ceil(F.col("count") / max_rows).cast("int").alias("_slices"))
@@ -51,11 +54,12 @@ def add_segments(df: DataFrame, keys: list[str], ts_col: str, day_col: str,
     n_hot = hot.count()
     if n_hot == 0:
         hot.unpersist()
-        return df.withColumn(SEGMENT, F.lit(0))
+        return df.withColumn(SEGMENT, F.lit(0)), [day_col]
     side = F.broadcast(hot) if n_hot <= broadcast_rows else hot
     sl = F.floor(_micros_into_day(F.col(ts_col)) * F.col("_slices") / F.lit(_DAY_MICROS))
     seg = F.coalesce(F.least(sl, F.col("_slices") - 1), F.lit(0)).cast("int")
-    return df.join(side, keys + [day_col], "left").withColumn(SEGMENT, seg).drop("_slices")
+    out = df.join(side, keys + [day_col], "left").withColumn(SEGMENT, seg).drop("_slices")
+    return out, [day_col, SEGMENT]
 
 
 def lead_in_sequence(df: DataFrame, keys: list[str], order_col: str, values: list[str],
@@ -67,24 +71,27 @@ def lead_in_sequence(df: DataFrame, keys: list[str], order_col: str, values: lis
     in-segment LEAD of ``order_col`` is NULL.
     """
     part = keys + seg_cols
-    dfp = df.repartition(*part)
     w = Window.partitionBy(*part).orderBy(order_col)
-    local = dfp.withColumn("_lead_at", F.lead(order_col).over(w))
+    local = df.withColumn("_lead_at", F.lead(order_col).over(w))
     for v in values:
         local = local.withColumn(f"_lead_{v}", F.lead(v).over(w))
-    firsts = dfp.groupBy(*part).agg(
-        F.min_by(F.struct(F.col(order_col).alias("at"), *[F.col(v) for v in values]),
-                 F.col(order_col)).alias("_first"))
-    patch = firsts.select(*part, F.lead("_first").over(
-        Window.partitionBy(*keys).orderBy(*seg_cols)).alias("_next"))
+    # First row of every segment: a hash aggregate with map-side partial
+    # aggregation over the pruned columns, so its shuffle is one row per
+    # segment per task.
+    firsts = df.groupBy(*part).agg(
+        F.min(order_col).alias("_at"), *[F.min_by(v, order_col).alias(f"_v_{v}") for v in values])
+    ws = Window.partitionBy(*keys).orderBy(*seg_cols)
+    patch = firsts.select(*part, F.lead("_at").over(ws).alias("_next_at"),
+                          *[F.lead(f"_v_{v}").over(ws).alias(f"_next_{v}") for v in values])
     out = local.join(patch, part, "left")
     last = F.col("_lead_at").isNull()
     out = out.withColumn(f"{prefix}{order_col}",
-                         F.when(last, F.col("_next.at")).otherwise(F.col("_lead_at")))
+                         F.when(last, F.col("_next_at")).otherwise(F.col("_lead_at")))
     for v in values:
         out = out.withColumn(f"{prefix}{v}",
-                             F.when(last, F.col(f"_next.{v}")).otherwise(F.col(f"_lead_{v}")))
-    return out.drop("_lead_at", "_next", *[f"_lead_{v}" for v in values])
+                             F.when(last, F.col(f"_next_{v}")).otherwise(F.col(f"_lead_{v}")))
+    return out.drop("_lead_at", "_next_at", *[f"_lead_{v}" for v in values],
+                    *[f"_next_{v}" for v in values])
 
 
 def number_in_sequence(df: DataFrame, keys: list[str], order_col: str, seg_cols: list[str],
@@ -96,10 +103,9 @@ def number_in_sequence(df: DataFrame, keys: list[str], order_col: str, seg_cols:
     segment (callers map a NULL day to a sentinel that sorts last).
     """
     part = keys + seg_cols
-    dfp = df.repartition(*part)
-    local = dfp.withColumn("_local_rn", F.row_number().over(
+    local = df.withColumn("_local_rn", F.row_number().over(
         Window.partitionBy(*part).orderBy(pg_asc(order_col))))
-    sizes = dfp.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
     before = (Window.partitionBy(*keys).orderBy(*seg_cols)
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = sizes.select(*part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))

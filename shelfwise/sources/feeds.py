@@ -89,3 +89,52 @@ def attendance_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
                   action.alias("action"),
                   F.col("ts").alias("created_at")))
     return _conform(df, ATTENDANCE_SCHEMA)
+
+
+def bulk_snapshot_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Larger inventory_snapshots from ``lineitem`` (bench input; FIXTURES.md section 3).
+
+    created_at = ship date + (order key % 24) hours, store = supplier,
+    sku = part size; rows are reduced to one per (created_at, sku, store) key
+    (max quantity as stock) because the declared key is unique.
+    """
+    li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey",
+                                                   "l_quantity", "l_shipdate")
+    part = _table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    rows = (li.join(part, li.l_partkey == part.p_partkey, "inner")
+              .select((F.col("l_shipdate").cast("timestamp")
+                       + F.make_dt_interval(F.lit(0), F.col("l_orderkey") % 24)).alias("created_at"),
+                      F.col("l_suppkey").alias("store_id"),
+                      F.col("p_size").cast("long").alias("sku_id"),
+                      F.col("l_quantity"), F.col("l_orderkey")))
+    snap = (rows.groupBy("created_at", "sku_id", "store_id")
+                .agg(F.max("l_quantity").cast("int").alias("inventory"),
+                     F.min("l_orderkey").alias("_o")))
+    sku = F.col("sku_id")
+    df = snap.select(
+        "created_at", (sku % 5).alias("l1_category_id"), sku.alias("l2_category_id"),
+        "store_id", "sku_id", F.concat(F.lit("size_"), sku.cast("string")).alias("sku_name"),
+        (F.lit(90) + F.lit(5) * (F.col("_o") % 3)).alias("selling_price"),
+        (F.lit(100) + F.lit(10) * (F.col("store_id") % 3)).alias("mrp"),
+        "inventory", F.lit("img").alias("image_url"), (sku % 7).alias("brand_id"),
+        F.concat(F.lit("brand_"), (sku % 7).cast("string")).alias("brand"), F.lit("unit").alias("unit"))
+    return _conform(df, SNAPSHOT_SCHEMA)
+
+
+def bulk_store_city_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """store_city for the bulk feed: supplier key -> nation name."""
+    s = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    n = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    df = (s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey, "left")
+          .select(F.col("s_suppkey").alias("store_id"), F.col("n_name").alias("city_name")))
+    return _conform(df, STORE_CITY_SCHEMA)
+
+
+def bulk_category_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """category_dim for the bulk feed: one row per part size."""
+    sizes = _table(spark, sf_dir, "part").select(F.col("p_size").cast("long").alias("s")).distinct()
+    df = sizes.select(F.concat(F.lit("group_"), (F.col("s") % 5).cast("string")).alias("l1_category"),
+                      (F.col("s") % 5).alias("l1_category_id"),
+                      F.concat(F.lit("size_"), F.col("s").cast("string")).alias("l2_category"),
+                      F.col("s").alias("l2_category_id"))
+    return _conform(df, CATEGORY_SCHEMA)
