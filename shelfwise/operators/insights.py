@@ -86,8 +86,14 @@ def city_insights(agg: DataFrame, totals: DataFrame, categories: DataFrame, *,
     Sales use the unrounded units times the modal price; availability and
     discount are guarded ratios rounded to 2 places.  Unsorted: sort at read
     (``plans.city_insights.ordered``).
+
+    ``totals`` is derived from the snapshots, so counting it up front would
+    cost a pass over them: its join is left to AQE, which broadcasts it only
+    if its materialised shuffle output is under the adaptive broadcast
+    threshold and otherwise keeps the sort-merge join.  The category table is
+    a base table and is counted before it is broadcast.
     """
-    t = sized_broadcast(totals, broadcast_rows)
+    t = totals
     c = sized_broadcast(categories.select(
         F.col("l2_category_id").alias("_l2"),
         F.col("l1_category").alias("category_name"),

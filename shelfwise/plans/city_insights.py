@@ -7,13 +7,18 @@ Shuffle plan (see README):
   3. daily grain -> modal prices, store totals, (store, sku) means and the
      city roll-up: shuffles of pre-aggregated rows only;
   4. totals and categories join by size-checked broadcast.
-The daily grain is read by three branches; Spark reuses its exchange, and
-``checkpoint_daily`` writes it to the cluster's checkpoint folder instead so a
-lost executor does not send the build back to the snapshot scan.
+The daily grain is read by three branches.  By default it is checkpointed to
+the cluster's shared checkpoint folder (``spark.checkpoint.dir``): the
+lineage is cut right after the only full-data shuffle, so a lost executor
+does not send the build back to the snapshot scan, and the branches read the
+checkpoint instead of re-scanning snapshot columns.  With
+``checkpoint_daily=False`` the plan stays one lazy query and Catalyst prunes
+each branch back to the columns it needs.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ..functions.joins import DEFAULT_BROADCAST_ROWS
@@ -29,12 +34,16 @@ from ..sources.tables import create_table_if_absent
 def build_daily(snap: DataFrame, store_city: DataFrame, *,
                 max_rows_per_segment: int | None = DEFAULT_SEGMENT_ROWS,
                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                checkpoint_daily: bool = False) -> DataFrame:
+                checkpoint_daily: bool = True) -> DataFrame:
     moves = inventory_movement(snap, store_city, max_rows_per_segment=max_rows_per_segment,
                                broadcast_rows=broadcast_rows)
     daily = daily_grain(direct_sales(moves))
     if checkpoint_daily:
-        checkpoint_dir(daily.sparkSession)
+        try:
+            checkpoint_dir(daily.sparkSession)
+        except RuntimeError:
+            # no shared checkpoint folder configured: keep the reuse, lose the lineage cut
+            return daily.persist(StorageLevel.MEMORY_AND_DISK)
         daily = daily.checkpoint(eager=True)
     return daily
 
@@ -43,7 +52,7 @@ def build_city_insights(snap: DataFrame, store_city: DataFrame, categories: Data
                         dedupe: bool = False,
                         max_rows_per_segment: int | None = DEFAULT_SEGMENT_ROWS,
                         broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                        checkpoint_daily: bool = False) -> DataFrame:
+                        checkpoint_daily: bool = True) -> DataFrame:
     """city_insights from the three input tables (unsorted)."""
     daily = build_daily(snap, store_city, max_rows_per_segment=max_rows_per_segment,
                         broadcast_rows=broadcast_rows, checkpoint_daily=checkpoint_daily)
