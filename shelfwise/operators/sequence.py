@@ -36,8 +36,9 @@ def _micros_into_day(ts: Column) -> Column:
 def add_segments(df: DataFrame, keys: list[str], ts_col: str, day_col: str,
                  max_rows: int | None = DEFAULT_SEGMENT_ROWS,
                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, list[str]]:
-    """Add ``segment``: 0, or for (keys, day) groups above ``max_rows`` rows the
-    index of an equal-width time slice of the day (ceil(rows / max_rows) slices).
+    """Add ``segment``: 0, or for a (keys, day) group above ``max_rows`` rows the
+    index of an equal-width slice of the group's own time span that day
+    (ceil(rows / max_rows) slices, so a burst is cut as finely as a spread-out day).
 
     Returns the frame and the segment columns to partition on: ``[day_col]``
     when no group is hot (a constant column would be folded out of the
@@ -47,18 +48,24 @@ def add_segments(df: DataFrame, keys: list[str], ts_col: str, day_col: str,
     """
     if not max_rows:
         return df.withColumn(SEGMENT, F.lit(0)), [day_col]
-    hot = (df.groupBy(*keys, day_col).count()
-             .filter(F.col("count") > max_rows)
-             .select(*keys, day_col, F.ceil(F.col("count") / max_rows).cast("int").alias("_slices"))
+    micros = _micros_into_day(F.col(ts_col))
+    hot = (df.groupBy(*keys, day_col)
+             .agg(F.count(F.lit(1)).alias("_rows"), F.min(micros).alias("_lo"),
+                  F.max(micros).alias("_hi"))
+             .filter(F.col("_rows") > max_rows)
+             .select(*keys, day_col, "_lo", "_hi",
+                     F.ceil(F.col("_rows") / max_rows).cast("long").alias("_slices"))
              .cache())
     n_hot = hot.count()
     if n_hot == 0:
         hot.unpersist()
         return df.withColumn(SEGMENT, F.lit(0)), [day_col]
     side = F.broadcast(hot) if n_hot <= broadcast_rows else hot
-    sl = F.floor(_micros_into_day(F.col(ts_col)) * F.col("_slices") / F.lit(_DAY_MICROS))
-    seg = F.coalesce(F.least(sl, F.col("_slices") - 1), F.lit(0)).cast("int")
-    out = df.join(side, keys + [day_col], "left").withColumn(SEGMENT, seg).drop("_slices")
+    width = F.col("_hi") - F.col("_lo") + 1
+    sl = F.floor((micros - F.col("_lo")) * F.col("_slices") / width)
+    seg = F.coalesce(F.least(F.greatest(sl, F.lit(0)), F.col("_slices") - 1), F.lit(0)).cast("int")
+    out = (df.join(side, keys + [day_col], "left").withColumn(SEGMENT, seg)
+             .drop("_lo", "_hi", "_slices"))
     return out, [day_col, SEGMENT]
 
 
