@@ -46,7 +46,8 @@ def add_segments(df: DataFrame, keys: list[str], ts_col: str, day_col: str,
     The hot-group table has at most total_rows / max_rows rows; its size is
     still checked before it is broadcast.
     """
-    if not max_rows:
+    if not max_rows or df.limit(max_rows + 1).count() <= max_rows:
+        # no group can be larger than the whole input: skip the counting pass
         return df.withColumn(SEGMENT, F.lit(0)), [day_col]
     micros = _micros_into_day(F.col(ts_col))
     hot = (df.groupBy(*keys, day_col)

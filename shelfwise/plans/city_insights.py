@@ -7,8 +7,8 @@ Shuffle plan (see README):
   3. daily grain -> modal prices, store totals, (store, sku) means and the
      city roll-up: shuffles of pre-aggregated rows only;
   4. totals and categories join by size-checked broadcast.
-The daily grain is read by three branches.  By default it is checkpointed to
-the cluster's shared checkpoint folder (``spark.checkpoint.dir``): the
+The daily grain is read by three branches.  By default it is written as
+Parquet to the cluster's shared checkpoint folder (``spark.checkpoint.dir``): the
 lineage is cut right after the only full-data shuffle, so a lost executor
 does not send the build back to the snapshot scan, and the branches read the
 checkpoint instead of re-scanning snapshot columns.  With
@@ -18,6 +18,8 @@ each branch back to the columns it needs.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
@@ -39,12 +41,18 @@ def build_daily(snap: DataFrame, store_city: DataFrame, *,
                                broadcast_rows=broadcast_rows)
     daily = daily_grain(direct_sales(moves))
     if checkpoint_daily:
+        spark = daily.sparkSession
         try:
-            checkpoint_dir(daily.sparkSession)
+            folder = checkpoint_dir(spark)
         except RuntimeError:
             # no shared checkpoint folder configured: keep the reuse, lose the lineage cut
             return daily.persist(StorageLevel.MEMORY_AND_DISK)
-        daily = daily.checkpoint(eager=True)
+        # A written Parquet table rather than Dataset.checkpoint(): one pass
+        # (an eager RDD checkpoint of an unpersisted plan computes it twice),
+        # columnar, so each reader prunes to its columns.
+        path = f"{folder.rstrip('/')}/shelfwise/daily_grain/{uuid.uuid4().hex}"
+        daily.write.parquet(path)
+        daily = spark.read.parquet(path)
     return daily
 
 

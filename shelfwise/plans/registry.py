@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import analyses, attendance, insights, movement, pricing, quality
-from ..session import checkpoint_dir
+from ..session import staging_dir
 from ..sources import csv_io, feeds, schemas
 from .city_insights import build_city_insights, build_daily
 from .oracle import WINDOW_END, WINDOW_START
@@ -140,8 +140,8 @@ def key_violations(spark, sf_dir):
 
 
 def csv_round_trip(spark, sf_dir):
-    """Snapshots written as CSV under the cluster's checkpoint folder and loaded back."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/csv_round_trip/{uuid.uuid4().hex}"
+    """Snapshots written as CSV under the cluster's shared staging folder and loaded back."""
+    path = f"{staging_dir(spark).rstrip('/')}/csv_round_trip/{uuid.uuid4().hex}"
     snap = feeds.snapshot_feed(spark, sf_dir)
     return comparable(csv_io.csv_round_trip(snap, path, schemas.SNAPSHOT_SCHEMA))
 

@@ -53,3 +53,12 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
+
+
+def staging_dir(spark: SparkSession) -> str:
+    """Shared folder for intermediate files: the checkpoint folder, else the
+    session's warehouse folder (both are locations the cluster names)."""
+    try:
+        return checkpoint_dir(spark)
+    except RuntimeError:
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shelfwise_staging"
