@@ -13,11 +13,12 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``max_rows`` rows.
 
-    The count runs as its own (cheap, distributed) job on the small side.  If
-    the side is larger, it is returned unhinted: the join becomes a shuffle
-    join, and AQE may still convert it from runtime statistics.
+    The count runs as its own distributed job on that side (partial counts per
+    task; not ``limit(n).count()``, whose global limit funnels up to n rows
+    per partition through one task).  If the side is larger, it is returned
+    unhinted: the join becomes a shuffle join, and AQE may still convert it
+    from runtime statistics.
     """
     if max_rows <= 0:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df

@@ -37,9 +37,11 @@ def number_swipes(log: DataFrame, *, max_rows_per_segment: int | None = DEFAULT_
     Other actions and swipes without an employee never pair, so they are
     filtered before the shuffle.
     """
+    bound = log.count() if max_rows_per_segment else None
     df = (log.filter(F.col("employee_id").isNotNull() & F.col("action").isin("In", "Out"))
              .withColumn("_day", F.coalesce(F.to_date("created_at"), F.lit(_NULL_DAY).cast("date"))))
-    df, seg_cols = add_segments(df, KEYS, "created_at", "_day", max_rows_per_segment, broadcast_rows)
+    df, seg_cols = add_segments(df, KEYS, "created_at", "_day", max_rows_per_segment, broadcast_rows,
+                                row_bound=bound)
     return number_in_sequence(df, KEYS, "created_at", seg_cols).drop("_day", SEGMENT)
 
 

@@ -37,8 +37,9 @@ def inventory_movement(snap: DataFrame, store_city: DataFrame, *,
         F.col("l2_category_id").alias("sub_category_id"),
         "sku_name", "brand_id", "brand", "image_url", "mrp", "selling_price",
         "city_name", "inventory")
+    bound = snap.count() if max_rows_per_segment else None
     m, seg_cols = add_segments(m, PAIR, "created_at", "event_date", max_rows_per_segment,
-                               broadcast_rows)
+                               broadcast_rows, row_bound=bound)
     moved = lead_in_sequence(m, PAIR, "created_at", ["inventory"], seg_cols)
     return moved.withColumn("next_event_time", F.col("next_created_at").cast("timestamp_ntz")) \
                 .drop("next_created_at")

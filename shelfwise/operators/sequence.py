@@ -35,7 +35,8 @@ def _micros_into_day(ts: Column) -> Column:
 
 def add_segments(df: DataFrame, keys: list[str], ts_col: str, day_col: str,
                  max_rows: int | None = DEFAULT_SEGMENT_ROWS,
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, list[str]]:
+                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                 row_bound: int | None = None) -> tuple[DataFrame, list[str]]:
     """Add ``segment``: 0, or for a (keys, day) group above ``max_rows`` rows the
     index of an equal-width slice of the group's own time span that day
     (ceil(rows / max_rows) slices, so a burst is cut as finely as a spread-out day).
@@ -44,10 +45,12 @@ def add_segments(df: DataFrame, keys: list[str], ts_col: str, day_col: str,
     when no group is hot (a constant column would be folded out of the
     partitioning and cost an extra exchange), else ``[day_col, "segment"]``.
     The hot-group table has at most total_rows / max_rows rows; its size is
-    still checked before it is broadcast.
+    still checked before it is broadcast.  ``row_bound``, an upper bound on
+    the rows of ``df`` (e.g. the count of the unfiltered source table, which
+    Parquet answers from file footers), skips the counting pass when no group
+    can be hot.
     """
-    if not max_rows or df.limit(max_rows + 1).count() <= max_rows:
-        # no group can be larger than the whole input: skip the counting pass
+    if not max_rows or (row_bound is not None and row_bound <= max_rows):
         return df.withColumn(SEGMENT, F.lit(0)), [day_col]
     micros = _micros_into_day(F.col(ts_col))
     hot = (df.groupBy(*keys, day_col)
