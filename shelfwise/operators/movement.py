@@ -60,13 +60,16 @@ def avg_historical_sales(sales: DataFrame) -> DataFrame:
                  .select(*PAIR, mean16(F.col("_s"), F.col("_n")).alias("avg_sold")))
 
 
-def estimated_qty(sales: DataFrame, *, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def estimated_qty(sales: DataFrame) -> DataFrame:
     """Per snapshot: the direct drop, else on a rise the (store, sku) mean drop (0 if none), else 0.
 
     Row-level form.  The insights build uses the same rule aggregated per day
-    (``insights.daily_grain``) and never materialises this per row.
+    (``insights.daily_grain``) and never materialises this per row.  The means
+    are derived from ``sales`` itself, so they are not counted up front (that
+    would run the LEAD twice): AQE broadcasts them if their shuffle output is
+    small, else the sort-merge join splits a hot (store, sku) partition.
     """
-    avg = sized_broadcast(avg_historical_sales(sales), broadcast_rows)
+    avg = avg_historical_sales(sales)
     est = (F.when(F.col("direct_qty_sold").isNotNull(), F.col("direct_qty_sold").cast(MEAN_TYPE))
              .when(F.col("next_inventory") > F.col("inventory"),
                    F.coalesce(F.col("avg_sold"), F.lit(0).cast(MEAN_TYPE)))
