@@ -40,6 +40,15 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(cols)
 
 
+def nullable_counts(df: DataFrame, *cols: str) -> DataFrame:
+    """Integer columns that hold NULLs, shown as DOUBLE (exact below 2^53).
+
+    pandas turns a nullable BIGINT into float64 from Spark but Int64 from
+    DuckDB; DOUBLE reads the same from both engines however it is collected.
+    """
+    return df.select([F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
 def _inputs(spark: SparkSession, sf_dir: str):
     return (feeds.snapshot_feed(spark, sf_dir), feeds.store_city_feed(spark, sf_dir),
             feeds.category_feed(spark, sf_dir))
@@ -56,16 +65,17 @@ def _insights(spark, sf_dir):
 
 def inventory_movement(spark, sf_dir):
     m = _moves(spark, sf_dir)
-    return comparable(m.select(
+    return nullable_counts(comparable(m.select(
         "event_time", "event_date", "store_id", "sku_id", "category_id", "sub_category_id",
         "sku_name", "brand_id", "brand", "image_url", "mrp", "selling_price", "city_name",
-        "inventory", "next_inventory", "next_event_time"))
+        "inventory", "next_inventory", "next_event_time")), "inventory", "next_inventory")
 
 
 def direct_sales(spark, sf_dir):
     s = movement.direct_sales(_moves(spark, sf_dir))
-    return comparable(s.select("store_id", "sku_id", "event_time", "inventory", "next_inventory",
-                               "direct_qty_sold"))
+    return nullable_counts(comparable(s.select("store_id", "sku_id", "event_time", "inventory",
+                                               "next_inventory", "direct_qty_sold")),
+                           "inventory", "next_inventory", "direct_qty_sold")
 
 
 def avg_historical_sales(spark, sf_dir):
