@@ -30,7 +30,8 @@ def price_modes(df: DataFrame, weight: str | None = None) -> DataFrame:
     ``mrp_mode``: mrp of the most frequent pair, ties to the higher mrp (NULL
     counts as highest).  ``sp_mode`` likewise with ties to the higher selling
     price; the two may come from different pairs.  Two aggregations with
-    map-side partial aggregation; no window, no sort.
+    map-side partial aggregation and no window (the arg-max over a struct runs
+    as a sort-based aggregate over the already-counted pairs).
     """
     c = price_counts(df, weight)
     return (c.groupBy(*MODE_KEYS)

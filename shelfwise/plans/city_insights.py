@@ -6,7 +6,9 @@ Shuffle plan (see README):
   2. aggregate to the daily grain in the same partitions (no shuffle);
   3. daily grain -> modal prices, store totals, (store, sku) means and the
      city roll-up: shuffles of pre-aggregated rows only;
-  4. totals and categories join by size-checked broadcast.
+  4. categories join by a counted broadcast; store totals (derived from the
+     snapshots) by AQE's runtime choice: broadcast if the materialised totals
+     are small, else sort-merge.
 The daily grain is read by three branches.  By default it is written as
 Parquet to the cluster's shared checkpoint folder (``spark.checkpoint.dir``): the
 lineage is cut right after the only full-data shuffle, so a lost executor

@@ -2,9 +2,9 @@
 
 The reference's own CSV files are not public, so the operators run on rows
 derived from the test tables with the rules of FIXTURES.md section 3.  These
-functions only rename and re-type columns into the declared schemas; they do
-none of the operators' work, and nothing downstream relies on how the rows
-were made.
+functions rename and re-type columns into the declared schemas (the bench-only
+bulk feed also keeps one row per declared key); they do none of the
+operators' work, and nothing downstream relies on how the rows were made.
 """
 
 from __future__ import annotations
