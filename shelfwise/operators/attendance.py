@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.intervals import clipped, interval_hours
 from ..functions.joins import DEFAULT_BROADCAST_ROWS
 from ..functions.ordering import pg_asc
-from .sequence import DEFAULT_SEGMENT_ROWS, SEGMENT, add_segments, number_in_sequence
+from .sequence import DEFAULT_SEGMENT_ROWS, SEG_DAY, SEGMENT, add_segments, number_in_sequence
 
 KEYS = ["employee_id", "action"]
 # Day used for swipes without a time: sorts after every real day (NULLS LAST).
@@ -42,7 +42,7 @@ def number_swipes(log: DataFrame, *, max_rows_per_segment: int | None = DEFAULT_
              .withColumn("_day", F.coalesce(F.to_date("created_at"), F.lit(_NULL_DAY).cast("date"))))
     df, seg_cols = add_segments(df, KEYS, "created_at", "_day", max_rows_per_segment, broadcast_rows,
                                 row_bound=bound)
-    return number_in_sequence(df, KEYS, "created_at", seg_cols).drop("_day", SEGMENT)
+    return number_in_sequence(df, KEYS, "created_at", seg_cols).drop("_day", SEG_DAY, SEGMENT)
 
 
 def pair_swipes(log: DataFrame, **kw) -> DataFrame:

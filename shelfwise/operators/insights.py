@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 from ..functions.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
 from ..functions.numeric import mean16, money, ratio2, units_contribution
 from .pricing import MODE_KEYS
-from .sequence import SEGMENT
+from .sequence import SEG_DAY, SEGMENT
 
 GROUP_KEYS = ["event_date", "sku_id", "city_name", "category_id", "sub_category_id",
               "sku_name", "brand_id", "brand", "image_url"]
-DAILY_KEYS = ["store_id", "sku_id", "event_date", SEGMENT, "city_name", "category_id",
+DAILY_KEYS = ["store_id", "sku_id", "event_date", SEG_DAY, SEGMENT, "city_name", "category_id",
               "sub_category_id", "sku_name", "brand_id", "brand", "image_url",
               "mrp", "selling_price"]
 
@@ -33,6 +33,9 @@ DAILY_KEYS = ["store_id", "sku_id", "event_date", SEGMENT, "city_name", "categor
 def daily_grain(sales: DataFrame) -> DataFrame:
     """One row per (store, sku, day, segment, city, attributes, prices) of ``direct_sales`` output.
 
+    The segment columns are constant unless hot keys were split, and then
+    refine (never merge) the (store, sku, day) groups.
+
     rows: snapshots; direct_sum/direct_cnt: drops; rise_cnt: snapshots followed
     by a rise; in_stock: 1 if any snapshot had inventory > 0.  The grouping keys
     contain the LEAD partitioning, so this needs no shuffle of its own.

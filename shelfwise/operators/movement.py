@@ -21,12 +21,16 @@ def attach_city(snap: DataFrame, store_city: DataFrame,
 
 def inventory_movement(snap: DataFrame, store_city: DataFrame, *,
                        max_rows_per_segment: int | None = DEFAULT_SEGMENT_ROWS,
-                       broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                       broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                       snapshot_rows: int | None = None) -> DataFrame:
     """Each snapshot of a mapped store with the inventory and time of the next
     snapshot of the same (store, sku), in time order, across day ends.
+    ``snapshot_rows`` (the row count of ``snap``, counted here if not given)
+    bounds the group sizes for the hot-group check.
 
-    Adds ``segment``: the sub-day slice used to split hot (store, sku, day)
-    groups (0 for all others); later stages group on it to avoid re-shuffling.
+    Adds ``segment_day`` and ``segment``: how a hot (store, sku) was split
+    (constant for all other keys); later stages group on them so the LEAD
+    partitioning is reused without another shuffle.
     """
     m = attach_city(snap, store_city, broadcast_rows).select(
         F.col("created_at"),
@@ -37,7 +41,9 @@ def inventory_movement(snap: DataFrame, store_city: DataFrame, *,
         F.col("l2_category_id").alias("sub_category_id"),
         "sku_name", "brand_id", "brand", "image_url", "mrp", "selling_price",
         "city_name", "inventory")
-    bound = snap.count() if max_rows_per_segment else None
+    bound = None
+    if max_rows_per_segment:
+        bound = snapshot_rows if snapshot_rows is not None else snap.count()
     m, seg_cols = add_segments(m, PAIR, "created_at", "event_date", max_rows_per_segment,
                                broadcast_rows, row_bound=bound)
     moved = lead_in_sequence(m, PAIR, "created_at", ["inventory"], seg_cols)

@@ -1,9 +1,10 @@
 """LEAD and ROW_NUMBER over long ordered sequences, split so no task holds a hot key.
 
 A plain ``lead(x).over(Window.partitionBy(keys).orderBy(t))`` puts every row
-of a key into one task.  If one (store, sku) or one employee holds a large
-share of all rows, that task holds it all.  Here the sequence of a key is cut
-into *segments* (a day, and for hot days a time slice of the day):
+of a key into one task.  That is right for ordinary keys and is what runs
+when no key is hot.  If one (store, sku) or one employee holds a large share
+of all rows, only that key's sequence is cut into *segments* (a day, and for
+a hot day equal-width slices of that day's time span):
 
 * the window runs per (key, segment), so a task holds at most one segment;
 * the few rows that need the neighbouring segment (the last row of a segment
@@ -23,54 +24,74 @@ from pyspark.sql import functions as F
 from ..functions.joins import DEFAULT_BROADCAST_ROWS
 from ..functions.ordering import pg_asc
 
+SEG_DAY = "segment_day"
 SEGMENT = "segment"
-# Rows one (key, day) group may have before it is cut into time slices.
+# Rows one key (and one key-day) may have before it is split.
 DEFAULT_SEGMENT_ROWS = 2_000_000
 _DAY_MICROS = 86_400_000_000
+# segment_day of keys that are not split: their whole sequence is one segment.
+UNSPLIT_DAY = "1970-01-01"
+
+
+def _whole() -> Column:
+    return F.lit(UNSPLIT_DAY).cast("date")
 
 
 def _micros_into_day(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp")) - F.unix_micros(F.to_date(ts).cast("timestamp"))
 
 
+def _unsplit(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    return (df.withColumn(SEG_DAY, _whole()).withColumn(SEGMENT, F.lit(0)), [])
+
+
 def add_segments(df: DataFrame, keys: list[str], ts_col: str, day_col: str,
                  max_rows: int | None = DEFAULT_SEGMENT_ROWS,
                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                  row_bound: int | None = None) -> tuple[DataFrame, list[str]]:
-    """Add ``segment``: 0, or for a (keys, day) group above ``max_rows`` rows the
-    index of an equal-width slice of the group's own time span that day
-    (ceil(rows / max_rows) slices, so a burst is cut as finely as a spread-out day).
-
-    Returns the frame and the segment columns to partition on: ``[day_col]``
-    when no group is hot (a constant column would be folded out of the
-    partitioning and cost an extra exchange), else ``[day_col, "segment"]``.
-    The hot-group table has at most total_rows / max_rows rows; its size is
-    still checked before it is broadcast.  ``row_bound``, an upper bound on
-    the rows of ``df`` (e.g. the count of the unfiltered source table, which
-    Parquet answers from file footers), skips the counting pass when no group
-    can be hot.
+    """Add ``segment_day`` and ``segment`` and return the columns to split on.
+
+    * No key above ``max_rows`` rows: constant columns, returns ``[]`` (one
+      window per key, no summary tables).  ``row_bound``, an upper bound on
+      the rows of ``df`` (e.g. the unfiltered source table's count, which
+      Parquet answers from footers), skips the counting pass when even the
+      whole input is below the threshold.
+    * Otherwise rows of hot keys get ``segment_day`` = their day and, for a
+      day above ``max_rows`` rows, ``segment`` = the index of an equal-width
+      slice of that day's time span (ceil(rows / max_rows) slices); other
+      keys keep one segment.  Returns ``["segment_day", "segment"]``.
+
+    The hot-key table has at most total_rows / max_rows rows; it and the
+    per-day table of hot keys are counted before being broadcast.
     """
     if not max_rows or (row_bound is not None and row_bound <= max_rows):
-        return df.withColumn(SEGMENT, F.lit(0)), [day_col]
-    micros = _micros_into_day(F.col(ts_col))
-    hot = (df.groupBy(*keys, day_col)
-             .agg(F.count(F.lit(1)).alias("_rows"), F.min(micros).alias("_lo"),
-                  F.max(micros).alias("_hi"))
-             .filter(F.col("_rows") > max_rows)
-             .select(*keys, day_col, "_lo", "_hi",
-                     F.ceil(F.col("_rows") / max_rows).cast("long").alias("_slices"))
+        return _unsplit(df)
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+             .filter(F.col("_rows") > max_rows).select(*keys, F.lit(True).alias("_hot"))
              .cache())
     n_hot = hot.count()
     if n_hot == 0:
         hot.unpersist()
-        return df.withColumn(SEGMENT, F.lit(0)), [day_col]
-    side = F.broadcast(hot) if n_hot <= broadcast_rows else hot
+        return _unsplit(df)
+    marked = df.join(F.broadcast(hot) if n_hot <= broadcast_rows else hot, keys, "left")
+    micros = _micros_into_day(F.col(ts_col))
+    days = (marked.filter(F.col("_hot")).groupBy(*keys, day_col)
+                  .agg(F.count(F.lit(1)).alias("_rows"), F.min(micros).alias("_lo"),
+                       F.max(micros).alias("_hi"))
+                  .select(*keys, day_col, "_lo", "_hi",
+                          F.ceil(F.col("_rows") / max_rows).cast("long").alias("_slices"))
+                  .cache())
+    n_days = days.count()
+    out = marked.join(F.broadcast(days) if n_days <= broadcast_rows else days,
+                      keys + [day_col], "left")
     width = F.col("_hi") - F.col("_lo") + 1
     sl = F.floor((micros - F.col("_lo")) * F.col("_slices") / width)
     seg = F.coalesce(F.least(F.greatest(sl, F.lit(0)), F.col("_slices") - 1), F.lit(0)).cast("int")
-    out = (df.join(side, keys + [day_col], "left").withColumn(SEGMENT, seg)
-             .drop("_lo", "_hi", "_slices"))
-    return out, [day_col, SEGMENT]
+    seg_day = F.when(F.col("_hot"), F.col(day_col)).otherwise(_whole())
+    return (out.withColumn(SEG_DAY, seg_day)
+               .withColumn(SEGMENT, F.when(F.col("_hot"), seg).otherwise(F.lit(0)))
+               .drop("_hot", "_lo", "_hi", "_slices"),
+            [SEG_DAY, SEGMENT])
 
 
 def lead_in_sequence(df: DataFrame, keys: list[str], order_col: str, values: list[str],
@@ -81,6 +102,12 @@ def lead_in_sequence(df: DataFrame, keys: list[str], order_col: str, values: lis
     key together with ``keys``), so the segment's last row is the one whose
     in-segment LEAD of ``order_col`` is NULL.
     """
+    if not seg_cols:
+        w = Window.partitionBy(*keys).orderBy(order_col)
+        out = df.withColumn(f"{prefix}{order_col}", F.lead(order_col).over(w))
+        for v in values:
+            out = out.withColumn(f"{prefix}{v}", F.lead(v).over(w))
+        return out
     part = keys + seg_cols
     w = Window.partitionBy(*part).orderBy(order_col)
     local = df.withColumn("_lead_at", F.lead(order_col).over(w))
@@ -113,6 +140,9 @@ def number_in_sequence(df: DataFrame, keys: list[str], order_col: str, seg_cols:
     earlier segments of the key.  NULL ``order_col`` rows must sit in the last
     segment (callers map a NULL day to a sentinel that sorts last).
     """
+    if not seg_cols:
+        return df.withColumn(name, F.row_number().over(
+            Window.partitionBy(*keys).orderBy(pg_asc(order_col))).cast("long"))
     part = keys + seg_cols
     local = df.withColumn("_local_rn", F.row_number().over(
         Window.partitionBy(*part).orderBy(pg_asc(order_col))))

@@ -9,8 +9,10 @@ Shuffle plan (see README):
   4. categories join by a counted broadcast; store totals (derived from the
      snapshots) by AQE's runtime choice: broadcast if the materialised totals
      are small, else sort-merge.
-The daily grain is read by three branches.  By default it is written as
-Parquet to the cluster's shared checkpoint folder (``spark.checkpoint.dir``): the
+The daily grain is read by three branches.  For inputs of at least
+``MATERIALIZE_ROWS`` snapshots (or with ``checkpoint_daily=True``) it is
+written as Parquet to the cluster's shared checkpoint folder
+(``spark.checkpoint.dir``): the
 lineage is cut right after the only full-data shuffle, so a lost executor
 does not send the build back to the snapshot scan, and the branches read the
 checkpoint instead of re-scanning snapshot columns.  With
@@ -35,13 +37,29 @@ from ..session import checkpoint_dir
 from ..sources.tables import create_table_if_absent
 
 
+# Snapshot rows from which the daily grain is written out by default: below
+# this the whole build reruns in seconds, so a lost executor costs less than
+# the write.
+MATERIALIZE_ROWS = 10_000_000
+
+
 def build_daily(snap: DataFrame, store_city: DataFrame, *,
                 max_rows_per_segment: int | None = DEFAULT_SEGMENT_ROWS,
                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                checkpoint_daily: bool = True) -> DataFrame:
+                checkpoint_daily: bool | None = None) -> DataFrame:
+    """Daily grain of the snapshots (see ``operators.insights.daily_grain``).
+
+    ``checkpoint_daily``: True writes it to the shared folder and reads it
+    back (lineage cut), False keeps one lazy plan, None (default) writes it
+    when the snapshot table has at least ``MATERIALIZE_ROWS`` rows.  The row
+    count is a footer-only job on Parquet and also bounds the hot-group check.
+    """
+    rows = snap.count()
     moves = inventory_movement(snap, store_city, max_rows_per_segment=max_rows_per_segment,
-                               broadcast_rows=broadcast_rows)
+                               broadcast_rows=broadcast_rows, snapshot_rows=rows)
     daily = daily_grain(direct_sales(moves))
+    if checkpoint_daily is None:
+        checkpoint_daily = rows >= MATERIALIZE_ROWS
     if checkpoint_daily:
         spark = daily.sparkSession
         try:
@@ -62,7 +80,7 @@ def build_city_insights(snap: DataFrame, store_city: DataFrame, categories: Data
                         dedupe: bool = False,
                         max_rows_per_segment: int | None = DEFAULT_SEGMENT_ROWS,
                         broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                        checkpoint_daily: bool = True) -> DataFrame:
+                        checkpoint_daily: bool | None = None) -> DataFrame:
     """city_insights from the three input tables (unsorted)."""
     daily = build_daily(snap, store_city, max_rows_per_segment=max_rows_per_segment,
                         broadcast_rows=broadcast_rows, checkpoint_daily=checkpoint_daily)

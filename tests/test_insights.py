@@ -132,3 +132,12 @@ def test_null_price_ranks_highest(spark):
                                      "mrp int, selling_price int")
     r = pricing.price_modes(df).collect()[0]
     assert r.mrp_mode is None and r.sp_mode == 5
+
+
+@pytest.mark.parametrize("checkpoint_daily", [True, False])
+def test_daily_grain_written_or_lazy_give_same_result(spark, checkpoint_daily):
+    snap, city, cat = frames(spark)
+    got = comparable(build_city_insights(snap, city, cat, checkpoint_daily=checkpoint_daily)).toPandas()
+    want = duck_build(SELECTS["city_insights"])
+    cols = sorted(want.columns)
+    assert as_rows(got, cols) == as_rows(want, cols)

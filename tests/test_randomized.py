@@ -104,3 +104,16 @@ def test_random_swipes_match_reference_form(spark, seed):
             want = con.sql("WITH " + ATTENDANCE + sel[name]).df()
             cols = sorted(want.columns)
             assert as_rows(comparable(got).toPandas(), cols) == as_rows(want, cols), (name, kw)
+
+
+@pytest.mark.parametrize("seed", [4])
+def test_direct_translation_baseline_agrees(spark, seed):
+    from bench_baseline import naive_city_insights
+    rows, stores, cats = random_tables(seed)
+    snap = spark.createDataFrame(rows, SNAPSHOT_SCHEMA)
+    city = spark.createDataFrame(stores, STORE_CITY_SCHEMA)
+    cat = spark.createDataFrame(cats, CATEGORY_SCHEMA)
+    a = comparable(naive_city_insights(snap, city, cat)).toPandas()
+    b = comparable(build_city_insights(snap, city, cat)).toPandas()
+    cols = sorted(b.columns)
+    assert as_rows(a, cols) == as_rows(b, cols)

@@ -5,7 +5,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.ordering import pg_asc
-from shelfwise.operators.sequence import SEGMENT, add_segments, lead_in_sequence, number_in_sequence
+from shelfwise.operators.sequence import (SEG_DAY, SEGMENT, UNSPLIT_DAY, add_segments,
+                                          lead_in_sequence, number_in_sequence)
 
 
 def skewed(spark):
@@ -21,20 +22,25 @@ def skewed(spark):
     return df.withColumn("day", F.to_date("ts"))
 
 
-@pytest.mark.parametrize("max_rows", [None, 50])
+@pytest.mark.parametrize("max_rows", [None, 300])
 def test_lead_matches_plain_window(spark, max_rows):
     df = skewed(spark)
     seg, cols = add_segments(df, ["k"], "ts", "day", max_rows)
     if max_rows:
-        assert cols == ["day", SEGMENT]
-        assert seg.select(SEGMENT).distinct().count() > 10
+        assert cols == [SEG_DAY, SEGMENT]
+        # only the hot key 0 is split: by day, and its hot days into slices
+        split = seg.filter(F.col(SEG_DAY) != F.lit(UNSPLIT_DAY).cast("date"))
+        assert {r.k for r in split.select("k").distinct().collect()} == {0}
+        assert split.select(SEG_DAY, SEGMENT).distinct().count() == 9   # 3 days x 3 slices
+    else:
+        assert cols == []
     got = lead_in_sequence(seg, ["k"], "ts", ["v"], cols).select("k", "ts", "next_ts", "next_v")
     w = Window.partitionBy("k").orderBy("ts")
     want = df.select("k", "ts", F.lead("ts").over(w).alias("next_ts"), F.lead("v").over(w).alias("next_v"))
     assert sorted(got.collect()) == sorted(want.collect())
 
 
-@pytest.mark.parametrize("max_rows", [None, 50])
+@pytest.mark.parametrize("max_rows", [None, 300])
 def test_row_number_matches_plain_window(spark, max_rows):
     df = skewed(spark).withColumn("ts", F.when(F.col("v") == 5, None).otherwise(F.col("ts")))
     df = df.withColumn("day", F.coalesce(F.to_date("ts"), F.lit("9999-12-31").cast("date")))
