@@ -2,7 +2,8 @@
 
 Shuffle plan (see README):
   1. snapshots join the store map (size-checked broadcast), one hash shuffle on
-     (store, sku, day, segment) for LEAD; drops and flags per row;
+     (store, sku) for LEAD -- on (store, sku, segment) for hot keys, which are
+     split (``operators.sequence``); drops and flags per row;
   2. aggregate to the daily grain in the same partitions (no shuffle);
   3. daily grain -> modal prices, store totals, (store, sku) means and the
      city roll-up: shuffles of pre-aggregated rows only;
