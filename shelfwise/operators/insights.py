@@ -33,15 +33,16 @@ DAILY_KEYS = ["store_id", "sku_id", "event_date", SEG_DAY, SEGMENT, "city_name",
 def daily_grain(sales: DataFrame) -> DataFrame:
     """One row per (store, sku, day, segment, city, attributes, prices) of ``direct_sales`` output.
 
-    The segment columns are constant unless hot keys were split, and then
-    refine (never merge) the (store, sku, day) groups.
+    The segment columns are present only if hot keys were split; they refine
+    (never merge) the (store, sku, day) groups.
 
     rows: snapshots; direct_sum/direct_cnt: drops; rise_cnt: snapshots followed
     by a rise; in_stock: 1 if any snapshot had inventory > 0.  The grouping keys
     contain the LEAD partitioning, so this needs no shuffle of its own.
     """
     inv, nxt = F.col("inventory"), F.col("next_inventory")
-    return sales.groupBy(*DAILY_KEYS).agg(
+    keys = [k for k in DAILY_KEYS if k in sales.columns]   # segment columns only if split
+    return sales.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum("direct_qty_sold"), F.lit(0)).cast("long").alias("direct_sum"),
         F.count("direct_qty_sold").alias("direct_cnt"),

@@ -28,9 +28,9 @@ def inventory_movement(snap: DataFrame, store_city: DataFrame, *,
     ``snapshot_rows`` (the row count of ``snap``, counted here if not given)
     bounds the group sizes for the hot-group check.
 
-    Adds ``segment_day`` and ``segment``: how a hot (store, sku) was split
-    (constant for all other keys); later stages group on them so the LEAD
-    partitioning is reused without another shuffle.
+    If a hot (store, sku) was split, adds ``segment_day`` and ``segment``
+    (constant for the keys that were not); later stages group on them so the
+    LEAD partitioning is reused without another shuffle.
     """
     m = attach_city(snap, store_city, broadcast_rows).select(
         F.col("created_at"),

@@ -42,24 +42,24 @@ def _micros_into_day(ts: Column) -> Column:
 
 
 def _unsplit(df: DataFrame) -> tuple[DataFrame, list[str]]:
-    return (df.withColumn(SEG_DAY, _whole()).withColumn(SEGMENT, F.lit(0)), [])
+    return df, []
 
 
 def add_segments(df: DataFrame, keys: list[str], ts_col: str, day_col: str,
                  max_rows: int | None = DEFAULT_SEGMENT_ROWS,
                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                  row_bound: int | None = None) -> tuple[DataFrame, list[str]]:
-    """Add ``segment_day`` and ``segment`` and return the columns to split on.
+    """Return the frame and the columns its keys are split on.
 
-    * No key above ``max_rows`` rows: constant columns, returns ``[]`` (one
-      window per key, no summary tables).  ``row_bound``, an upper bound on
+    * No key above ``max_rows`` rows: ``df`` unchanged and ``[]`` (one window
+      per key, no summary tables).  ``row_bound``, an upper bound on
       the rows of ``df`` (e.g. the unfiltered source table's count, which
       Parquet answers from footers), skips the counting pass when even the
       whole input is below the threshold.
     * Otherwise rows of hot keys get ``segment_day`` = their day and, for a
       day above ``max_rows`` rows, ``segment`` = the index of an equal-width
       slice of that day's time span (ceil(rows / max_rows) slices); other
-      keys keep one segment.  Returns ``["segment_day", "segment"]``.
+      keys keep one segment.  Adds and returns ``["segment_day", "segment"]``.
 
     The hot-key table has at most total_rows / max_rows rows; it and the
     per-day table of hot keys are counted before being broadcast.
