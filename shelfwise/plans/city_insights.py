@@ -96,6 +96,6 @@ def ordered(insights: DataFrame) -> DataFrame:
     return insights.orderBy(pg_asc("date"), pg_asc("city_name"), pg_asc("sku_id"))
 
 
-def materialize(insights: DataFrame, *, table: str | None = None, path: str | None = None) -> None:
+def materialize(insights: DataFrame, *, table: str | None = None, path: str | None = None) -> bool:
     """CREATE TABLE IF NOT EXISTS ... AS: written once, partitioned by date."""
-    create_table_if_absent(insights, table=table, path=path, partition_by=["date"])
+    return create_table_if_absent(insights, table=table, path=path, partition_by=["date"])

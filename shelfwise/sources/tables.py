@@ -2,23 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def _committed(spark: SparkSession, path: str) -> bool:
+    """True if a completed write is at ``path`` (Spark's ``_SUCCESS`` marker)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")))
 
 
 def create_table_if_absent(df: DataFrame, *, table: str | None = None, path: str | None = None,
-                           partition_by: list[str] | None = None) -> None:
-    """Write ``df`` once: a second call leaves the first rows in place.
+                           partition_by: list[str] | None = None) -> bool:
+    """Write ``df`` once; a later call leaves the first rows in place.
 
     Exactly one of ``table`` (metastore table, Parquet) or ``path`` (Parquet
-    directory, e.g. under the cluster's shared warehouse).  No global sort on
-    write: readers sort for presentation.
+    directory, e.g. under the cluster's shared warehouse).  For a path, "in
+    place" means a committed write (``_SUCCESS`` present): a directory left by
+    a run that died mid-write is overwritten, not kept.  No global sort on
+    write: readers sort.  Returns True if it wrote.
     """
     if (table is None) == (path is None):
         raise ValueError("give exactly one of table= or path=")
-    w = df.write.mode("ignore").format("parquet")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
+    spark = df.sparkSession
     if table is not None:
+        if spark.catalog.tableExists(table):
+            return False
+        w = df.write.mode("ignore").format("parquet")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
         w.saveAsTable(table)
-    else:
-        w.save(path)
+        return True
+    if _committed(spark, path):
+        return False
+    w = df.write.mode("overwrite").format("parquet")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(path)
+    return True

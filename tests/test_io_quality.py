@@ -56,3 +56,14 @@ def test_key_violations_finds_planted_rows(spark):
     clean = {r.rule: r.violating_rows for r in quality.key_violations(
         snap, "s", schemas.SNAPSHOT_KEY, schemas.SNAPSHOT_NOT_NULL).collect()}
     assert set(clean.values()) == {0}
+
+
+def test_create_if_absent_replaces_an_uncommitted_directory(spark, scratch):
+    from shelfwise.sources.tables import create_table_if_absent
+    snap, _, _ = frames(spark)
+    path = os.path.join(scratch, "t")
+    os.makedirs(os.path.join(path, "_temporary"))          # what a killed write leaves
+    assert create_table_if_absent(snap, path=path)
+    assert spark.read.parquet(path).count() == snap.count()
+    assert not create_table_if_absent(snap.limit(1), path=path)
+    assert spark.read.parquet(path).count() == snap.count()
