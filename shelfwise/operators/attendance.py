@@ -46,19 +46,19 @@ def number_swipes(log: DataFrame, *, max_rows_per_segment: int | None = DEFAULT_
 
 
 def pair_swipes(log: DataFrame, **kw) -> DataFrame:
-    """(employee_id, rn, in_time, out_time): nth In joined to nth Out."""
+    """(employee_id, rn, swipe_in, swipe_out): nth In joined to nth Out."""
     n = number_swipes(log, **kw)
     ins = n.filter(F.col("action") == "In").select(
-        "employee_id", "rn", F.col("created_at").alias("in_time"))
+        "employee_id", "rn", F.col("created_at").alias("swipe_in"))
     outs = n.filter(F.col("action") == "Out").select(
-        "employee_id", "rn", F.col("created_at").alias("out_time"))
+        "employee_id", "rn", F.col("created_at").alias("swipe_out"))
     return ins.join(outs, ["employee_id", "rn"], "inner")
 
 
 def hours_worked(log: DataFrame, **kw) -> DataFrame:
     """Hours between paired swipes, summed per employee, rounded to 2 places."""
     p = pair_swipes(log, **kw)
-    h = interval_hours(F.col("out_time") - F.col("in_time"))
+    h = interval_hours(F.col("swipe_out") - F.col("swipe_in"))
     return (p.groupBy("employee_id").agg(F.round(F.sum(h), 2).alias("total_hours"))
              .orderBy(pg_asc("employee_id")))
 
@@ -67,8 +67,8 @@ def hours_in_window(log: DataFrame, start, end, **kw) -> DataFrame:
     """Hours of each pair inside [start, end], summed per employee; pairs outside count 0."""
     s, e = _ts(start), _ts(end)
     p = pair_swipes(log, **kw)
-    inside = (F.col("out_time") > s) & (F.col("in_time") < e)
-    h = F.when(inside, interval_hours(clipped(F.col("out_time"), F.col("in_time"), s, e))) \
+    inside = (F.col("swipe_out") > s) & (F.col("swipe_in") < e)
+    h = F.when(inside, interval_hours(clipped(F.col("swipe_out"), F.col("swipe_in"), s, e))) \
          .otherwise(F.lit(0))
     return (p.groupBy("employee_id").agg(F.round(F.sum(h), 2).alias("hours_in_window"))
              .orderBy(pg_asc("employee_id")))
