@@ -14,13 +14,13 @@ def price_counts(df: DataFrame, weight: str | None = None) -> DataFrame:
     ``weight`` names a column of row counts when ``df`` is already pre-aggregated.
     """
     n = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    return df.groupBy(*MODE_KEYS, "mrp", "selling_price").agg(n.cast("long").alias("price_freq"))
+    return df.groupBy(*MODE_KEYS, "mrp", "selling_price").agg(n.cast("long").alias("pair_rows"))
 
 
 def _argmax(price: str):
-    # ORDER BY price_freq DESC, price DESC with PostgreSQL's NULL-highest rule,
+    # ORDER BY pair_rows DESC, price DESC with PostgreSQL's NULL-highest rule,
     # as an aggregate: the largest (freq, price IS NULL, price) wins.
-    return F.max(F.struct(F.col("price_freq").alias("f"), F.col(price).isNull().alias("n"),
+    return F.max(F.struct(F.col("pair_rows").alias("f"), F.col(price).isNull().alias("n"),
                           F.col(price).alias("v")))
 
 
