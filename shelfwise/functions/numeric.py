@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 # expressions (NUMERIC_MIN_SIG_DIGITS = 16, DEC_DIGITS = 4).
 AVG_SCALE = 16
 MEAN_TYPE = "decimal(22,16)"      # avg of units: < 10^6, 16 places
-UNITS_TYPE = "decimal(27,16)"     # summed estimated units before multiplying by a price
+UNITS_TYPE = "decimal(37,16)"     # summed estimated units before splitting off the whole part
 PART_TYPE = "decimal(37,16)"      # one additive term of the estimated units
 
 
@@ -43,8 +43,18 @@ def units_contribution(n: Column, direct_sum: Column, rise_count: Column, mean:
 
 
 def money(units: Column, price: Column) -> Column:
-    """ROUND(units * price, 2) exactly: decimal(27,16) x decimal(10,2) -> decimal(38,18)."""
-    return F.round(units.cast(UNITS_TYPE) * price.cast("decimal(10,2)"), 2)
+    """ROUND(units * price, 2) exactly, for units >= 0 below 10^21.
+
+    units * price needs 18 fractional digits, more than Spark keeps once the
+    product passes 38 digits.  Split units = whole + frac: whole * price has
+    exactly 2 places, so the rounding only touches frac * price, and both
+    products fit:  decimal(21,0) x (10,2) -> (32,2),  (17,16) x (10,2) -> (28,18).
+    """
+    u = units.cast(UNITS_TYPE)
+    whole = F.floor(u).cast("decimal(21,0)")
+    frac = (u - whole).cast("decimal(17,16)")
+    p = price.cast("decimal(10,2)")
+    return whole * p + F.round(frac * p, 2)
 
 
 def ratio2(num: Column, den: Column) -> Column:
