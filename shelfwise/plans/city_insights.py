@@ -97,5 +97,11 @@ def ordered(insights: DataFrame) -> DataFrame:
 
 
 def materialize(insights: DataFrame, *, table: str | None = None, path: str | None = None) -> bool:
-    """CREATE TABLE IF NOT EXISTS ... AS: written once, partitioned by date."""
-    return create_table_if_absent(insights, table=table, path=path, partition_by=["date"])
+    """CREATE TABLE IF NOT EXISTS ... AS: written once, partitioned by date.
+
+    A REBALANCE on the partition column groups each date's rows into evenly
+    sized tasks (AQE splits a large date and merges small ones), instead of
+    every task writing a small file for every date it holds.
+    """
+    return create_table_if_absent(insights.hint("rebalance", "date"), table=table, path=path,
+                                  partition_by=["date"])
