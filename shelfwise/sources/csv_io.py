@@ -3,12 +3,14 @@
 The reference loads three CSV files with a header row.  Loading with an
 explicit schema avoids an inference pass over the data and fails fast on
 malformed rows.  Quotes inside fields are doubled in PostgreSQL's CSV dialect,
-so the escape character is the quote itself.
+so the escape character is the quote itself; an unquoted empty field is NULL
+and a quoted one ("") the empty string, on read and on write.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .schemas import ATTENDANCE_SCHEMA, CATEGORY_SCHEMA, SNAPSHOT_SCHEMA, STORE_CITY_SCHEMA
@@ -18,18 +20,33 @@ TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"
 TS_NTZ_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
+# A quoted empty field ("") reads as this marker, then as the empty string,
+# while an unquoted empty field stays NULL -- PostgreSQL's CSV rule.  NUL
+# cannot occur in PostgreSQL text, so the marker never collides with data.
+_EMPTY = "\u0000"
+
+
+def reader_options(multiline: bool = False) -> dict[str, str]:
+    """CSV options shared by the batch and streaming loaders."""
+    return {"header": "true", "quote": '"', "escape": '"', "emptyValue": _EMPTY,
+            "multiLine": str(multiline).lower(), "mode": "FAILFAST",
+            "timestampFormat": TS_FORMAT, "timestampNTZFormat": TS_NTZ_FORMAT}
+
+
+def restore_empty_strings(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Quoted empty fields back to "" in string columns (see ``_EMPTY``)."""
+    return df.select([
+        F.when(F.col(f.name) == _EMPTY, F.lit("")).otherwise(F.col(f.name)).alias(f.name)
+        if isinstance(f.dataType, T.StringType) else F.col(f.name)
+        for f in schema.fields])
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, *,
              multiline: bool = False) -> DataFrame:
     """Load CSV with a header row.  ``multiline`` only if fields contain newlines:
     multi-line files cannot be split across tasks."""
-    return (spark.read.schema(schema)
-            .option("header", True)
-            .option("quote", '"').option("escape", '"')
-            .option("multiLine", multiline)
-            .option("mode", "FAILFAST")
-            .option("timestampFormat", TS_FORMAT)
-            .option("timestampNTZFormat", TS_NTZ_FORMAT)
-            .csv(path))
+    df = spark.read.schema(schema).options(**reader_options(multiline)).csv(path)
+    return restore_empty_strings(df, schema)
 
 
 def read_snapshots(spark: SparkSession, path: str, **kw) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import checkpoint_dir
-from ..sources.csv_io import TS_FORMAT, TS_NTZ_FORMAT
+from ..sources.csv_io import reader_options, restore_empty_strings
 from ..sources.schemas import SNAPSHOT_SCHEMA
 
 
@@ -28,13 +28,11 @@ def start_snapshot_ingest(spark: SparkSession, source_dir: str, table_path: str,
     """
     from pyspark.sql import functions as F
 
-    reader = (spark.readStream.schema(SNAPSHOT_SCHEMA)
-              .option("header", True).option("quote", '"').option("escape", '"')
-              .option("mode", "FAILFAST")
-              .option("timestampFormat", TS_FORMAT).option("timestampNTZFormat", TS_NTZ_FORMAT))
+    reader = spark.readStream.schema(SNAPSHOT_SCHEMA).options(**reader_options())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(source_dir).withColumn("snapshot_date", F.to_date("created_at"))
+    stream = (restore_empty_strings(reader.csv(source_dir), SNAPSHOT_SCHEMA)
+              .withColumn("snapshot_date", F.to_date("created_at")))
     ckpt = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
     writer = (stream.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", ckpt)

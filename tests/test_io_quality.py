@@ -14,6 +14,8 @@ from .handmade import frames
 def test_csv_round_trip_keeps_values(spark, scratch):
     snap, _, _ = frames(spark)
     snap = snap.withColumn("sku_name", F.when(F.col("store_id") == 1, F.lit('say "hi", twice'))
+                           .when(F.col("store_id") == 2, F.lit(""))
+                           .when(F.col("store_id") == 3, F.lit(None))
                            .otherwise(F.col("sku_name")))
     back = csv_io.csv_round_trip(snap, os.path.join(scratch, "snap_csv"), schemas.SNAPSHOT_SCHEMA)
     # file sources report every field nullable; NOT NULL is checked by key_violations
@@ -25,9 +27,10 @@ def test_csv_round_trip_keeps_values(spark, scratch):
 def test_csv_reads_postgres_export(spark, scratch):
     p = os.path.join(scratch, "city.csv")
     with open(p, "w") as f:
-        f.write('store_id,city_name\n1,"Delhi, NCR"\n2,"A ""quoted"" town"\n3,\n')
+        f.write('store_id,city_name\n1,"Delhi, NCR"\n2,"A ""quoted"" town"\n3,\n4,""\n')
     rows = csv_io.read_store_city(spark, p).orderBy("store_id").collect()
-    assert [r.city_name for r in rows] == ["Delhi, NCR", 'A "quoted" town', None]
+    # unquoted empty is NULL, quoted empty is the empty string (PostgreSQL CSV)
+    assert [r.city_name for r in rows] == ["Delhi, NCR", 'A "quoted" town', None, ""]
 
 
 def test_create_table_if_absent_keeps_first_rows(spark, scratch):
