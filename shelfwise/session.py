@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Settings the operators rely on.  ANSI mode makes decimal overflow an error
+# SQL settings the operators rely on; applied at run time where the launch
+# configuration leaves them unset.  ANSI mode makes decimal overflow an error
 # instead of a silent NULL; AQE coalesces small shuffle partitions and splits
 # skewed sort-merge-join partitions at run time.
 DEFAULT_CONF = {
@@ -17,23 +18,28 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
 }
 
 
 def build_session(master: str | None = None, app: str = "shelfwise",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
+    """Session with ``DEFAULT_CONF`` where the launch configuration (spark-submit
+    ``--conf``, spark-defaults) leaves a setting unset; ``shuffle_partitions``
+    and ``extra`` are explicit and always applied.  The web UI is kept off."""
+    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    explicit = dict(extra or {})
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in explicit.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    launched = spark.sparkContext.getConf()
+    for k, v in DEFAULT_CONF.items():
+        if k not in explicit and not launched.contains(k):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
