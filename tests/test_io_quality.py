@@ -70,3 +70,14 @@ def test_create_if_absent_replaces_an_uncommitted_directory(spark, scratch):
     assert spark.read.parquet(path).count() == snap.count()
     assert not create_table_if_absent(snap.limit(1), path=path)
     assert spark.read.parquet(path).count() == snap.count()
+
+
+def test_create_if_absent_metastore_table(spark):
+    from shelfwise.sources.tables import create_table_if_absent
+    snap, city, cat = frames(spark)
+    spark.sql("DROP TABLE IF EXISTS insights_once")
+    ins = build_city_insights(snap, city, cat)
+    assert create_table_if_absent(ins, table="insights_once", partition_by=["date"])
+    n = spark.table("insights_once").count()
+    assert not create_table_if_absent(ins.limit(1), table="insights_once")
+    assert spark.table("insights_once").count() == n > 0
