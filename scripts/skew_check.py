@@ -3,7 +3,8 @@
 usage: python scripts/skew_check.py [sf_dir] [max_rows_per_segment] [shuffle_partitions]
 
 Builds a skewed snapshot table from ``lineitem`` (rows of every third order
-go to store -1 / sku -1 on 1995-06-01, at distinct microseconds), then runs the
+go to store -1 / sku -1 on 1995-06-01, 90% of them inside one minute, at
+distinct microseconds), then runs the
 LEAD step with and without hot-key splitting and reports the rows held by
 the largest task after the LEAD exchange, the wall time, and whether the two
 results are identical.  Prints one JSON line.
@@ -30,10 +31,12 @@ from shelfwise.sources.schemas import SNAPSHOT_SCHEMA  # noqa: E402
 def skewed_snapshots(spark, sf_dir):
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     hot = F.col("l_orderkey") % 3 == 0
+    # 90% of the hot rows burst into one minute, the rest spread over the day
+    micros = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 7919     # prime stride: spread out
+    burst = F.when(F.col("l_orderkey") % 10 < 9, micros % 60_000_000).otherwise(micros % 86_000_000_000)
     at = F.when(hot, F.lit("1995-06-01 00:00:00").cast("timestamp")
                 + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
-                                     ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) % 86_000_000_000)
-                                     .cast("decimal(18,0)") / 1_000_000)) \
+                                     burst.cast("decimal(18,0)") / 1_000_000)) \
           .otherwise(F.col("l_shipdate").cast("timestamp")
                      + F.make_dt_interval(F.lit(0), F.col("l_orderkey") % 24, F.col("l_linenumber")))
     rows = li.select(at.alias("created_at"),

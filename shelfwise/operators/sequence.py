@@ -3,8 +3,8 @@
 A plain ``lead(x).over(Window.partitionBy(keys).orderBy(t))`` puts every row
 of a key into one task.  That is right for ordinary keys and is what runs
 when no key is hot.  If one (store, sku) or one employee holds a large share
-of all rows, only that key's sequence is cut into *segments* (a day, and for
-a hot day equal-width slices of that day's time span):
+of all rows, only that key's sequence is cut into *segments* (a day, and a
+hot day packed into runs of at most the row threshold, by its seconds):
 
 * the window runs per (key, segment), so a task holds at most one segment;
 * the few rows that need the neighbouring segment (the last row of a segment
@@ -28,7 +28,6 @@ SEG_DAY = "segment_day"
 SEGMENT = "segment"
 # Rows one key (and one key-day) may have before it is split.
 DEFAULT_SEGMENT_ROWS = 2_000_000
-_DAY_MICROS = 86_400_000_000
 # segment_day of keys that are not split: their whole sequence is one segment.
 UNSPLIT_DAY = "1970-01-01"
 
@@ -52,17 +51,20 @@ def add_segments(df: DataFrame, keys: list[str], ts_col: str, day_col: str,
     """Return the frame and the columns its keys are split on.
 
     * No key above ``max_rows`` rows: ``df`` unchanged and ``[]`` (one window
-      per key, no summary tables).  ``row_bound``, an upper bound on
-      the rows of ``df`` (e.g. the unfiltered source table's count, which
-      Parquet answers from footers), skips the counting pass when even the
-      whole input is below the threshold.
-    * Otherwise rows of hot keys get ``segment_day`` = their day and, for a
-      day above ``max_rows`` rows, ``segment`` = the index of an equal-width
-      slice of that day's time span (ceil(rows / max_rows) slices); other
-      keys keep one segment.  Adds and returns ``["segment_day", "segment"]``.
-
-    The hot-key table has at most total_rows / max_rows rows; it and the
-    per-day table of hot keys are counted before being broadcast.
+      per key, no summary tables).  ``row_bound``, an upper bound on the rows
+      of ``df`` (e.g. the unfiltered source table's count, which Parquet
+      answers from footers), skips the counting pass when even the whole
+      input is below the threshold.
+    * Otherwise rows of hot keys get ``segment_day`` = their day; other keys
+      keep one segment.  A hot key's day above ``max_rows`` rows is packed by
+      running row count over its seconds: ``segment`` = floor(rows in earlier
+      seconds / max_rows).  A segment then holds at most ``max_rows`` plus one
+      second of one key, however the rows are spread over the day.  Adds and
+      returns ``["segment_day", "segment"]``.
+
+    The hot-key table has at most total_rows / max_rows rows, the hot-day
+    table likewise, and the per-second table at most 86,400 rows per hot day;
+    each is counted before it is broadcast (else joined by shuffle).
     """
     if not max_rows or (row_bound is not None and row_bound <= max_rows):
         return _unsplit(df)
@@ -73,27 +75,40 @@ def add_segments(df: DataFrame, keys: list[str], ts_col: str, day_col: str,
     if n_hot == 0:
         hot.unpersist()
         return _unsplit(df)
-    marked = df.join(F.broadcast(hot) if n_hot <= broadcast_rows else hot, keys, "left")
-    micros = _micros_into_day(F.col(ts_col))
-    days = (marked.filter(F.col("_hot")).groupBy(*keys, day_col)
-                  .agg(F.count(F.lit(1)).alias("_rows"), F.min(micros).alias("_lo"),
-                       F.max(micros).alias("_hi"))
-                  .select(*keys, day_col, "_lo", "_hi",
-                          F.ceil(F.col("_rows") / max_rows).cast("long").alias("_slices"))
-                  .cache())
-    n_days = days.count()
-    out = marked.join(F.broadcast(days) if n_days <= broadcast_rows else days,
-                      keys + [day_col], "left")
-    width = F.col("_hi") - F.col("_lo") + 1
-    sl = F.floor((micros - F.col("_lo")) * F.col("_slices") / width)
-    seg = F.coalesce(F.least(F.greatest(sl, F.lit(0)), F.col("_slices") - 1), F.lit(0)).cast("int")
+    marked = df.join(_side(hot, n_hot, broadcast_rows), keys, "left")
     seg_day = F.when(F.col("_hot"), F.col(day_col)).otherwise(_whole())
+    hot_days = (marked.filter(F.col("_hot")).groupBy(*keys, day_col)
+                      .agg(F.count(F.lit(1)).alias("_rows"))
+                      .filter(F.col("_rows") > max_rows)
+                      .select(*keys, day_col, F.lit(True).alias("_hot_day"))
+                      .cache())
+    n_days = hot_days.count()
+    if n_days == 0:
+        return (marked.withColumn(SEG_DAY, seg_day).withColumn(SEGMENT, F.lit(0)).drop("_hot"),
+                [SEG_DAY, SEGMENT])
+    second = F.floor(_micros_into_day(F.col(ts_col)) / 1_000_000)
+    rows = (marked.join(_side(hot_days, n_days, broadcast_rows), keys + [day_col], "left")
+                  .withColumn("_sec", second))
+    earlier = (Window.partitionBy(*keys, day_col).orderBy("_sec")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    packed = (rows.filter(F.col("_hot_day")).groupBy(*keys, day_col, "_sec")
+                  .agg(F.count(F.lit(1)).alias("_n"))
+                  .select(*keys, day_col, "_sec",
+                          F.floor(F.coalesce(F.sum("_n").over(earlier), F.lit(0)) / max_rows)
+                           .cast("int").alias("_slice"))
+                  .cache())
+    n_packed = packed.count()
+    out = rows.join(_side(packed, n_packed, broadcast_rows), keys + [day_col, "_sec"], "left")
     return (out.withColumn(SEG_DAY, seg_day)
-               .withColumn(SEGMENT, F.when(F.col("_hot"), seg).otherwise(F.lit(0)))
-               .drop("_hot", "_lo", "_hi", "_slices"),
+               .withColumn(SEGMENT, F.coalesce(F.col("_slice"), F.lit(0)))
+               .drop("_hot", "_hot_day", "_sec", "_slice"),
             [SEG_DAY, SEGMENT])
 
 
+def _side(small: DataFrame, rows: int, broadcast_rows: int) -> DataFrame:
+    return F.broadcast(small) if rows <= broadcast_rows else small
+
+
 def lead_in_sequence(df: DataFrame, keys: list[str], order_col: str, values: list[str],
                      seg_cols: list[str], prefix: str = "next_") -> DataFrame:
     """Add ``{prefix}{order_col}`` and ``{prefix}{v}`` = LEAD over (keys ORDER BY order_col).
