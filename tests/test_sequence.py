@@ -55,3 +55,25 @@ def test_row_number_matches_plain_window(spark, max_rows):
             out.setdefault((r.k, r.ts), set()).add(r.rn)
         return out
     assert grouped(got.collect()) == grouped(want.collect())
+
+
+def test_bursty_hot_day_is_packed_evenly(spark):
+    """90% of a key's rows inside one minute: segments stay near the threshold."""
+    n, limit = 4000, 400
+    df = spark.range(n).select(
+        F.lit(7).cast("long").alias("k"),
+        (F.lit("2024-05-01 00:00:00").cast("timestamp") + F.make_dt_interval(
+            F.lit(0), F.lit(0), F.lit(0),
+            F.when(F.col("id") % 10 < 9, (F.col("id") * 7919 % 60_000_000))
+             .otherwise(F.col("id") * 7919 % 86_000_000_000).cast("decimal(18,0)") / 1_000_000)).alias("ts"),
+        F.lit(1).alias("v"))
+    df = df.withColumn("day", F.to_date("ts"))
+    seg, cols = add_segments(df, ["k"], "ts", "day", limit)
+    assert cols == [SEG_DAY, SEGMENT]
+    sizes = [r["count"] for r in seg.groupBy(SEGMENT).count().collect()]
+    per_second = df.groupBy(F.date_trunc("second", "ts")).count().agg(F.max("count")).first()[0]
+    assert len(sizes) >= n // limit - 1
+    assert max(sizes) <= limit + per_second
+    got = lead_in_sequence(seg, ["k"], "ts", ["v"], cols).select("k", "ts", "next_ts")
+    want = df.select("k", "ts", F.lead("ts").over(Window.partitionBy("k").orderBy("ts")).alias("next_ts"))
+    assert sorted(got.collect()) == sorted(want.collect())
