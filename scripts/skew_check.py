@@ -53,23 +53,12 @@ def skewed_snapshots(spark, sf_dir):
     return df.select([F.col(f.name).cast(f.dataType) for f in SNAPSHOT_SCHEMA.fields])
 
 
-def main():
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    limit = int(sys.argv[2]) if len(sys.argv) > 2 else 20_000
-    parts = int(sys.argv[3]) if len(sys.argv) > 3 else 64
-    spark = build_session("local[8]", shuffle_partitions=parts,
-                          extra={"spark.ui.showConsoleProgress": "false",
-                                 "spark.sql.adaptive.coalescePartitions.enabled": "false"})
-    d = tempfile.mkdtemp(prefix="skew-", dir="/tmp")
-    checkpoint_dir(spark, d)
-    skewed_snapshots(spark, sf).write.parquet(f"{d}/snap")
-    city = spark.createDataFrame([(-1, "HOT")], "store_id long, city_name string").unionByName(
-        feeds.bulk_store_city_feed(spark, sf))
-    snap = spark.read.parquet(f"{d}/snap")
-    total = snap.count()
-    hot_rows = snap.filter("store_id = -1 AND sku_id = -1").count()
-    out = {"rows": total, "hot_key_rows": hot_rows, "max_rows_per_segment": limit,
-           "shuffle_partitions": parts}
+def measure(spark, snap, city, limit: int) -> dict:
+    """Largest LEAD task and wall time, unsplit vs split, and whether results agree."""
+    out = {"rows": snap.count(),
+           "hot_key_rows": snap.filter("store_id = -1 AND sku_id = -1").count(),
+           "max_rows_per_segment": limit,
+           "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions"))}
     results = {}
     for label, kw in (("plain", {"max_rows_per_segment": None}),
                       ("split", {"max_rows_per_segment": limit})):
@@ -85,6 +74,28 @@ def main():
                                       "next_event_time")
     out["identical"] = results["plain"].exceptAll(results["split"]).count() == 0 and \
         results["split"].exceptAll(results["plain"]).count() == 0
+    return out
+
+
+def skewed_inputs(spark, sf_dir: str, folder: str):
+    """Skewed snapshots written as Parquet under ``folder``, and their store map."""
+    skewed_snapshots(spark, sf_dir).write.parquet(f"{folder}/skewed_snap")
+    city = spark.createDataFrame([(-1, "HOT")], "store_id long, city_name string").unionByName(
+        feeds.bulk_store_city_feed(spark, sf_dir))
+    return spark.read.parquet(f"{folder}/skewed_snap"), city
+
+
+def main():
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    limit = int(sys.argv[2]) if len(sys.argv) > 2 else 20_000
+    parts = int(sys.argv[3]) if len(sys.argv) > 3 else 64
+    spark = build_session("local[8]", shuffle_partitions=parts,
+                          extra={"spark.ui.showConsoleProgress": "false",
+                                 "spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    d = tempfile.mkdtemp(prefix="skew-", dir="/tmp")
+    checkpoint_dir(spark, d)
+    snap, city = skewed_inputs(spark, sf, d)
+    out = measure(spark, snap, city, limit)
     spark.stop()
     print(json.dumps(out))
 
