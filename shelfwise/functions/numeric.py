@@ -13,9 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Scales PostgreSQL numeric division uses in the reference's
-# expressions (NUMERIC_MIN_SIG_DIGITS = 16, DEC_DIGITS = 4).
-AVG_SCALE = 16
+# PostgreSQL keeps 16 fractional digits (NUMERIC_MIN_SIG_DIGITS)
+# in the mean of integers between 1 and 10^4.
 MEAN_TYPE = "decimal(22,16)"      # avg of units: < 10^6, 16 places
 UNITS_TYPE = "decimal(37,16)"     # summed estimated units before splitting off the whole part
 PART_TYPE = "decimal(37,16)"      # one additive term of the estimated units

@@ -33,12 +33,3 @@ def pg_order(*specs) -> list[Column]:
         else:
             out.append(pg_asc(s))
     return out
-
-
-def pg_max_key(c) -> Column:
-    """Sort key under which ``max`` picks what ``ORDER BY c DESC`` (NULL highest) puts first.
-
-    Spark's ``max(struct(...))`` ranks a NULL field lowest; prefixing an
-    is-null flag restores the PostgreSQL rule without a window.
-    """
-    return F.struct(_col(c).isNull().alias("is_null"), _col(c).alias("v"))
