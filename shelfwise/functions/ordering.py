@@ -21,15 +21,3 @@ def pg_asc(c) -> Column:
 
 def pg_desc(c) -> Column:
     return _col(c).desc_nulls_first()
-
-
-def pg_order(*specs) -> list[Column]:
-    """``pg_order("a", ("b", "desc"))`` -> [a ASC NULLS LAST, b DESC NULLS FIRST]."""
-    out = []
-    for s in specs:
-        if isinstance(s, tuple):
-            name, direction = s
-            out.append(pg_desc(name) if direction.lower() == "desc" else pg_asc(name))
-        else:
-            out.append(pg_asc(s))
-    return out
