@@ -141,3 +141,13 @@ def test_daily_grain_written_or_lazy_give_same_result(spark, checkpoint_daily):
     want = duck_build(SELECTS["city_insights"])
     cols = sorted(want.columns)
     assert as_rows(got, cols) == as_rows(want, cols)
+
+
+def test_dimensions_too_big_to_broadcast_give_same_result(spark):
+    """broadcast_rows=1: the store map and categories fail the size check and
+    are joined by shuffle; the table is unchanged."""
+    snap, city, cat = frames(spark)
+    df = build_city_insights(snap, city, cat, broadcast_rows=1)
+    want = duck_build(SELECTS["city_insights"])
+    cols = sorted(want.columns)
+    assert as_rows(comparable(df).toPandas(), cols) == as_rows(want, cols)
