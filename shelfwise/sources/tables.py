@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
 def _committed(spark: SparkSession, path: str) -> bool:
-    """True if a completed write is at ``path`` (Spark's ``_SUCCESS`` marker)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")))
+    """True if a completed write is at ``path`` (Spark's ``_SUCCESS`` marker).
+
+    A file-source read resolves its path when it is defined, so a missing
+    marker raises right away; no job runs.
+    """
+    try:
+        spark.read.text(path.rstrip("/") + "/_SUCCESS")
+        return True
+    except AnalysisException:
+        return False
 
 
 def create_table_if_absent(df: DataFrame, *, table: str | None = None, path: str | None = None,
