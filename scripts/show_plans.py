@@ -70,8 +70,9 @@ def main() -> None:
              "Reading guide for `city_insights`: the exchange on `(store_id, sku_id)` is the only one "
              "that carries unaggregated snapshot rows (the LEAD window; the daily-grain aggregation and "
              "the two daily-grain windows reuse its partitioning). Every other exchange sits above a "
-             "partial aggregate (price-pair counts, arg-max modes, store totals, the city roll-up) or "
-             "moves city-level aggregated rows to a join. The price-mode and store-total branches are "
+             "partial aggregate (price-pair counts, arg-max modes, store totals) or moves aggregated "
+             "rows: store-level rows once on `(event_date, sku_id, city_name)`, which serves both the "
+             "city roll-up and its join to the modes, and city-level rows to the store-total join. The price-mode and store-total branches are "
              "pruned by Catalyst back to the snapshot columns they need. With 10M+ snapshots they read "
              "the written daily grain instead (`checkpoint_daily`).", ""]
     lines += audit("inventory_movement (LEAD per store and SKU)", movement.inventory_movement(snap, city))

@@ -75,7 +75,11 @@ def city_level_agg(daily: DataFrame, modes: DataFrame, *, dedupe: bool = False)
                                mean16(F.col("_dsum"), F.col("_dcnt")))
     per_store = (d.groupBy(*GROUP_KEYS, "store_id")
                   .agg(F.sum(units).alias("_units"), F.max(stock).alias("_stock")))
-    agg = (per_store.groupBy(*GROUP_KEYS)
+    # One shuffle on (day, sku, city) serves both the roll-up and the join to
+    # the modes, which are partitioned on the same keys.  (A partial aggregate
+    # on all nine keys first would save little: a city-day's stores sit in
+    # different (store, sku) partitions.)
+    agg = (per_store.repartition(*MODE_KEYS).groupBy(*GROUP_KEYS)
                     .agg(F.sum("_units").alias("est_qty_sold"),
                          F.count(F.lit(1)).alias("listed_ds_count"),
                          F.sum("_stock").cast("long").alias("in_stock_store_count")))
