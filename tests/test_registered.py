@@ -41,10 +41,16 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
-    got = _rows(E.queries()[name](spark, SF).toPandas())
-    want = _rows(duck.sql(E.oracle_sql()[name]).df())
+    sp = E.queries()[name](spark, SF).toPandas()
+    dk = duck.sql(E.oracle_sql()[name]).df()
+    got, want = _rows(sp), _rows(dk)
     assert got[0] == want[0]
     assert got[1] == want[1]
+    # strict form: same pandas dtype per column and same text of every value
+    cols = got[0]
+    assert [str(sp[c].dtype) for c in cols] == [str(dk[c].dtype) for c in cols]
+    assert sorted(sp[cols].astype(str).itertuples(index=False, name=None)) == \
+        sorted(dk[cols].astype(str).itertuples(index=False, name=None))
 
 
 def test_entry_smoke(spark):
