@@ -4,12 +4,17 @@
         [--format csv|parquet] [--export-csv DIR] [--reports DIR] [--dedupe]
   python -m shelfwise.cli attendance --log L --out DIR [--format csv|parquet]
         [--window-start TS --window-end TS]
+  python -m shelfwise.cli check --snapshots S --categories C --store-city M --out DIR
+  python -m shelfwise.cli ingest --source FOLDER --table DIR [--name NAME]
 
 ``insights`` loads the three tables, builds city_insights once into
 ``DIR/city_insights`` (skipped if present), optionally exports it as CSV and
 writes the seven reports.  ``attendance`` writes hours worked and, with a
-window, hours inside it.  Paths may be local or any filesystem Spark reads;
-on a cluster they must be shared.
+window, hours inside it.  ``check`` reports NOT NULL and key violations of
+the three inputs (one row per rule, a small report written from one task).
+``ingest`` loads new snapshot CSV files into a Parquet table exactly once.
+Paths may be local or any filesystem Spark reads; on a cluster they must be
+shared.
 """
 
 from __future__ import annotations
@@ -54,6 +59,28 @@ def run_attendance(spark: SparkSession, a) -> None:
                          f"{out}/hours_in_window")
 
 
+def run_check(spark: SparkSession, a) -> None:
+    """Key and NOT NULL rules of the three input tables -> one CSV report."""
+    from .operators.quality import key_violations
+    from .sources import schemas
+    parts = [
+        key_violations(_load(spark, a.snapshots, a.format, csv_io.read_snapshots),
+                       "inventory_snapshots", schemas.SNAPSHOT_KEY, schemas.SNAPSHOT_NOT_NULL),
+        key_violations(_load(spark, a.store_city, a.format, csv_io.read_store_city),
+                       "store_city", schemas.STORE_CITY_KEY, []),
+        key_violations(_load(spark, a.categories, a.format, csv_io.read_categories),
+                       "category_dim", schemas.CATEGORY_KEY, []),
+    ]
+    report = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    csv_io.write_csv(report.coalesce(1), a.out)
+
+
+def run_ingest(spark: SparkSession, a) -> None:
+    """Snapshot CSV drops -> Parquet table, exactly once (processes what is there)."""
+    from .streaming.ingest import start_snapshot_ingest
+    start_snapshot_ingest(spark, a.source, a.table, name=a.name).awaitTermination()
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="shelfwise")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -72,6 +99,16 @@ def parser() -> argparse.ArgumentParser:
     t.add_argument("--format", choices=["csv", "parquet"], default="csv")
     t.add_argument("--window-start")
     t.add_argument("--window-end")
+    c = sub.add_parser("check")
+    c.add_argument("--snapshots", required=True)
+    c.add_argument("--categories", required=True)
+    c.add_argument("--store-city", required=True)
+    c.add_argument("--out", required=True)
+    c.add_argument("--format", choices=["csv", "parquet"], default="csv")
+    g = sub.add_parser("ingest")
+    g.add_argument("--source", required=True, help="folder (or glob) receiving snapshot CSV files")
+    g.add_argument("--table", required=True, help="Parquet table path")
+    g.add_argument("--name", default="snapshot_ingest", help="stream name (checkpoint sub-folder)")
     return p
 
 
@@ -80,7 +117,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if spark is None:
         from .session import build_session
         spark = build_session(app=f"shelfwise-{a.cmd}")
-    (run_insights if a.cmd == "insights" else run_attendance)(spark, a)
+    {"insights": run_insights, "attendance": run_attendance, "check": run_check,
+     "ingest": run_ingest}[a.cmd](spark, a)
 
 
 if __name__ == "__main__":

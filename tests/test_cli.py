@@ -39,3 +39,20 @@ def test_attendance_flow(spark, scratch):
           for r in spark.read.option("header", True).csv(os.path.join(out, "hours_worked")).collect()}
     assert hw["E005"] == 7.45 and len(hw) == 7
     assert spark.read.option("header", True).csv(os.path.join(out, "hours_in_window")).count() == 7
+
+
+def test_check_and_ingest(spark, scratch):
+    snap, city, cat = frames(spark)
+    paths = {n: os.path.join(scratch, n) for n in ("snap", "city", "cat", "report", "table")}
+    csv_io.write_csv(snap.unionByName(snap.limit(1)), paths["snap"])     # one duplicate key
+    csv_io.write_csv(city, paths["city"])
+    csv_io.write_csv(cat, paths["cat"])
+    cli.main(["check", "--snapshots", paths["snap"], "--categories", paths["cat"],
+              "--store-city", paths["city"], "--out", paths["report"]], spark=spark)
+    rep = {(r.table_name, r.rule): int(r.violating_rows)
+           for r in spark.read.option("header", True).csv(paths["report"]).collect()}
+    assert rep[("inventory_snapshots", "unique:created_at,sku_id,store_id")] == 2
+    assert rep[("store_city", "unique:store_id")] == 0
+    cli.main(["ingest", "--source", paths["snap"], "--table", paths["table"],
+              "--name", "cli_" + os.path.basename(scratch).replace("-", "_")], spark=spark)
+    assert spark.read.parquet(paths["table"]).count() == snap.count() + 1
