@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # larger scan tasks for big inputs (fewer, ~256 MB splits)
+    "spark.sql.files.maxPartitionBytes": "256m",
 }
 
 
