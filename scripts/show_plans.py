@@ -73,7 +73,7 @@ def main() -> None:
              "partial aggregate (price-pair counts, arg-max modes, store totals) or moves aggregated "
              "rows: store-level rows once on `(event_date, sku_id, city_name)`, which serves both the "
              "city roll-up and its join to the modes, and city-level rows to the store-total join. The price-mode and store-total branches are "
-             "pruned by Catalyst back to the snapshot columns they need. With 10M+ snapshots they read "
+             "pruned by Catalyst back to the snapshot columns they need. With 1M+ snapshots they read "
              "the written daily grain instead (`checkpoint_daily`).", ""]
     lines += audit("inventory_movement (LEAD per store and SKU)", movement.inventory_movement(snap, city))
     lines += audit("city_insights (whole build as one lazy plan)", ins)

