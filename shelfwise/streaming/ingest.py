@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import checkpoint_dir
+from ..session import staging_dir
 from ..sources.csv_io import reader_options, restore_empty_strings
 from ..sources.schemas import SNAPSHOT_SCHEMA
 
@@ -23,7 +23,8 @@ def start_snapshot_ingest(spark: SparkSession, source_dir: str, table_path: str,
                           max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the ingest; ``available_now`` processes what is there and stops.
 
-    The stream checkpoint goes under the cluster's shared checkpoint folder.
+    The stream checkpoint goes under the cluster's shared checkpoint folder
+    (else the session's warehouse folder).
     Output is partitioned by snapshot date so the build can prune by day.
     """
     from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ def start_snapshot_ingest(spark: SparkSession, source_dir: str, table_path: str,
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = (restore_empty_strings(reader.csv(source_dir), SNAPSHOT_SCHEMA)
               .withColumn("snapshot_date", F.to_date("created_at")))
-    ckpt = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    ckpt = f"{staging_dir(spark).rstrip('/')}/streams/{name}"
     writer = (stream.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", ckpt)
               .partitionBy("snapshot_date")
