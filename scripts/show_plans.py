@@ -76,6 +76,10 @@ def main() -> None:
              "pruned by Catalyst back to the snapshot columns they need. With 1M+ snapshots they read "
              "the written daily grain instead (`checkpoint_daily`).", ""]
     lines += audit("inventory_movement (LEAD per store and SKU)", movement.inventory_movement(snap, city))
+    lines += audit("inventory_movement with hot keys split (threshold forced down to 10 rows, so "
+                   "every key above it is cut by day and packed; the other exchanges are the small "
+                   "cached hot-key tables)",
+                   movement.inventory_movement(snap, city, max_rows_per_segment=10))
     lines += audit("city_insights (whole build as one lazy plan)", ins)
     lines += audit("top_skus (report on the built table)", analyses.top_skus(ins))
     lines += audit("hours_worked", attendance.hours_worked(log))

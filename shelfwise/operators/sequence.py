@@ -60,7 +60,8 @@ def add_segments(df: DataFrame, keys: list[str], ts_col: str, day_col: str,
       running row count over its seconds: ``segment`` = floor(rows in earlier
       seconds / max_rows).  A segment then holds at most ``max_rows`` plus one
       second of one key, however the rows are spread over the day.  Adds and
-      returns ``["segment_day", "segment"]``.
+      returns ``["segment_day", "segment"]`` (just ``["segment_day"]`` when no
+      single day is above the threshold).
 
     The hot-key table has at most total_rows / max_rows rows, the hot-day
     table likewise, and the per-second table at most 86,400 rows per hot day;
@@ -83,9 +84,8 @@ def add_segments(df: DataFrame, keys: list[str], ts_col: str, day_col: str,
                       .select(*keys, day_col, F.lit(True).alias("_hot_day"))
                       .cache())
     n_days = hot_days.count()
-    if n_days == 0:
-        return (marked.withColumn(SEG_DAY, seg_day).withColumn(SEGMENT, F.lit(0)).drop("_hot"),
-                [SEG_DAY, SEGMENT])
+    if n_days == 0:                      # split by day only; no constant split column
+        return marked.withColumn(SEG_DAY, seg_day).drop("_hot"), [SEG_DAY]
     second = F.floor(_micros_into_day(F.col(ts_col)) / 1_000_000)
     rows = (marked.join(_side(hot_days, n_days, broadcast_rows), keys + [day_col], "left")
                   .withColumn("_sec", second))

@@ -77,3 +77,21 @@ def test_bursty_hot_day_is_packed_evenly(spark):
     got = lead_in_sequence(seg, ["k"], "ts", ["v"], cols).select("k", "ts", "next_ts")
     want = df.select("k", "ts", F.lead("ts").over(Window.partitionBy("k").orderBy("ts")).alias("next_ts"))
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_hot_key_without_hot_days_splits_by_day_only(spark):
+    df = spark.range(300).select(
+        (F.col("id") % 2).alias("k"),
+        (F.lit("2024-01-01 08:00:00").cast("timestamp")
+         + F.make_dt_interval(F.col("id") % 100, F.col("id") % 7)).alias("ts"),
+        (F.col("id") * 13 % 17).cast("int").alias("v"))
+    df = df.withColumn("day", F.to_date("ts"))          # 150 rows per key, <= 3 per key-day
+    seg, cols = add_segments(df, ["k"], "ts", "day", 20)
+    assert cols == [SEG_DAY] and SEGMENT not in seg.columns
+    got = lead_in_sequence(seg, ["k"], "ts", ["v"], cols).select("k", "ts", "next_ts", "next_v")
+    w = Window.partitionBy("k").orderBy("ts")
+    want = df.select("k", "ts", F.lead("ts").over(w).alias("next_ts"), F.lead("v").over(w).alias("next_v"))
+    assert sorted(got.collect()) == sorted(want.collect())
+    rn = number_in_sequence(seg, ["k"], "ts", cols).select("k", "ts", "rn")
+    want_rn = df.select("k", "ts", F.row_number().over(w).alias("rn"))
+    assert sorted(rn.collect()) == sorted(want_rn.collect())
