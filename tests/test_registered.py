@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from shelfwise.plans import oracle, registry
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -36,13 +37,13 @@ def _rows(pdf):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) <= set(E.oracle_sql())
+    assert set(registry.queries()) <= set(oracle.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, duck, name):
-    sp = E.queries()[name](spark, SF).toPandas()
-    dk = duck.sql(E.oracle_sql()[name]).df()
+    sp = registry.queries()[name](spark, SF).toPandas()
+    dk = duck.sql(oracle.oracle_sql()[name]).df()
     got, want = _rows(sp), _rows(dk)
     assert got[0] == want[0]
     assert got[1] == want[1]
