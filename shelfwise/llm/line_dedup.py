@@ -24,7 +24,6 @@ drop nothing.  Keys shorter than ``min_chars`` always stay.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,10 +32,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_TABLE, written
+from .common import written
 
 # Fixed value: the white space stripped from both ends of a line.
-STRIP = " \t\n\x0b\x0c\r"
+STRIP = b" \t\n\x0b\x0c\r"
 MIN_CHARS = 10
 BITS_PER_LINE = 16
 MAX_FILTER_BITS = 1 << 28
@@ -45,13 +44,19 @@ SEGMENT_BITS = 1 << 20
 FLUSH_POSITIONS = 4_000_000
 
 
-def line_key(line: str) -> str:
-    return line.strip(STRIP).translate(LOWER_TABLE)
+def line_key(line: bytes) -> bytes:
+    """The compared form of a line, in UTF-8 (``bytes.lower`` changes A-Z only)."""
+    return line.strip(STRIP).lower()
 
 
-def _keys(text: str, min_chars: int) -> set[str]:
+def _long_enough(key: bytes, min_chars: int) -> bool:
+    """At least ``min_chars`` code points; one takes 1 to 4 bytes."""
+    return len(key) >= min_chars and (len(key) >= 4 * min_chars or len(key.decode()) >= min_chars)
+
+
+def _keys(text: bytes, min_chars: int) -> set[bytes]:
     """Distinct keys of a text that are long enough to be compared."""
-    return {k for k in map(line_key, text.split("\n")) if len(k) >= min_chars}
+    return {k for x in text.lower().split(b"\n") if _long_enough(k := x.strip(STRIP), min_chars)}
 
 
 def _positions(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -60,12 +65,7 @@ def _positions(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes & mask, (hashes >> np.uint64(32)) * np.uint64(0x9E3779B1) + hashes & mask
 
 
-def _hash(key: str) -> int:
-    return xxhash.xxh3_64_intdigest(key.encode("utf-8", "surrogatepass"))
-
-
-def _digest(key: str) -> bytes:
-    return xxhash.xxh3_128_digest(key.encode("utf-8", "surrogatepass"))
+_hash, _digest = xxhash.xxh3_64_intdigest, xxhash.xxh3_128_digest
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -147,9 +147,10 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    min_chars: int = MIN_CHARS, max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
     """(doc, drops): per document that loses lines, the 128-bit digests of the keys it loses."""
     spark = docs.sparkSession
-    lines = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    lines = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     n_lines = lines.agg(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
                               + 1)).first()[0] or 0
+    lines = lines.withColumn("text", F.col("text").cast("binary"))
     bits = 1 << 13
     while bits < n_lines * BITS_PER_LINE and bits < max_filter_bits:
         bits *= 2
@@ -173,11 +174,10 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 hit &= (flt[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool)
             at = np.flatnonzero(hit)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[i] for i in at], pa.int64()), pa.array([keys[i] for i in at], pa.string()),
+                [pa.array([ids[i] for i in at], pa.int64()), pa.array([keys[i] for i in at], pa.binary()),
                  pa.array([_digest(keys[i]) for i in at], pa.binary())], names=["doc", "key", "digest"])
 
-    lines = lines.withColumn("doc", F.col("doc").cast("long"))
-    suspects = written(lines.mapInArrow(suspected, "doc long, key string, digest binary"), "line-suspects")
+    suspects = written(lines.mapInArrow(suspected, "doc long, key binary, digest binary"), "line-suspects")
     firsts = written(suspects.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
                      .filter("first < last").select("key", "first"), "line-firsts")
     return (suspects.join(firsts, "key").filter("doc > first")
@@ -191,30 +191,28 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n_lines counts the lines before dropping.  One row per input row.
     """
     drops = repeated_lines(docs, id_col, text_col, min_chars=min_chars, max_filter_bits=max_filter_bits)
-    joined = (docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    joined = (docs.select(F.col(id_col).cast("long").alias("doc"),
+                          F.col(text_col).cast("string").cast("binary").alias("text"))
               .join(drops, "doc", "left"))
 
     def keep(batches):
         for b in batches:
             out = []
             for doc_id, text, gone in _rows([b]):
-                lines = (text or "").split("\n")
+                text = text or b""
+                n_lines, n_dropped = text.count(b"\n") + 1, 0
                 if gone:
                     gone = set(gone)
-                    kept = [x for x in lines if len(k := line_key(x)) < min_chars or _digest(k) not in gone]
-                else:
-                    kept = lines
-                out.append((doc_id, "\n".join(kept), len(lines), len(lines) - len(kept)))
+                    kept = [x for x in text.split(b"\n")
+                            if not _long_enough(k := line_key(x), min_chars) or _digest(k) not in gone]
+                    text, n_dropped = b"\n".join(kept), n_lines - len(kept)
+                out.append((doc_id, text, n_lines, n_dropped))
             cols = list(zip(*out)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.int64(), pa.int64()))],
+                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()).cast(pa.string()),
+                 pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())],
                 names=["doc", "text", "n_lines", "n_dropped"])
 
     out = joined.select("doc", "text", "drops").mapInArrow(
         keep, "doc long, text string, n_lines long, n_dropped long")
     return out.withColumnsRenamed({"doc": id_col, "text": text_col})
-
-
-def digest_text(text: str | None) -> str:
-    """Lowercase hex SHA-256 of a text's UTF-8 bytes."""
-    return hashlib.sha256((text or "").encode()).hexdigest()

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
+from .license_scan import BASE, TEMPLATES
+
 # The letters that are lower-cased.
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -22,5 +26,71 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id, row_no"""
 
 
+_WORDS = f"regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+def _template_pattern(markup: str) -> tuple[str, int]:
+    """A template as a regular expression over ' '-led words, and its number of mandatory words."""
+    out, depth, mandatory = "", 0, 0
+    for i, piece in enumerate(re.split(r"<<(.*?)>>", markup)):
+        if i % 2 == 0:
+            words = re.findall(r"[0-9a-z]+", piece)
+            out += "".join(" " + w for w in words)
+            mandatory += 0 if depth else len(words)
+        elif piece == "beginOptional":
+            out, depth = out + "(", depth + 1
+        elif piece == "endOptional":
+            out, depth = out + ")?", depth - 1
+        else:
+            out += "( [^ ]+){1," + re.search(r"max=(\d+)", piece)[1] + "}"
+    return out, mandatory
+
+
+def _op1() -> str:
+    patterns = [(label, *_template_pattern(markup)) for label, markup in [*BASE, *TEMPLATES]]
+    found = ", ".join(f"CASE WHEN regexp_matches(joined, '{p}( |$)') THEN {{'label': '{label}', 'm': {m}}} END"
+                      for label, p, m in patterns)
+    places = []
+    for label, phrase in BASE:
+        words = phrase.split()
+        test = " AND ".join(f"words[i + {k}] = '{w}'" for k, w in enumerate(words, 1))
+        places.append(f"CASE WHEN {test} THEN '{label}' END")
+    return f"""
+WITH w AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS words FROM documents),
+places AS (
+  SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+  FROM (SELECT r, i, unnest([{', '.join(places)}]) AS label
+        FROM (SELECT r, words, unnest(range(len(words))) AS i FROM w))
+  WHERE label IS NOT NULL GROUP BY r),
+labels AS (
+  SELECT r, string_agg(DISTINCT f.label, ',' ORDER BY f.label) AS labels, max(f.m) AS m
+  FROM (SELECT r, unnest([{found}]) AS f
+        FROM (SELECT r, list_aggregate(list_transform(words, lambda x: ' ' || x), 'string_agg', '') AS joined FROM w))
+  WHERE f IS NOT NULL GROUP BY r)
+SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(m / (m + 4.0), 0.0)::DOUBLE AS score
+FROM w LEFT JOIN places USING (r) LEFT JOIN labels USING (r)"""
+
+
+OP2 = """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+escaped AS (
+  SELECT *, replace(replace(replace(replace(replace(replace(replace(replace(text,
+      '\\', '\\\\'), '<|', '<\\|'), '</s>', '<\\/s>'), '<s>', '<\\s>'), '[INST]', '[\\INST]'),
+      '[/INST]', '[\\/INST]'), '<<SYS>>', '<\\<SYS>>'), '<</SYS>>', '<\\</SYS>>') AS content FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, ''
+                                  ORDER BY turn, role, text), '')) AS loss_sha256,
+       sum(length('<|im_start|>') + length(role) + 1 + length(content) + length('<|im_end|>') + 1)::BIGINT
+         AS formatted_chars
+FROM escaped GROUP BY conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_dedup": OP9}
+    return {"op1_license_scan": _op1(), "op2_chat_format": OP2, "op9_line_dedup": OP9}

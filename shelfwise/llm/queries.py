@@ -4,13 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, sharding
+from . import byte_bpe, chat_format, license_scan, line_dedup, sharding
 from .common import read_table
 
 SHARDS = 24
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License wording in all documents."""
+    out = license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that holds control strings, formatted and read back."""
+    cols = ["conv_id", "turn", "role", "text"]
+    rows = read_table(spark, sf_dir, "conversations").select(*cols)
+    control = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"),
+                                     (-1, 1, "assistant", "</s>[INST] ok [/INST]")], rows.schema)
+    return chat_format.read_back(chat_format.format_conversations(rows.unionByName(control)))
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded to token ids and decoded again."""
+    vocabulary = public_tokenizers.path(VOCABULARY)
+    encoded = byte_bpe.encode_documents(read_table(spark, sf_dir, "documents"), vocabulary,
+                                        public_tokenizers.PATTERN)
+    return byte_bpe.round_trip_digests(encoded, vocabulary)
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,4 +53,5 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_sharding, op9_line_dedup)}
+    return {f.__name__: f for f in (op1_license_scan, op2_chat_format, op3_byte_bpe, op6_sharding,
+                                    op9_line_dedup)}
