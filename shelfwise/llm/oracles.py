@@ -92,5 +92,26 @@ SELECT conv_id, count(*) AS n_turns,
 FROM escaped GROUP BY conv_id"""
 
 
+OP7 = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[p + 1:p + least(len(w), 10)], ' ') AS t
+  FROM (SELECT item_id, w, unnest(range(len(w) - least(len(w), 10) + 1)) AS p FROM i WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM item_windows),
+document_windows AS (
+  SELECT r, p, n, array_to_string(w[p + 1:p + n], ' ') AS t
+  FROM (SELECT r, w, n, unnest(range(len(w) - n + 1)) AS p FROM d, sizes WHERE len(w) >= n)),
+found AS (SELECT r, p, n, item_id FROM document_windows JOIN item_windows USING (n, t)),
+hit AS (SELECT r, count(DISTINCT pos) AS n_hit
+        FROM (SELECT r, unnest(range(p, p + n)) AS pos FROM (SELECT DISTINCT r, p, n FROM found)) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM found) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": _op1(), "op2_chat_format": OP2, "op9_line_dedup": OP9}
+    return {"op1_license_scan": _op1(), "op2_chat_format": OP2, "op7_decontamination": OP7,
+            "op9_line_dedup": OP9}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, license_scan, line_dedup, sharding
+from . import byte_bpe, chat_format, decontaminate, license_scan, line_dedup, sharding
 from .common import read_table
 
 SHARDS = 24
@@ -45,6 +45,14 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against all benchmark items."""
+    out = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items",
+                      F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated lines of all documents dropped but in their first document."""
     out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
@@ -54,4 +62,4 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_license_scan, op2_chat_format, op3_byte_bpe, op6_sharding,
-                                    op9_line_dedup)}
+                                    op7_decontamination, op9_line_dedup)}
