@@ -112,6 +112,25 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)"""
 
 
+OP8 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^ \\t-\\r]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(len(w) - 3), lambda p: array_to_string(w[p + 1:p + 4], ' ')) END) AS s FROM d),
+tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
+both_ways AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM sets
+  UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a)
+SELECT doc_id, len(any_value(s)) AS n_shingles, min(b) AS component_id
+FROM sets JOIN reach ON a = doc_id GROUP BY doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_license_scan": _op1(), "op2_chat_format": OP2, "op7_decontamination": OP7,
-            "op9_line_dedup": OP9}
+            "op8_ngram_jaccard_join": OP8, "op9_line_dedup": OP9}

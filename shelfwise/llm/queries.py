@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, decontaminate, license_scan, line_dedup, sharding
+from . import byte_bpe, chat_format, decontaminate, license_scan, line_dedup, ngram_join, sharding
 from .common import read_table
 
 SHARDS = 24
@@ -53,6 +53,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose 4-word shingles are 85 % alike."""
+    return ngram_join.ngram_components(read_table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated lines of all documents dropped but in their first document."""
     out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
@@ -62,4 +67,4 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_license_scan, op2_chat_format, op3_byte_bpe, op6_sharding,
-                                    op7_decontamination, op9_line_dedup)}
+                                    op7_decontamination, op8_ngram_jaccard_join, op9_line_dedup)}
