@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, decontaminate, license_scan, line_dedup, ngram_join, sharding
+from . import (ann, byte_bpe, chat_format, decontaminate, license_scan, line_dedup, ngram_join, sharding,
+               toxicity)
 from .common import read_table
 
 SHARDS = 24
@@ -38,6 +39,14 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(encoded, vocabulary)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of the labelled ones that are not held out."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards by law ``rows`` (counts at most one apart)."""
     out = sharding.shard_documents(read_table(spark, sf_dir, "documents"), SHARDS)
@@ -65,6 +74,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every row whose vec_id is divisible by 20, of all embeddings."""
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_chat_format, op3_byte_bpe, op6_sharding,
-                                    op7_decontamination, op8_ngram_jaccard_join, op9_line_dedup)}
+    return {f.__name__: f for f in (
+        op1_license_scan, op2_chat_format, op3_byte_bpe, op5_toxicity, op6_sharding, op7_decontamination,
+        op8_ngram_jaccard_join, op9_line_dedup, op10_nearest_neighbours)}
