@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (ann, byte_bpe, chat_format, decontaminate, license_scan, line_dedup, ngram_join, sharding,
-               toxicity)
+               toxicity, url_filter)
 from .common import read_table
 
 SHARDS = 24
@@ -39,6 +39,13 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(encoded, vocabulary)
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by the rules, else by the model."""
+    out = url_filter.judge_urls(read_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "host", "path", "rule", "verdict", "score",
+                      F.concat_ws(" ", "words").alias("words"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scored by a model of the labelled ones that are not held out."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -81,5 +88,5 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_license_scan, op2_chat_format, op3_byte_bpe, op5_toxicity, op6_sharding, op7_decontamination,
-        op8_ngram_jaccard_join, op9_line_dedup, op10_nearest_neighbours)}
+        op1_license_scan, op2_chat_format, op3_byte_bpe, op4_url_filter, op5_toxicity, op6_sharding,
+        op7_decontamination, op8_ngram_jaccard_join, op9_line_dedup, op10_nearest_neighbours)}

@@ -74,7 +74,7 @@ class Model:
             return []
         out = []
         for i, s in enumerate(_SENTENCE.split(text)):
-            z = [x for x in map(self.known, sorted(set(_WORD.findall(s)))) if x]
+            z = [x for x in map(self.known, _WORD.findall(s)) if x]
             if z:
                 out.append((i, float(1 / (1 + np.exp(-np.clip(self.bias + sum(z), -30, 30))))))
         return out
@@ -143,7 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             for label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 own = []
                 for s in _SENTENCE.split((text or b"").lower()):
-                    hits = [number[f] for w in sorted(set(_WORD.findall(s))) for f in features_of(w) if f in number]
+                    hits = [number[f] for w in _WORD.findall(s) for f in features_of(w) if f in number]
                     if hits:
                         own += [*hits, -1]
                 y.append(label)
@@ -157,8 +157,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return Model(dict(zip(names, weights.tolist())), bias)
 
 
-def train(bags: list[tuple[int, list[int]]], n_features: int, *, steps: int = 200, rate: float = 0.3,
-          decay: float = 1e-4) -> tuple[np.ndarray, float]:
+def train(bags: list[tuple[int, list[int]]], n_features: int, *, steps: int = 300, rate: float = 0.2,
+          decay: float = 1e-6) -> tuple[np.ndarray, float]:
     """Adam on the noisy-or likelihood, classes weighted equally.
 
     A bag is a document: feature numbers with -1 after each sentence.
