@@ -10,19 +10,21 @@ Documents whose sets of word n-grams (shingles) have a Jaccard similarity of
    share at least EXTRA tokens with y's prefix (all of both, if they are
    smaller).  Prefixes are all that is shuffled for the candidate search.
 3. Documents with equal sets are one node.  Similar nodes are put into groups:
-   each is compared with the smallest and largest node it shares a prefix
-   token with, and linked nodes form a group.  A large family of near copies
-   becomes one group this way by comparisons that grow as its size.
-4. The token-group matrix has a row (token, group) for the union of a group's
-   prefix tokens.  A node's overlap with another group is bounded by the
-   number of its prefix tokens in that union; only where the bound reaches
-   what a link needs is the group opened, and the node compared with those
-   members that share that many prefix tokens themselves.  Nodes already in
-   one group are never compared again, as they are in one component.
-
-Every comparison is of the whole sets, recomputed from the texts of the few
-documents that share a token.  The order, and so the sketch, decides only how
-many candidates there are, never the result: no link is lost to hot tokens.
+   in a few rounds each visits one leader, the holder of one of its tokens,
+   and linked nodes form a group.  A large family of near copies becomes one
+   group this way by comparisons that grow as its size.
+4. Groups are cut into blocks of about ``BLOCK`` nodes, and the token-group
+   matrix has a row (token, block) for the union of a block's prefix tokens.
+   A node's overlap with a block of another group is bounded by the number of
+   its prefix tokens in that union; only where that reaches what a link needs
+   is the block opened and the node compared with its members.  Nodes of one
+   group are never compared, as they are in one component, and of two groups
+   the smaller one's nodes visit the larger one's blocks.
+
+A visit compares whole sets, recomputed from the texts of the nodes that share
+a token.  A task holds one block and streams its visitors, in slices of about
+``SLICE``.  The order, and so the sketch, and the rounds decide only how many
+visits there are, never the result: no link is lost to hot tokens.
 
 Cases: a text of fewer than ``words`` words has its whole sequence as its one
 shingle; one without words has an empty set, is linked with nothing and is its
@@ -32,8 +34,7 @@ component (null).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from functools import reduce
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +50,11 @@ BUCKETS = 1 << 22
 SEGMENTS = 64
 # prefix tokens a link shares at least
 EXTRA = 3
-# rounds of grouping before groups are opened
-ROUNDS = 2
+# rounds of grouping before blocks are opened
+ROUNDS = 3
+# nodes of a group in a block, and visitors of a block in one slice
+BLOCK = 128
+SLICE = 512
 # node ids or tokens (8 bytes) that may be sent to every executor
 BROADCAST_ROWS = 1_000_000
 
@@ -82,11 +86,26 @@ def shingles(text: bytes | None, words: int) -> np.ndarray:
     return x[np.concatenate([[True], x[1:] != x[:-1]])]
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    if not len(a) or not len(b) or 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-        return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= percent * (len(a) + len(b) - both)
+class Block:
+    """Sets of a block's members, compared with a visitor's at once."""
+
+    def __init__(self, members: list[tuple[int, np.ndarray]], percent: int):
+        self.ids = np.array([m for m, _ in members], np.int64)
+        self.sizes = np.array([len(t) for _, t in members], np.int64)
+        tokens = np.concatenate([t for _, t in members])
+        order = np.argsort(tokens, kind="stable")
+        self.tokens = tokens[order]
+        self.owner = np.repeat(np.arange(len(members)), self.sizes)[order]
+        self.percent = percent
+
+    def links(self, visitor: int, tokens: np.ndarray) -> np.ndarray:
+        """Members whose sets are similar enough to the visitor's."""
+        lo, hi = (np.searchsorted(self.tokens, tokens, side) for side in ("left", "right"))
+        n = hi - lo
+        at = np.repeat(hi - np.cumsum(n), n) + np.arange(n.sum())
+        both = np.bincount(self.owner[at], minlength=len(self.ids))
+        similar = 100 * both >= self.percent * (self.sizes + len(tokens) - both)
+        return self.ids[similar & (both > 0) & (self.ids != visitor)]
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -173,30 +192,70 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+def _shared(index: DataFrame) -> DataFrame:
+    """(token, doc, n, lead, lead_n) of the tokens that two nodes hold; lead is the smallest of them.
+
+    One shuffle, streamed in order: no token's holders are ever collected.
+    """
+    names = ["token", "doc", "n", "lead", "lead_n"]
+
+    def held(batches):
+        first, last, told = None, None, False         # first and last (token, doc, n) of the current token
+        for b in batches:
+            out = []
+            for row in _rows([b]):
+                if last is not None and row[0] == last[0]:
+                    if row[1] == last[1]:
+                        continue
+                    if not told:
+                        out.append((*first, *first[1:]))
+                        told = True
+                    out.append((*row, *first[1:]))
+                else:
+                    first, told = row, False
+                last = row
+            cols = list(zip(*out)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
+
+    return (index.select("token", "doc", F.col("n").cast("long").alias("n")).repartition("token")
+            .sortWithinPartitions("token", "doc")
+            .mapInArrow(held, "token long, doc long, n long, lead long, lead_n long"))
+
+
+def _links(visits: DataFrame, blocks: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): visitor and member of each visit whose sets are similar enough.
+
+    ``visits``: (block, part, x); ``blocks``: (block, part, member).
+    """
     def compare(batches):
-        last, sets = None, None
+        at, members, block = None, [], None
         for b in batches:
             out = []
-            for x, tx, y, ty in _rows([b]):
-                if last != (x, tx):
-                    last, sets = (x, tx), shingles(tx, words)
-                if linked(sets, shingles(ty, words), percent):
-                    out.append((x, y))
+            for key, part, piece, kind, doc, text in _rows([b]):
+                if (key, part, piece) != at:
+                    at, members, block = (key, part, piece), [], None
+                tokens = shingles(text, words)
+                if kind == 0:
+                    members.append((doc, tokens))
+                else:
+                    if block is None:
+                        block = Block(members, percent)
+                    out += [(doc, m) for m in block.links(doc, tokens).tolist()]
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)],
                                              names=["a", "b"])
 
-    ta = texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a"))
-    tb = texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b"))
-    return (pairs.join(tb, "b").join(ta, "a").select("a", "text_a", "b", "text_b")
-            .mapInArrow(compare, "a long, b long").distinct())
-
-
-def _ordered_pairs(pairs: DataFrame, percent: int) -> DataFrame:
-    """Distinct (a, b), a < b, of (x, nx, y, ny) rows whose sizes allow a link."""
-    return (pairs.filter(f"x != y and 100L * least(nx, ny) >= {percent}L * greatest(nx, ny)")
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    slices = written(visits.groupBy("block", "part").agg(F.count(F.lit(1)).alias("visitors"))
+                     .select("block", "part", F.ceil(F.col("visitors") / SLICE).cast("int").alias("slices")), "slices")
+    slices = _small(slices)
+    every = F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
+    rows = (blocks.join(slices, ["block", "part"])
+            .select("block", "part", every.alias("slice"), F.lit(0).alias("kind"), F.col("member").alias("doc"))
+            .unionByName(visits.join(slices, ["block", "part"])
+                         .select("block", "part", F.pmod(F.xxhash64("x"), F.col("slices")).cast("int").alias("slice"),
+                                 F.lit(1).alias("kind"), F.col("x").alias("doc"))))
+    return (_small(written(rows, "visits")).join(texts, "doc").repartition("block", "part", "slice")
+            .sortWithinPartitions("block", "part", "slice", "kind")
+            .select("block", "part", "slice", "kind", "doc", "text").mapInArrow(compare, "a long, b long"))
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, words: int = 5,
@@ -206,66 +265,79 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                        F.col(text_col).cast("string").cast("binary").alias("text"))
     ranks = token_ranks(rows.select("text"), words)
     prefixes = written(_prefixes(rows, ranks, words, percent), "prefixes")
-    nodes = (prefixes.filter("n > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("node")))
-    members = written(prefixes.select("id", "n", "digest").join(nodes, "digest", "left")
+    nodes = written(prefixes.filter("n > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("node")),
+                    "nodes")
+    members = written(prefixes.select("id", "n", "digest").join(_small(nodes), "digest", "left")
                       .select("id", "n", F.when(F.col("id").isNotNull(), F.col("node")).alias("node")), "members")
     heads = members.filter("id = node").select("id").distinct()
-    index = (prefixes.filter("n > 0").join(_small(heads), "id", "left_semi")
-             .select(F.col("id").alias("doc"), "n", F.explode("prefix").alias("token")))
-    shared = written(index.groupBy("token").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-                     .filter("lo < hi").select("token"), "shared-tokens")
-    index = written(index.join(_small(shared), "token").select("token", "doc", "n").distinct(), "index")
+    index = written(_shared(prefixes.filter("n > 0").join(_small(heads), "id", "left_semi")
+                            .select(F.col("id").alias("doc"), "n", F.explode("prefix").alias("token"))), "index")
     labels = written(index.select(F.col("doc").alias("node")).distinct()
                      .select("node", F.col("node").alias("comp")), "labels")
     texts = written(rows.join(_small(labels.select(F.col("node").alias("id"))), "id", "left_semi")
-                    .select(F.col("id").alias("doc"), "text").distinct(), "texts")
-
-    links: list[DataFrame] = []
-
-    def merge(pairs: DataFrame) -> None:
-        nonlocal labels
-        links.append(written(_compared(written(pairs, "pairs"), texts, words, percent), "links"))
-        labels = relabel(labels, reduce(DataFrame.unionByName, links))
-
-    for _ in range(ROUNDS):
-        merge(_ordered_pairs(_leaders(index, labels), percent))
-    merge(_opened(index, labels, percent))
-    return (members.join(labels, "node", "left")
+                    .select(F.col("id").alias("doc"), "text"), "texts")
+    led = index
+    for turn in range(ROUNDS):
+        if turn:
+            led = written(_led(led.select("token", "doc", "n"), labels, turn), "index")
+        visits = written(_leader_visits(led, percent), "leader-visits")
+        leaders = visits.select("block", "part", F.col("block").alias("member")).distinct()
+        labels = relabel(labels, written(_links(visits, leaders, texts, words, percent), "links"))
+    held = written(_open(led.select("token", "doc", "n"), labels), "open-index")
+    visits = written(_block_visits(held, percent), "block-visits")
+    blocks = held.select("block", "part", F.col("doc").alias("member")).distinct()
+    labels = relabel(labels, written(_links(visits, blocks, texts, words, percent), "links"))
+    return (members.join(_small(labels), "node", "left")
             .select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
                     F.coalesce("comp", "node", "id").alias("component_id")))
 
 
 def _grouped(index: DataFrame, labels: DataFrame) -> DataFrame:
-    return index.join(labels.select(F.col("node").alias("doc"), F.col("comp").alias("group")), "doc")
+    return index.join(_small(labels.select(F.col("node").alias("doc"), F.col("comp").alias("group"))), "doc")
 
 
-def _leaders(index: DataFrame, labels: DataFrame) -> DataFrame:
-    """(x, nx, y, ny): each node with the smallest and the largest node of another group that
-    leads one of its tokens; a token's leaders are the holders of its smallest and largest group."""
+def _led(index: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """(token, doc, n, lead, lead_n) of the tokens that two groups hold; lead is a holder by a hash that
+    changes with each turn, and null for nodes of its own group."""
+    held = _grouped(index, labels)
+    ends = written(held.groupBy("token").agg(
+        F.min("group").alias("lo"), F.max("group").alias("hi"),
+        F.min(F.struct(F.xxhash64("doc", F.lit(turn)).alias("h"), "doc", "n", "group")).alias("lead"))
+        .filter("lo < hi").select("token", "lead.doc", "lead.n", "lead.group")
+        .toDF("token", "lead", "lead_n", "lead_group"), "leads")
+    other = F.col("group") != F.col("lead_group")
+    return held.join(_small(ends), "token").select("token", "doc", "n", F.when(other, F.col("lead")).alias("lead"),
+                                                   F.when(other, F.col("lead_n")).alias("lead_n"))
+
+
+def _leader_visits(led: DataFrame, percent: int) -> DataFrame:
+    """(block, part, x): each node visits one leader whose size allows a link; the leader is the block."""
+    fits = f"lead != doc and 100 * least(n, lead_n) >= {percent} * greatest(n, lead_n)"
+    return (led.filter(fits).groupBy(F.col("doc").alias("x")).agg(F.min("lead").alias("block"))
+            .select("block", F.lit(0).alias("part"), "x"))
+
+
+def _open(index: DataFrame, labels: DataFrame) -> DataFrame:
+    """(token, doc, n, block, part, size) of the tokens that two groups hold: block is the group, cut into
+    parts of about BLOCK nodes; size is the number of its nodes."""
     held = _grouped(index, labels)
-    who = F.struct("group", "doc", "n")
-    ends = (held.groupBy("token").agg(F.min(who).alias("lo"), F.max(who).alias("hi"))
-            .filter("lo.group < hi.group"))
-    met = held.join(ends, "token")
-
-    def side(end: str, pick: Callable) -> DataFrame:
-        return (met.filter(f"group != {end}.group").groupBy(F.col("doc").alias("x"), F.col("n").alias("nx"))
-                .agg(pick(end).alias("y")).select("x", "nx", F.col("y.doc").alias("y"), F.col("y.n").alias("ny")))
-
-    return side("lo", F.min).unionByName(side("hi", F.max))
-
-
-def _opened(index: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes in different groups that pass the matrix bound and share enough tokens."""
-    held = written(_grouped(index, labels), "grouped-index")
-    need = f"least({EXTRA}, ceil({percent}L * n / 100))"
-    matrix = held.select("token", F.col("group").alias("other")).distinct()
-    bound = (held.join(matrix, "token").filter("group != other").groupBy("doc", "n", "other")
-             .agg(F.count(F.lit(1)).alias("overlap")).filter(f"overlap >= {need}").select("doc", "other"))
-    queries = held.join(bound, "doc").select("token", "other", F.col("doc").alias("x"), F.col("n").alias("nx"))
-    inside = held.select("token", F.col("group").alias("other"), F.col("doc").alias("y"), F.col("n").alias("ny"))
-    both = (queries.join(inside, ["token", "other"])
-            .filter(f"x < y and 100L * least(nx, ny) >= {percent}L * greatest(nx, ny)")
-            .groupBy("x", "nx", "y", "ny").agg(F.count(F.lit(1)).alias("shared"))
-            .filter(f"shared >= least({EXTRA}, ceil({percent}L * greatest(nx, ny) / 100))"))
-    return both.select(F.col("x").alias("a"), F.col("y").alias("b"))
+    open_ = held.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")) \
+        .filter("lo < hi").select("token")
+    held = written(held.join(_small(written(open_, "open-tokens")), "token"), "open")
+    sizes = written(held.select("group", "doc").distinct().groupBy("group").agg(F.count(F.lit(1)).alias("size")),
+                    "sizes")
+    parts = F.ceil(F.col("size") / BLOCK)
+    return held.join(_small(sizes), "group").select(
+        "token", "doc", "n", F.col("group").alias("block"),
+        F.pmod(F.xxhash64("doc"), parts).cast("int").alias("part"), "size")
+
+
+def _block_visits(held: DataFrame, percent: int) -> DataFrame:
+    """(block, part, x): nodes and the blocks of larger groups that their matrix bound lets qualify."""
+    matrix = held.select("token", F.col("block").alias("other"), "part", F.col("size").alias("other_size")).distinct()
+    largest = held.groupBy("token").agg(F.max(F.struct("size", "block")).alias("top"))
+    queries = held.select("token", "doc", "n", "block", "size").join(largest, "token").filter("block != top.block")
+    need = f"least({EXTRA}, ceil({percent} * n / 100))"
+    return (queries.join(matrix, "token").filter("struct(size, block) < struct(other_size, other)")
+            .groupBy("doc", "n", "other", "part").agg(F.count(F.lit(1)).alias("overlap")).filter(f"overlap >= {need}")
+            .select(F.col("other").alias("block"), "part", F.col("doc").alias("x")))
