@@ -1,8 +1,76 @@
-"""Corpus pipeline."""
-STAGES = []
+"""Corpus pipeline: toxicity, line dedup, near duplicates, decontamination, encoding.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
+every stage's result as Parquet to the shared folder and hands it, read back,
+to the next one.  All stages but the last return the columns of documents.
+
+Rows with null ids or null texts pass through the filters like others (a null
+text has no toxic sentence, no lines to drop, no shingles and no benchmark
+words); repeated rows stay repeated, except that near duplicates keep the rows
+of one document id per group.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shelfwise.llm import byte_bpe, decontaminate, line_dedup, ngram_join, toxicity
+from shelfwise.llm.common import read_table, written
+from shelfwise.llm.queries import VOCABULARY
+
+# Not SQL: the first stage is a trained model and the last a tokenizer.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the multiple-instance model scores below its threshold.
+
+    The model learns from the labels of documents still there.
+    """
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).filter("predicted = 0").select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that an earlier document (by doc_id) holds; n_chars follows the text."""
+    drops = line_dedup.repeated_lines(docs)
+    return line_dedup.without_lines(docs, drops).withColumn(
+        "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group of similar ones (five words, 0.8)."""
+    groups = ngram_join.ngram_components(docs, words=5, percent=80)
+    others = groups.filter("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no window of ten words with a benchmark item."""
+    return decontaminate.without_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, the token ids of the text, and digests of the ids and of the text decoded from them."""
+    vocabulary = public_tokenizers.path(VOCABULARY)
+    encoded = byte_bpe.encode_documents(docs, vocabulary, public_tokenizers.PATTERN)
+    return byte_bpe.round_trip_digests(encoded, vocabulary, keep_ids=True)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_jaccard", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("byte_bpe", encode),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

@@ -311,11 +311,12 @@ def decode_documents(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id"
         decode, f"id {id_type}, decoded binary").withColumnRenamed("id", id_col)
 
 
-def round_trip_digests(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids"
-                       ) -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) of every row of ids."""
+def round_trip_digests(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids", *,
+                       keep_ids: bool = False) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) of every row of ids, and the ids themselves if asked for."""
     ranks = encoded.sparkSession.sparkContext.broadcast(load_ranks(vocabulary))
     id_type = encoded.schema[id_col].dataType.simpleString()
+    names = ["id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids]
 
     def digests(batches):
         tokens = token_table(ranks.value)
@@ -325,8 +326,8 @@ def round_trip_digests(encoded: DataFrame, vocabulary: str, id_col: str = "doc_i
             cols = list(zip(*rows)) or [()] * 3
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()),
-                 pa.array(cols[2], pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                 pa.array(cols[2], pa.string()), *[b.column(1)] * keep_ids], names=names)
 
+    schema = f"id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
     return encoded.selectExpr(f"`{id_col}` as id", f"coalesce(`{ids_col}`, array()) as ids").mapInArrow(
-        digests, f"id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    ).withColumnRenamed("id", id_col)
+        digests, schema).withColumnsRenamed({"id": id_col, "ids": ids_col})

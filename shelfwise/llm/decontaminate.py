@@ -36,6 +36,8 @@ SPAN = 10
 K = 5
 # fingerprint rows of 8 bytes that may be sent to every executor
 BROADCAST_ROWS = 1_000_000
+# shares the copies of one text are dealt into
+SALTS = 16
 
 
 def words_of(text: Column) -> Column:
@@ -69,6 +71,12 @@ def winnowed(hashes: Column, window: int) -> Column:
         lambda i: F.array_min(F.slice(h, i, window))))).otherwise(_no_hashes()))
 
 
+def _text_hash(text: Column) -> tuple[Column, Column]:
+    """128 bits that stand for a text, as columns t1 and t2."""
+    t = F.coalesce(text.cast("string"), F.lit(""))
+    return F.xxhash64(t).alias("t1"), F.xxhash64(t, F.lit(1)).alias("t2")
+
+
 def _common_prefix(a: Column, b: Column, most: int) -> Column:
     """Number of equal leading words, up to ``most``."""
     return F.size(F.filter(F.sequence(F.lit(1), F.lit(most)),
@@ -90,13 +98,11 @@ def item_classes(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .select(F.md5(F.concat_ws(" ", "words")).alias("class"), "words", "ids"))
 
 
-def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_id_col: str = "item_id", item_text_col: str = "text", *, span: int = SPAN, k: int = K,
-                  broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(id, n_words, n_hit, n_items, item_ids): one row per document row.
-
-    ``item_ids`` are the ids, as sorted strings, of the items with a window in the text.
-    """
+def hit_texts(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              item_id_col: str = "item_id", item_text_col: str = "text", *, span: int = SPAN, k: int = K,
+              broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Two written tables: (id, t1, t2, n_words, prints) of every document row, and (t1, t2, n_hit, item_ids)
+    of every text that is hit; t1 and t2 stand for the text."""
     classes = written(item_classes(items, item_id_col, item_text_col), "items")
     short = sorted(r.n for r in classes.select(F.least(F.size("words"), F.lit(span)).alias("n"))
                    .distinct().collect() if r.n < span)                  # at most span - 1 lengths
@@ -131,8 +137,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     words = F.col("words")
     all_runs = [gram_hashes(words, m) for m in short]
     rows = written(docs.select(F.col(id_col).alias("id"),
-                               F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("t1"),
-                               F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.lit(1)).alias("t2"),
+                               *_text_hash(F.col(text_col)),
                                words_of(F.col(text_col)).alias("words"))
                    .select("id", "t1", "t2", F.size("words").alias("n_words"),
                            F.array_distinct(F.concat(fingerprints(words), *all_runs)).alias("prints")),
@@ -142,10 +147,11 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
            .join(F.broadcast(hashes) if small else hashes, "hash", "left_semi"))
     found = written(met.groupBy("t1", "t2").agg(F.collect_set("hash").alias("hashes")), "met-prints")
 
-    texts = (docs.select(F.col(text_col).alias("text"))
-             .withColumn("t1", F.xxhash64(F.coalesce("text", F.lit(""))))
-             .withColumn("t2", F.xxhash64(F.coalesce("text", F.lit("")), F.lit(1)))
-             .join(found, ["t1", "t2"]).dropDuplicates(["t1", "t2"])
+    # salted, as one text may have any number of copies; one of them is kept
+    salts = F.array(*[F.lit(i) for i in range(SALTS)])
+    texts = (docs.select(F.col(text_col).alias("text"), *_text_hash(F.col(text_col)),
+                         F.pmod(F.xxhash64(F.col(id_col)), F.lit(SALTS)).cast("int").alias("salt"))
+             .join(found.withColumn("salt", F.explode(salts)), ["t1", "t2", "salt"]).dropDuplicates(["t1", "t2"])
              .select("t1", "t2", "hashes", words_of(F.col("text")).alias("words")))
     places = None
     for size in sizes:
@@ -169,9 +175,28 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     ids = (hits.select("t1", "t2", "class").distinct().join(classes.select("class", "ids"), "class")
            .groupBy("t1", "t2")
            .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("item_ids")))
-    results = written(n_hit.join(ids, ["t1", "t2"]), "hit-texts")
-    return (rows.select("id", "t1", "t2", "n_words").join(results, ["t1", "t2"], "left")
+    return rows, written(n_hit.join(ids, ["t1", "t2"]), "hit-texts")
+
+
+def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+                  ) -> DataFrame:
+    """(id, n_words, n_hit, n_items, item_ids): one row per document row.
+
+    ``item_ids`` are the ids, as sorted strings, of the items with a window in the text.
+    """
+    rows, hit = hit_texts(docs, items, id_col, text_col, **options)
+    return (rows.select("id", "t1", "t2", "n_words").join(hit, ["t1", "t2"], "left")
             .select(F.col("id").alias(id_col), F.col("n_words").cast("long").alias("n_words"),
                     F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
                     F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids")))
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         **options) -> DataFrame:
+    """The rows of ``docs`` whose text no item window occurs in, with all their columns."""
+    _, hit = hit_texts(docs, items, id_col, text_col, **options)
+    t1, t2 = _text_hash(F.col(text_col))
+    hit = hit.select(F.col("t1").alias("__t1"), F.col("t2").alias("__t2"))
+    return (docs.select("*", t1.alias("__t1"), t2.alias("__t2")).join(hit, ["__t1", "__t2"], "left_anti")
+            .select(*docs.columns))

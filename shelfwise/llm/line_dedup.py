@@ -184,35 +184,45 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .groupBy("doc").agg(F.collect_set("digest").alias("drops")))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
-                min_chars: int = MIN_CHARS, max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
-    """(id, text, n_lines, n_dropped): ``text`` is what stays, joined by '\\n'.
-
-    n_lines counts the lines before dropping.  One row per input row.
-    """
-    drops = repeated_lines(docs, id_col, text_col, min_chars=min_chars, max_filter_bits=max_filter_bits)
-    joined = (docs.select(F.col(id_col).cast("long").alias("doc"),
-                          F.col(text_col).cast("string").cast("binary").alias("text"))
-              .join(drops, "doc", "left"))
+def without_lines(docs: DataFrame, drops: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
+                  min_chars: int = MIN_CHARS) -> DataFrame:
+    """``docs`` with the lines of ``drops`` taken out of ``text_col``, null texts made empty, and two columns
+    (replaced if there): n_lines before dropping, n_dropped."""
+    made = ["n_lines", "n_dropped"]
+    kept = docs.drop(*made)
+    others = [c for c in kept.columns if c != text_col]
+    joined = (kept.withColumn("__doc", F.col(id_col).cast("long"))
+              .join(drops.withColumnRenamed("doc", "__doc").withColumnRenamed("drops", "__drops"), "__doc", "left")
+              .select(*others, F.col(text_col).cast("string").cast("binary").alias(text_col), "__drops"))
 
     def keep(batches):
         for b in batches:
             out = []
-            for doc_id, text, gone in _rows([b]):
+            for text, gone in _rows([b.select([b.num_columns - 2, b.num_columns - 1])]):
                 text = text or b""
                 n_lines, n_dropped = text.count(b"\n") + 1, 0
                 if gone:
                     gone = set(gone)
-                    kept = [x for x in text.split(b"\n")
-                            if not _long_enough(k := line_key(x), min_chars) or _digest(k) not in gone]
-                    text, n_dropped = b"\n".join(kept), n_lines - len(kept)
-                out.append((doc_id, text, n_lines, n_dropped))
-            cols = list(zip(*out)) or [()] * 4
+                    lines = [x for x in text.split(b"\n")
+                             if not _long_enough(k := line_key(x), min_chars) or _digest(k) not in gone]
+                    text, n_dropped = b"\n".join(lines), n_lines - len(lines)
+                out.append((text, n_lines, n_dropped))
+            cols = list(zip(*out)) or [()] * 3
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()).cast(pa.string()),
-                 pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())],
-                names=["doc", "text", "n_lines", "n_dropped"])
+                [*b.columns[:-2], pa.array(cols[0], pa.binary()).cast(pa.string()), pa.array(cols[1], pa.int64()),
+                 pa.array(cols[2], pa.int64())], names=[*others, text_col, *made])
+
+    schema = ", ".join([*(f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in others),
+                        f"`{text_col}` string", "n_lines long", "n_dropped long"])
+    return joined.mapInArrow(keep, schema)
 
-    out = joined.select("doc", "text", "drops").mapInArrow(
-        keep, "doc long, text string, n_lines long, n_dropped long")
-    return out.withColumnsRenamed({"doc": id_col, "text": text_col})
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
+                min_chars: int = MIN_CHARS, max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
+    """(id, text, n_lines, n_dropped): ``text`` is what stays, joined by '\\n'.
+
+    n_lines counts the lines before dropping.  One row per input row.
+    """
+    docs = docs.select(id_col, text_col)
+    drops = repeated_lines(docs, id_col, text_col, min_chars=min_chars, max_filter_bits=max_filter_bits)
+    return without_lines(docs, drops, id_col, text_col, min_chars=min_chars)
