@@ -1,15 +1,17 @@
 """Approximate nearest neighbours with randomly rotated one-bit codes.
 
-A vector is normalised and rotated by a random orthogonal matrix; its code is
-the sign of each coordinate, packed into 64-bit words, with two correction
+A vector is normalised, padded with zeros to ``CODE_BITS`` dimensions (d, more
+if it has more) and rotated by a random orthogonal matrix; its code is the
+sign of each coordinate, packed into 64-bit words, with two correction
 scalars: the vector's norm and f, the inner product of the rotated vector with
-its own normalised code.  For a query, rotated alike and quantised to a few
-bits per coordinate, bit operations give its inner product with the code, and
-dividing by f an unbiased estimate of the inner product with the vector, whose
-error stays within ``EPSILON * sqrt((1 - f^2) / f^2 / (d - 1))`` with high
-probability.  Where the best lower bounds of a block of candidates leave a
-vector's upper bound behind, it is skipped; the others are reranked by the
-exact inner product on the original vectors, in double precision.
+its own normalised code.  The inner product of a query, rotated alike, with
+the code, divided by f, is an unbiased estimate of its inner product with the
+vector.  A block's codes are unpacked to signs once, so that a matrix product
+gives these for many queries at a time.  The error of an estimate stays within ``EPSILON * sqrt((1 - f^2) / f^2 / (d - 1))`` with high
+probability.  The best estimates of a block of candidates are reranked first;
+a vector whose upper bound is below the k-th of those scores is skipped, all
+others are reranked too, by the exact inner product on the original vectors in
+double precision.
 
 Candidates are dealt into blocks of about ``BLOCK`` by id hash, and every block
 meets the whole query set as a stream of rows: a task holds one block, however
@@ -34,83 +36,86 @@ from pyspark.sql import functions as F
 
 K = 20
 BLOCK = 4096
-EPSILON = 2.5
-QUERY_BITS = 6
+EPSILON = 1.9
+CODE_BITS = 256
 SEED = 7
 # queries that are estimated against a block at once
 STEP = 64
 
 
 def rotation(dims: int, seed: int = SEED) -> np.ndarray:
-    """Random orthogonal matrix of the next multiple of 64 dimensions."""
-    d = -(-dims // 64) * 64
+    """The first ``dims`` columns of a random orthogonal matrix: all that meets a padded vector."""
+    d = max(CODE_BITS, -(-dims // 64) * 64)
     q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((d, d)))
-    return q * np.sign(np.diag(r))
+    return (q * np.sign(np.diag(r)))[:, :dims]
 
 
 @dataclass
 class Codes:
-    bits: np.ndarray       # n x words, uint64
-    ones: np.ndarray       # set bits of each code
+    bits: np.ndarray       # n x d / 8 packed signs
     norm: np.ndarray
     f: np.ndarray          # inner product of a rotated unit vector with its normalised code
 
+    def signs(self) -> np.ndarray:
+        """n x d matrix of -1 and 1."""
+        return 2 * np.unpackbits(self.bits, axis=1, bitorder="little").astype(np.float32) - 1
+
 
 def _rotated(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     norm = np.sqrt((vectors * vectors).sum(axis=1))
-    return (vectors / norm[:, None]) @ turn[:, :vectors.shape[1]].T, norm
+    return (vectors / norm[:, None]) @ turn.T, norm
 
 
 def encode(vectors: np.ndarray, turn: np.ndarray) -> Codes:
     x, norm = _rotated(vectors, turn)
-    bits = np.packbits(x > 0, axis=1, bitorder="little").view(np.uint64)
-    return Codes(bits, np.bitwise_count(bits).sum(axis=1, dtype=np.int64), norm,
+    return Codes(np.packbits(x > 0, axis=1, bitorder="little"), norm,
                  np.abs(x).sum(axis=1) / np.sqrt(x.shape[1]))
 
 
-def bounds(queries: np.ndarray, codes: Codes, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def bounds(queries: np.ndarray, codes: Codes, signs: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Estimated inner products (queries x vectors) and how far off they may be."""
     y, norm = _rotated(queries, turn)
     d = y.shape[1]
-    low = y.min(axis=1, keepdims=True)
-    step = np.maximum((y.max(axis=1, keepdims=True) - low) / (2 ** QUERY_BITS - 1), 1e-12)
-    level = np.rint((y - low) / step).astype(np.uint8)
-    picked = np.zeros((len(y), len(codes.bits)), np.float32)          # sum of levels where the code has a one
-    for b in range(QUERY_BITS):
-        plane = np.packbits(level >> b & 1, axis=1, bitorder="little").view(np.uint64)
-        for w in range(plane.shape[1]):
-            picked += np.bitwise_count(plane[:, w, None] & codes.bits[None, :, w]) * np.float32(1 << b)
-    rounded = low + step * level
-    code_product = (2 * (step * picked + low * codes.ones) - rounded.sum(axis=1, keepdims=True)) / np.sqrt(d)
-    scale = norm[:, None] * codes.norm
+    near = (y * norm[:, None]).astype(np.float32) @ signs.T
+    near *= (codes.norm / codes.f / np.sqrt(d)).astype(np.float32)
     spread = EPSILON * np.sqrt(np.maximum(1 - codes.f ** 2, 0) / (d - 1)) / codes.f
-    rounding = np.sqrt(((rounded - y) ** 2).sum(axis=1, keepdims=True)) / codes.f
-    return scale * (code_product / codes.f), scale * (spread + EPSILON / np.sqrt(d) * rounding)
+    return near, norm[:, None].astype(np.float32) * (codes.norm * spread).astype(np.float32)
 
 
-def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of rows, each summed from the first component to the last."""
-    total = np.zeros(len(a))
-    for j in range(a.shape[1]):
-        total += a[:, j] * b[:, j]
+def exact(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Inner products of the columns a[:, i] and b[:, j], each summed from the first component to the last."""
+    total = np.zeros(len(i))
+    for x, y in zip(a, b):
+        total += x[i] * y[j]
     return total
 
 
 def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray,
                  codes: Codes, turn: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(query_id, vec_id, score) of each query's best k of the block, a few queries at a time."""
+    """(query_id, vec_id, score) of each query's best k of the block, a few queries at a time.
+
+    ``vectors`` has a column per candidate, ``queries`` a row per query.
+    """
+    n, signs = len(ids), codes.signs()
     for lo in range(0, len(queries), STEP):
         qid, q = query_ids[lo:lo + STEP], queries[lo:lo + STEP]
-        near, off = bounds(q, codes, turn)
-        own = qid[:, None] == ids[None, :]
-        lower = np.where(own, -np.inf, near - off)
-        kth = np.partition(lower, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(q), -np.inf)
-        i, j = np.nonzero(~own & (near + off >= kth[:, None]))
-        s = exact(q[i], vectors[j])
+        columns = np.ascontiguousarray(q.T)
+        near, off = bounds(q, codes, signs, turn)
+        own_i, own_j = np.nonzero(qid[:, None] == ids[None, :])
+        near[own_i, own_j] = -np.inf
+        rows = np.arange(len(q))[:, None]
+        kth = np.full(len(q), -np.inf)
+        if n > k + 1:
+            first = np.argpartition(near, n - min(2 * k, n - 1), axis=1)[:, -min(2 * k, n - 1):]
+            s = exact(columns, np.broadcast_to(rows, first.shape).ravel(), vectors, first.ravel()).reshape(first.shape)
+            s[near[rows, first] == -np.inf] = -np.inf
+            kth = np.partition(s, -k, axis=1)[:, -k]
+        near += off
+        i, j = np.nonzero((near >= kth[:, None].astype(np.float32) - np.float32(1e-6)) & (near > -np.inf))
+        s = exact(columns, i, vectors, j)
         order = np.lexsort((ids[j], -s, i))
         i, j, s = i[order], j[order], s[order]
-        place = np.arange(len(i)) - np.searchsorted(i, i)
-        top = place < k
+        top = np.arange(len(i)) - np.searchsorted(i, i) < k
         yield qid[i[top]], ids[j[top]], s[top]
 
 
@@ -157,6 +162,7 @@ def nearest(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vector_co
                     if codes is None:
                         held_ids, held = np.concatenate(ids), np.concatenate(vecs)
                         codes = encode(held, turn)
+                        held = np.ascontiguousarray(held.T)
                     for out in search_block(id_[lo:hi], vector[lo:hi], held_ids, held, codes, turn, k):
                         yield pa.RecordBatch.from_arrays([pa.array(x) for x in out],
                                                          names=["query_id", "vec_id", "score"])
