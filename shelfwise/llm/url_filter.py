@@ -141,10 +141,11 @@ def bayes(counts: dict[tuple[str, str], int], seeds: Sequence[str], rules: Seque
     """Log odds of block against allow of each word, add-one smoothed."""
     chosen_by = {w for host, path, _ in rules for w in _SPLIT.split(host + path)}
     counts = {k: n for k, n in counts.items() if k[1] not in chosen_by}
+    vocabulary = {w for _, w in counts} | set(seeds)
+    # without the seeds' examples, which would make every other word speak for allow
+    total = {v: sum(n for (x, _), n in counts.items() if x == v) + len(vocabulary) for v in ("block", "allow")}
     for s in seeds:
         counts["block", s] = counts.get(("block", s), 0) + SEED_WEIGHT
-    vocabulary = {w for _, w in counts}
-    total = {v: sum(n for (x, _), n in counts.items() if x == v) + len(vocabulary) for v in ("block", "allow")}
 
     def weight(word: str) -> float:
         return (math.log((counts.get(("block", word), 0) + 1) / total["block"])
