@@ -31,9 +31,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-MAX_PIECES = 400_000
+from .common import few_rows
+
+MAX_PIECES = 250_000
 NONE = np.int32(2**31 - 1)      # rank of a pair that does not merge
-OUT_IDS = 2_000_000             # ids per output batch
+ENCODE_ROWS = 3000              # texts encoded together
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -141,7 +143,7 @@ class Merger:
         if len(todo) < 2:
             return
         n = len(tok)
-        nxt, prv = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
+        nxt, prv = np.full(n, -1, np.int32), np.full(n, -1, np.int32)
         same = (np.diff(todo) == 1) & (piece[todo[1:]] == piece[todo[:-1]])
         left, right = todo[:-1][same], todo[1:][same]
         nxt[left], prv[right] = right, left
@@ -253,25 +255,18 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str
 
     def encode(batches):
         split = regex.compile(pattern).findall
-        for b in batches:
-            texts = b.column(1).to_pylist()
-            lo = 0
-            while lo < len(texts):
-                table = _table((vocabulary, pattern), ranks.value)
-                hi, held, numbers = lo, 0, []
-                while hi < len(texts) and held < OUT_IDS:
-                    pieces = split(texts[hi]) if texts[hi] else []
-                    numbers.append(np.fromiter(map(table.__getitem__, pieces), np.int64, len(pieces)))
-                    held += len(pieces)
-                    hi += 1
-                table.settle()
-                ids = [table.gather(x) for x in numbers]
-                offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32()))],
-                    names=["id", "ids"])
-                lo = hi
+        for b in few_rows(batches, ENCODE_ROWS):
+            table = _table((vocabulary, pattern), ranks.value)
+            numbers = []
+            for text in b.column(1).to_pylist():
+                pieces = split(text) if text else []
+                numbers.append(np.fromiter(map(table.__getitem__, pieces), np.int32, len(pieces)))
+            table.settle()
+            ids = [table.gather(x) for x in numbers]
+            offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32()))],
+                names=["id", "ids"])
 
     return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(
         encode, f"id {id_type}, ids array<int>").withColumnRenamed("id", id_col)
@@ -289,7 +284,7 @@ def token_table(ranks: dict[bytes, int]) -> list[bytes]:
 
 
 def _id_arrays(column: pa.Array) -> Iterator[np.ndarray]:
-    values, at = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    values, at = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()     # of the whole batch
     for lo, hi in zip(at, at[1:]):
         yield values[lo:hi]
 
@@ -302,7 +297,7 @@ def decode_documents(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id"
 
     def decode(batches):
         tokens = token_table(ranks.value)
-        for b in batches:
+        for b in few_rows(batches):
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([decode_ids(x, tokens) for x in _id_arrays(b.column(1))], pa.binary())],
                 names=["id", "decoded"])
@@ -320,7 +315,7 @@ def round_trip_digests(encoded: DataFrame, vocabulary: str, id_col: str = "doc_i
 
     def digests(batches):
         tokens = token_table(ranks.value)
-        for b in batches:
+        for b in few_rows(batches):
             rows = [(len(x), hashlib.sha256(x.astype("<u4").tobytes()).hexdigest(),
                      hashlib.sha256(decode_ids(x, tokens)).hexdigest()) for x in _id_arrays(b.column(1))]
             cols = list(zip(*rows)) or [()] * 3

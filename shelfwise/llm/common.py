@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import staging_dir
+
 # Fixed value: the word pattern of the license, toxicity and benchmark operators.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -24,27 +27,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``).
-
-    Where the setting is absent a fresh temporary folder is used, which only a
-    local master can share with itself; on a cluster that is an error.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local") or master.startswith("local-cluster"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="shelfwise-llm-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: cuts the
     lineage, so a lost executor never sends a job back behind this point."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = f"{staging_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def few_rows(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut down, so that what a task makes of one at a time stays small."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)

@@ -28,6 +28,8 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import few_rows
+
 # the word pattern in UTF-8: a character above 0x7F has only bytes above 0x7F
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _MARKUP = re.compile(r"<<(beginOptional|endOptional|var;[^>]*)>>")
@@ -208,7 +210,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def scan(batches):
         automaton = Automaton(every)
         n_base_templates = len(BASE)
-        for b in batches:
+        for b in few_rows(batches):
             out = []
             for text in b.column(1).to_pylist():
                 words = words_of(text)

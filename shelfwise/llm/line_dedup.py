@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import few_rows, written
 
 # Fixed value: the white space stripped from both ends of a line.
 STRIP = b" \t\n\x0b\x0c\r"
@@ -69,7 +69,7 @@ _hash, _digest = xxhash.xxh3_64_intdigest, xxhash.xxh3_128_digest
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for b in batches:
+    for b in few_rows(batches):
         yield from zip(*(c.to_pylist() for c in b.columns))
 
 
@@ -158,7 +158,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def suspected(batches):
         flt = twice.value
-        for b in batches:
+        for b in few_rows(batches):
             ids, keys = [], []
             for doc_id, text in _rows([b]):
                 if doc_id is not None and text:
@@ -196,7 +196,7 @@ def without_lines(docs: DataFrame, drops: DataFrame, id_col: str = "doc_id", tex
               .select(*others, F.col(text_col).cast("string").cast("binary").alias(text_col), "__drops"))
 
     def keep(batches):
-        for b in batches:
+        for b in few_rows(batches):
             out = []
             for text, gone in _rows([b.select([b.num_columns - 2, b.num_columns - 1])]):
                 text = text or b""

@@ -7,10 +7,11 @@ Documents whose sets of word n-grams (shingles) have a Jaccard similarity of
    buckets; (bucket count, hash) is one global order, rare tokens first.
 2. A set x linked to y lacks at most ``|x| - ceil(t |x|)`` tokens of y, so the
    first ``|x| - ceil(t |x|) + EXTRA`` tokens in that order, x's *prefix*,
-   share at least EXTRA tokens with y's prefix (all of both, if they are
-   smaller).  Prefixes are all that is shuffled for the candidate search.
+   meet y's prefix, in at least ``_need`` tokens.  Prefixes are all that is
+   shuffled for the candidate search; tokens that are in one prefix only go
+   next, and the number that is left bounds what a prefix shares with any other.
 3. Documents with equal sets are one node.  Similar nodes are put into groups:
-   in a few rounds each visits one leader, the holder of one of its tokens,
+   in a few rounds each visits one leader, a holder of enough of its tokens,
    and linked nodes form a group.  A large family of near copies becomes one
    group this way by comparisons that grow as its size.
 4. Groups are cut into blocks of about ``BLOCK`` nodes, and the token-group
@@ -22,7 +23,7 @@ Documents whose sets of word n-grams (shingles) have a Jaccard similarity of
    the smaller one's nodes visit the larger one's blocks.
 
 A visit compares whole sets, recomputed from the texts of the nodes that share
-a token.  A task holds one block and streams its visitors, in slices of about
+tokens.  A task holds one block and streams its visitors, in slices of about
 ``SLICE``.  The order, and so the sketch, and the rounds decide only how many
 visits there are, never the result: no link is lost to hot tokens.
 
@@ -42,13 +43,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import few_rows, written
 from .components import relabel
 
 # buckets of the token sketch: 4 MB as it is broadcast, one byte each
 BUCKETS = 1 << 22
 SEGMENTS = 64
-# prefix tokens a link shares at least
+# prefix tokens beyond those that a link may lack
 EXTRA = 3
 # rounds of grouping before blocks are opened
 ROUNDS = 3
@@ -113,7 +114,7 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for b in batches:
+    for b in few_rows(batches):
         yield from zip(*(c.to_pylist() for c in b.columns))
 
 
@@ -168,7 +169,7 @@ def _prefixes(docs: DataFrame, ranks: np.ndarray, words: int, percent: int) -> D
     def prefixes(batches):
         rank = shared.value
         mask = np.uint64(len(rank) - 1)
-        for b in batches:
+        for b in few_rows(batches):
             sizes, digests, prefix = [], [], []
             for text in b.column(1).to_pylist():
                 t = shingles(text, words)
@@ -193,33 +194,35 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def _shared(index: DataFrame) -> DataFrame:
-    """(token, doc, n, lead, lead_n) of the tokens that two nodes hold; lead is the smallest of them.
+    """The rows of (token, doc, n) whose token another node holds too.
 
     One shuffle, streamed in order: no token's holders are ever collected.
     """
-    names = ["token", "doc", "n", "lead", "lead_n"]
+    names = ["token", "doc", "n"]
 
     def held(batches):
-        first, last, told = None, None, False         # first and last (token, doc, n) of the current token
+        carry, told = None, False                # last row so far, and whether it went out already
         for b in batches:
-            out = []
-            for row in _rows([b]):
-                if last is not None and row[0] == last[0]:
-                    if row[1] == last[1]:
-                        continue
-                    if not told:
-                        out.append((*first, *first[1:]))
-                        told = True
-                    out.append((*row, *first[1:]))
-                else:
-                    first, told = row, False
-                last = row
-            cols = list(zip(*out)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
+            rows = np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns], axis=1)
+            if carry is not None:
+                rows = np.concatenate([carry, rows])
+            new = np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1)])
+            rows = rows[new]                     # a node's repeated rows are one
+            if not len(rows):
+                continue
+            same = rows[1:, 0] == rows[:-1, 0]
+            keep = np.zeros(len(rows), bool)
+            keep[1:] |= same
+            keep[:-1] |= same
+            last = keep[-1]
+            if told:
+                keep[0] = False
+            told = bool(last) or (told and len(rows) == 1)
+            carry = rows[-1:]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows[keep].T], names=names)
 
     return (index.select("token", "doc", F.col("n").cast("long").alias("n")).repartition("token")
-            .sortWithinPartitions("token", "doc")
-            .mapInArrow(held, "token long, doc long, n long, lead long, lead_n long"))
+            .sortWithinPartitions("token", "doc").mapInArrow(held, "token long, doc long, n long"))
 
 
 def _links(visits: DataFrame, blocks: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -272,18 +275,20 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     heads = members.filter("id = node").select("id").distinct()
     index = written(_shared(prefixes.filter("n > 0").join(_small(heads), "id", "left_semi")
                             .select(F.col("id").alias("doc"), "n", F.explode("prefix").alias("token"))), "index")
-    labels = written(index.select(F.col("doc").alias("node")).distinct()
+    # met: a node's prefix tokens that are in other prefixes too
+    sizes = written(index.groupBy("doc", "n").agg(F.count(F.lit(1)).alias("met"))
+                    .filter(f"met >= {_need_between('n', '1', '100 * n', percent)}"), "sizes")
+    labels = written(sizes.select(F.col("doc").alias("node")).distinct()
                      .select("node", F.col("node").alias("comp")), "labels")
     texts = written(rows.join(_small(labels.select(F.col("node").alias("id"))), "id", "left_semi")
                     .select(F.col("id").alias("doc"), "text"), "texts")
-    led = index
     for turn in range(ROUNDS):
-        if turn:
-            led = written(_led(led.select("token", "doc", "n"), labels, turn), "index")
+        led = written(_led(index, sizes, labels, turn), "led")
         visits = written(_leader_visits(led, percent), "leader-visits")
         leaders = visits.select("block", "part", F.col("block").alias("member")).distinct()
         labels = relabel(labels, written(_links(visits, leaders, texts, words, percent), "links"))
-    held = written(_open(led.select("token", "doc", "n"), labels), "open-index")
+        index = led.select("token", "doc", "n")
+    held = written(_open(index, sizes, labels), "open-blocks")
     visits = written(_block_visits(held, percent), "block-visits")
     blocks = held.select("block", "part", F.col("doc").alias("member")).distinct()
     labels = relabel(labels, written(_links(visits, blocks, texts, words, percent), "links"))
@@ -292,52 +297,101 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                     F.coalesce("comp", "node", "id").alias("component_id")))
 
 
-def _grouped(index: DataFrame, labels: DataFrame) -> DataFrame:
-    return index.join(_small(labels.select(F.col("node").alias("doc"), F.col("comp").alias("group"))), "doc")
+def _prefix(n: str, percent: int) -> str:
+    """SQL of ``prefix_length``."""
+    return f"least({n}, {n} - ({percent} * {n} + 99) div 100 + {EXTRA})"
+
+
+def _common(x: str, y: str, percent: int) -> str:
+    """SQL of the least number of tokens that linked sets of sizes x and y share."""
+    return f"(({percent} * ({x} + {y}) + {99 + percent}) div {100 + percent})"
+
+
+def _need(x: str, y: str, percent: int) -> str:
+    """SQL of the least number of tokens in both prefixes of linked sets of sizes x and y.
+
+    Of x's tokens at most ``x - common`` are not y's, so at least ``prefix(x) -
+    x + common`` of its prefix are; the prefixes share the first of these in
+    the order, as many as the smaller of the two numbers.
+    """
+    return (f"greatest(1, least({_prefix(x, percent)} - {x}, {_prefix(y, percent)} - {y}) "
+            f"+ {_common(x, y, percent)})")
+
+
+def _need_between(x: str, lo: str, hi: str, percent: int) -> str:
+    """SQL of the least ``_need`` of x with a size from lo to hi that allows a link; more than x if there is none.
+
+    ``_need`` rises and then falls with the other size, so it is least at an end; 2 less for what rounding
+    may do in between.
+    """
+    first, last = f"greatest({lo}, ({percent} * {x} + 99) div 100)", f"least({hi}, 100 * {x} div {percent})"
+    ends = f"least({_need(x, first, percent)}, {_need(x, last, percent)})"
+    return f"if({first} > {last}, {x} + 1, {ends} - if({first} < {last}, 2, 0))"
+
+
+def _fits(x: str, met_x: str, y: str, met_y: str, percent: int) -> str:
+    """SQL: sets of these sizes, with so many prefix tokens that others have too, may be linked."""
+    return (f"(100 * least({x}, {y}) >= {percent} * greatest({x}, {y}) "
+            f"and least({met_x}, {met_y}) >= {_need(x, y, percent)})")
+
+
+def _grouped(index: DataFrame, sizes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(token, doc, n, met, group) of the nodes that may be linked."""
+    known = sizes.join(labels.select(F.col("node").alias("doc"), F.col("comp").alias("group")), "doc")
+    return index.join(_small(known), ["doc", "n"])
 
 
-def _led(index: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """(token, doc, n, lead, lead_n) of the tokens that two groups hold; lead is a holder by a hash that
-    changes with each turn, and null for nodes of its own group."""
-    held = _grouped(index, labels)
+def _led(index: DataFrame, sizes: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """(token, doc, n, met, group, lead, lead_n, lead_met, lead_group) of the tokens that two groups
+    hold; lead is the holder with the smallest hash, another one in each turn."""
+    held = _grouped(index, sizes, labels)
     ends = written(held.groupBy("token").agg(
         F.min("group").alias("lo"), F.max("group").alias("hi"),
-        F.min(F.struct(F.xxhash64("doc", F.lit(turn)).alias("h"), "doc", "n", "group")).alias("lead"))
-        .filter("lo < hi").select("token", "lead.doc", "lead.n", "lead.group")
-        .toDF("token", "lead", "lead_n", "lead_group"), "leads")
-    other = F.col("group") != F.col("lead_group")
-    return held.join(_small(ends), "token").select("token", "doc", "n", F.when(other, F.col("lead")).alias("lead"),
-                                                   F.when(other, F.col("lead_n")).alias("lead_n"))
+        F.min(F.struct(F.xxhash64("doc", F.lit(turn)).alias("h"), "doc", "n", "met", "group")).alias("lead"))
+        .filter("lo < hi").select("token", "lead.doc", "lead.n", "lead.met", "lead.group")
+        .toDF("token", "lead", "lead_n", "lead_met", "lead_group"), "leads")
+    return held.join(_small(ends), "token").select("token", "doc", "n", "met", "group", "lead", "lead_n",
+                                                   "lead_met", "lead_group")
 
 
 def _leader_visits(led: DataFrame, percent: int) -> DataFrame:
-    """(block, part, x): each node visits one leader whose size allows a link; the leader is the block."""
-    fits = f"lead != doc and 100 * least(n, lead_n) >= {percent} * greatest(n, lead_n)"
-    return (led.filter(fits).groupBy(F.col("doc").alias("x")).agg(F.min("lead").alias("block"))
+    """(block, part, x): each node visits the leader it shares most of its tokens with, if enough for a
+    link; the leader is the block."""
+    shared = (led.filter("group != lead_group").filter(_fits("n", "met", "lead_n", "lead_met", percent))
+              .groupBy("doc", "n", "lead", "lead_n").agg(F.count(F.lit(1)).alias("shared"))
+              .filter(f"shared >= {_need('n', 'lead_n', percent)}"))
+    return (shared.groupBy(F.col("doc").alias("x")).agg(F.max_by("lead", F.struct("shared", "lead")).alias("block"))
             .select("block", F.lit(0).alias("part"), "x"))
 
 
-def _open(index: DataFrame, labels: DataFrame) -> DataFrame:
-    """(token, doc, n, block, part, size) of the tokens that two groups hold: block is the group, cut into
-    parts of about BLOCK nodes; size is the number of its nodes."""
-    held = _grouped(index, labels)
+def _open(index: DataFrame, sizes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(token, doc, n, met, block, part, nodes) of the tokens that two groups hold: block is the group, cut
+    into parts of about BLOCK nodes; nodes is their number in the group."""
+    held = _grouped(index, sizes, labels)
     open_ = held.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")) \
         .filter("lo < hi").select("token")
     held = written(held.join(_small(written(open_, "open-tokens")), "token"), "open")
-    sizes = written(held.select("group", "doc").distinct().groupBy("group").agg(F.count(F.lit(1)).alias("size")),
-                    "sizes")
-    parts = F.ceil(F.col("size") / BLOCK)
-    return held.join(_small(sizes), "group").select(
-        "token", "doc", "n", F.col("group").alias("block"),
-        F.pmod(F.xxhash64("doc"), parts).cast("int").alias("part"), "size")
+    counts = written(held.select("group", "doc").distinct().groupBy("group").agg(F.count(F.lit(1)).alias("nodes")),
+                     "group-sizes")
+    parts = F.ceil(F.col("nodes") / BLOCK)
+    return held.join(_small(counts), "group").select(
+        "token", "doc", "n", "met", F.col("group").alias("block"),
+        F.pmod(F.xxhash64("doc"), parts).cast("int").alias("part"), "nodes")
 
 
 def _block_visits(held: DataFrame, percent: int) -> DataFrame:
     """(block, part, x): nodes and the blocks of larger groups that their matrix bound lets qualify."""
-    matrix = held.select("token", F.col("block").alias("other"), "part", F.col("size").alias("other_size")).distinct()
-    largest = held.groupBy("token").agg(F.max(F.struct("size", "block")).alias("top"))
-    queries = held.select("token", "doc", "n", "block", "size").join(largest, "token").filter("block != top.block")
-    need = f"least({EXTRA}, ceil({percent} * n / 100))"
-    return (queries.join(matrix, "token").filter("struct(size, block) < struct(other_size, other)")
-            .groupBy("doc", "n", "other", "part").agg(F.count(F.lit(1)).alias("overlap")).filter(f"overlap >= {need}")
-            .select(F.col("other").alias("block"), "part", F.col("doc").alias("x")))
+    blocks = (held.groupBy(F.col("block").alias("other"), "part")
+              .agg(F.max("nodes").alias("other_nodes"), F.min("n").alias("lo"), F.max("n").alias("hi"),
+                   F.max("met").alias("other_met")))
+    matrix = (held.select("token", F.col("block").alias("other"), "part").distinct()
+              .join(_small(written(blocks, "blocks")), ["other", "part"]))
+    largest = held.groupBy("token").agg(F.max(F.struct("nodes", "block")).alias("top"))
+    queries = (held.select("token", "doc", "n", "met", "block", "nodes").join(largest, "token")
+               .filter("block != top.block").drop("top"))
+    need = _need_between("n", "lo", "hi", percent)
+    return (queries.join(matrix, "token")
+            .filter(f"struct(nodes, block) < struct(other_nodes, other) and least(met, other_met) >= {need}")
+            .groupBy("doc", "n", "other", "part", "lo", "hi").agg(F.count(F.lit(1)).alias("overlap"))
+            .filter(f"overlap >= {need}")
+            .select(F.col("other").alias("block"), "part", F.col("doc").alias("x")).distinct())

@@ -33,13 +33,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import few_rows
+
 SAMPLE = 3000
 MAX_FEATURES = 4096
 MIN_CHI2 = 30.0
 THRESHOLD = 0.7
 PREFIXES = (4, 5, 6)
+HEAD = min(PREFIXES)
 # words a worker keeps the scores of
-MAX_WORDS = 500_000
+MAX_WORDS = 200_000
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _SENTENCE = re.compile(rb"[.!?\n]+")
@@ -54,9 +57,16 @@ class Model:
     weights: dict[bytes, float]
     bias: float
     words: dict[bytes, float] = field(default_factory=dict)
+    heads: frozenset[bytes] = frozenset()
+
+    def __post_init__(self):
+        # first bytes of all features: most words start with none of them
+        self.heads = frozenset(f.removesuffix(b"$")[:HEAD] for f in self.weights)
 
     def known(self, word: bytes) -> float:
         """Sum of the weights of a word's features, 0 if it has none."""
+        if word[:HEAD] not in self.heads:
+            return 0.0
         s = self.words.get(word)
         if s is None:
             if len(self.words) > MAX_WORDS:
@@ -197,21 +207,20 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     made = {"score": pa.float64(), "predicted": pa.int32(), "offending": pa.list_(
         pa.struct([("sentence", pa.int32()), ("score", pa.float64())]))}
     kept = docs.drop(*made)
+    at = kept.columns.index(text_col)
 
     def scored(batches):
         m = shared.value
-        for b in batches:
+        for b in few_rows(batches):
             p, found = [], []
-            for text in b.column(b.num_columns - 1).to_pylist():
+            for text in b.column(at).cast(pa.string()).cast(pa.binary()).to_pylist():
                 s = m.sentences(text)
                 p.append(noisy_or([x for _, x in s]))
                 found.append([{"sentence": i, "score": x} for i, x in s if x >= 0.5])
             new = [p, [int(x >= THRESHOLD) for x in p], found]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], *(pa.array(x, t) for x, t in zip(new, made.values()))],
-                names=[*b.schema.names[:-1], *made])
+                [*b.columns, *(pa.array(x, t) for x, t in zip(new, made.values()))], names=[*b.schema.names, *made])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields),
                         "score double, predicted int, offending array<struct<sentence:int,score:double>>"])
-    return kept.select("*", kept[text_col].cast("string").cast("binary").alias("__text_bytes")).mapInArrow(
-        scored, schema)
+    return kept.mapInArrow(scored, schema)
