@@ -7,41 +7,54 @@
   python -m shelfwise.cli check --snapshots S --categories C --store-city M --out DIR
   python -m shelfwise.cli ingest --source FOLDER --table DIR [--name NAME]
 
+All take ``--multiline`` (CSV fields hold newlines) and ``--time-zone ZONE``
+(of dates and of times without zone; the session's zone, UTC by default).
+
 ``insights`` loads the three tables, builds city_insights once into
-``DIR/city_insights`` (skipped if present), optionally exports it as CSV and
-writes the seven reports.  ``attendance`` writes hours worked and, with a
-window, hours inside it.  ``check`` reports NOT NULL and key violations of
-the three inputs (one row per rule, a small report written from one task).
-``ingest`` loads new snapshot CSV files into a Parquet table exactly once.
-Paths may be local or any filesystem Spark reads; on a cluster they must be
-shared.
+``DIR/city_insights`` (nothing is loaded or built if it is there), optionally
+exports it as CSV and writes the seven reports.  ``attendance`` writes hours
+worked and, with a window, hours inside it.  ``check`` reports NOT NULL and
+key violations of the three inputs (one row per rule, a small report written
+from one task).  ``ingest`` loads new snapshot CSV files into a Parquet table
+exactly once.  CSV input is parsed once, into Parquet in the staging folder,
+which is deleted at the end.  Paths may be local or any filesystem Spark
+reads; on a cluster they must be shared.
 """
 
 from __future__ import annotations
 
 import argparse
 import sys
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators import analyses, attendance
-from .plans.city_insights import build_city_insights, materialize, ordered
-from .sources import csv_io
+from .operators.quality import key_violations
+from .plans.city_insights import materialize, ordered
+from .session import build_session, release, staging_dir
+from .sources import csv_io, schemas
+from .streaming.ingest import start_snapshot_ingest
 
 REPORTS = ["top_skus", "skus_by_city", "stockout_skus", "brand_revenue", "city_revenue",
            "category_revenue", "discount_bands"]
 
 
-def _load(spark: SparkSession, path: str, fmt: str, reader) -> DataFrame:
-    return reader(spark, path) if fmt == "csv" else spark.read.parquet(path)
+def _load(spark: SparkSession, path: str, a, reader) -> DataFrame:
+    if a.format == "parquet":
+        return spark.read.parquet(path)
+    return csv_io.once(reader(spark, path, multiline=a.multiline), f"{a.staging}/{reader.__name__}")
+
+
+def _tables(spark: SparkSession, a) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Snapshots, store map and categories."""
+    return (_load(spark, a.snapshots, a, csv_io.read_snapshots), _load(spark, a.store_city, a, csv_io.read_store_city),
+            _load(spark, a.categories, a, csv_io.read_categories))
 
 
 def run_insights(spark: SparkSession, a) -> None:
-    snap = _load(spark, a.snapshots, a.format, csv_io.read_snapshots)
-    cats = _load(spark, a.categories, a.format, csv_io.read_categories)
-    city = _load(spark, a.store_city, a.format, csv_io.read_store_city)
     table = f"{a.out.rstrip('/')}/city_insights"
-    materialize(build_city_insights(snap, city, cats, dedupe=a.dedupe), path=table)
+    materialize(spark, lambda: _tables(spark, a), path=table, dedupe=a.dedupe)
     ins = spark.read.parquet(table)
     if a.export_csv:
         csv_io.write_csv(ordered(ins), a.export_csv)
@@ -51,7 +64,7 @@ def run_insights(spark: SparkSession, a) -> None:
 
 
 def run_attendance(spark: SparkSession, a) -> None:
-    log = _load(spark, a.log, a.format, csv_io.read_attendance)
+    log = _load(spark, a.log, a, csv_io.read_attendance)
     out = a.out.rstrip("/")
     csv_io.write_csv(attendance.hours_worked(log), f"{out}/hours_worked")
     if a.window_start and a.window_end:
@@ -61,24 +74,16 @@ def run_attendance(spark: SparkSession, a) -> None:
 
 def run_check(spark: SparkSession, a) -> None:
     """Key and NOT NULL rules of the three input tables -> one CSV report."""
-    from .operators.quality import key_violations
-    from .sources import schemas
-    parts = [
-        key_violations(_load(spark, a.snapshots, a.format, csv_io.read_snapshots),
-                       "inventory_snapshots", schemas.SNAPSHOT_KEY, schemas.SNAPSHOT_NOT_NULL),
-        key_violations(_load(spark, a.store_city, a.format, csv_io.read_store_city),
-                       "store_city", schemas.STORE_CITY_KEY, []),
-        key_violations(_load(spark, a.categories, a.format, csv_io.read_categories),
-                       "category_dim", schemas.CATEGORY_KEY, []),
-    ]
-    report = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    snap, city, cats = _tables(spark, a)
+    report = key_violations(snap, "inventory_snapshots", schemas.SNAPSHOT_KEY, schemas.SNAPSHOT_NOT_NULL)
+    for df, name, key in ((city, "store_city", schemas.STORE_CITY_KEY), (cats, "category_dim", schemas.CATEGORY_KEY)):
+        report = report.unionByName(key_violations(df, name, key, []))
     csv_io.write_csv(report.coalesce(1), a.out)
 
 
 def run_ingest(spark: SparkSession, a) -> None:
     """Snapshot CSV drops -> Parquet table, exactly once (processes what is there)."""
-    from .streaming.ingest import start_snapshot_ingest
-    start_snapshot_ingest(spark, a.source, a.table, name=a.name).awaitTermination()
+    start_snapshot_ingest(spark, a.source, a.table, name=a.name, multiline=a.multiline).awaitTermination()
 
 
 def parser() -> argparse.ArgumentParser:
@@ -109,16 +114,24 @@ def parser() -> argparse.ArgumentParser:
     g.add_argument("--source", required=True, help="folder (or glob) receiving snapshot CSV files")
     g.add_argument("--table", required=True, help="Parquet table path")
     g.add_argument("--name", default="snapshot_ingest", help="stream name (checkpoint sub-folder)")
+    for command in sub.choices.values():
+        command.add_argument("--multiline", action="store_true", help="CSV fields may hold newlines")
+        command.add_argument("--time-zone", help="zone of dates and of times without zone")
     return p
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     a = parser().parse_args(argv)
     if spark is None:
-        from .session import build_session
         spark = build_session(app=f"shelfwise-{a.cmd}")
-    {"insights": run_insights, "attendance": run_attendance, "check": run_check,
-     "ingest": run_ingest}[a.cmd](spark, a)
+    if a.time_zone:
+        spark.conf.set("spark.sql.session.timeZone", a.time_zone)
+    a.staging = f"{staging_dir(spark)}/cli/{uuid.uuid4().hex}"
+    try:
+        {"insights": run_insights, "attendance": run_attendance, "check": run_check,
+         "ingest": run_ingest}[a.cmd](spark, a)
+    finally:
+        release(spark, a.staging)
 
 
 if __name__ == "__main__":

@@ -4,21 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows a dimension may have and still be shipped to every executor.  Store and
-# category tables are a few hundred bytes per row, so this is ~100 MB at most.
+# Rows and bytes a dimension may have and still be shipped to every executor.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 128 << 20
+# bytes counted for a column that is not text
+_FIXED_WIDTH = 16
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows and ``max_bytes`` bytes.
 
-    The count runs as its own distributed job on that side (partial counts per
-    task; not ``limit(n).count()``, whose global limit funnels up to n rows
-    per partition through one task).  If the side is larger, it is returned
-    unhinted: the join becomes a shuffle join, and AQE may still convert it
-    from runtime statistics.
+    Both are counted by one distributed job on that side (partial sums per
+    task): text columns by their UTF-8 length, others as 16 bytes.  If the
+    side is larger, it is returned unhinted: the join becomes a shuffle join,
+    and AQE may still convert it from runtime statistics.
     """
     if max_rows <= 0:
         return df
-    return F.broadcast(df) if df.count() <= max_rows else df
+    text = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema.fields
+            if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    width = sum(text, F.lit(_FIXED_WIDTH * (len(df.columns) - len(text)))).cast("long")
+    size = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if size.rows <= max_rows and size.bytes <= max_bytes else df

@@ -2,10 +2,14 @@
 
 Spark decimals are capped at 38 digits and shrink the scale of products and
 quotients that would exceed it.  The casts below pick operand precisions so
-that every product used by the insights build stays exact, and so that
-averages carry the 16 fractional digits PostgreSQL's ``avg`` gives for values
-between 1 and 10^4.  Overflow past these bounds raises under ANSI mode rather
-than rounding silently.
+that every product used by the insights build stays exact for all values of
+the declared columns (``inventory`` is a 32-bit integer, prices have 8 whole
+digits).
+
+Means carry 16 fractional digits.  PostgreSQL's ``avg`` gives 16 for most
+means in [1, 10^4), 20 where the leading base-10000 digits of sum and count
+are equal, and 4 fewer per further factor of 10^4; the difference shows only
+where a later rounding meets a tie.
 """
 
 from __future__ import annotations
@@ -13,15 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# PostgreSQL keeps 16 fractional digits (NUMERIC_MIN_SIG_DIGITS)
-# in the mean of integers between 1 and 10^4.
-MEAN_TYPE = "decimal(22,16)"      # avg of units: < 10^6, 16 places
-UNITS_TYPE = "decimal(37,16)"     # summed estimated units before splitting off the whole part
-PART_TYPE = "decimal(37,16)"      # one additive term of the estimated units
+MEAN_TYPE = "decimal(26,16)"      # mean drop: 10 whole digits hold any 32-bit integer
+UNITS_TYPE = "decimal(37,16)"     # summed estimated units, and one additive term of them
 
 
 def mean16(total: Column, count: Column) -> Column:
-    """``total / count`` rounded half-up to 16 places (PostgreSQL avg of integers).
+    """``total / count`` rounded half-up to 16 places.
 
     decimal(22,0) / decimal(20,0) has result type decimal(38,16) in Spark.
     NULL when ``count`` is 0 or NULL.
@@ -34,11 +35,18 @@ def units_contribution(n: Column, direct_sum: Column, rise_count: Column, mean:
     """n * (sum of direct drops + rise_count * mean), exact, decimal(38,16).
 
     This is the sum of the per-record estimate over a set of records that share
-    a fan-out factor ``n`` and a (store, sku) mean.
+    a fan-out factor ``n`` and a (store, sku) mean.  The mean is multiplied in
+    two parts, as decimal(20,0) x decimal(26,16) would lose places: its whole
+    part in integers, its fraction as (20,0) x (16,16) -> (37,16).
     """
-    drops = (n * direct_sum).cast(PART_TYPE)
-    restock = ((n * rise_count).cast("decimal(15,0)") * F.coalesce(mean, F.lit(0).cast(MEAN_TYPE))).cast(PART_TYPE)
-    return drops + restock
+    k = n.cast("decimal(19,0)") * rise_count.cast("decimal(19,0)")
+    k = k.cast("decimal(20,0)")
+    m = F.coalesce(mean, F.lit(0).cast(MEAN_TYPE))
+    whole = F.floor(m).cast("decimal(10,0)")
+    frac = (m - whole).cast("decimal(16,16)")
+    drops = (n.cast("decimal(19,0)") * direct_sum.cast("decimal(19,0)")).cast("decimal(21,0)")
+    whole_units = (drops + (k * whole).cast("decimal(21,0)")).cast(UNITS_TYPE)
+    return whole_units + (k * frac).cast(UNITS_TYPE)
 
 
 def money(units: Column, price: Column) -> Column:

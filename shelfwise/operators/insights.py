@@ -8,9 +8,10 @@ materialising it: ``n`` is constant over a (store, sku, day), so
 
     sum over rows of n * est  ==  n * (sum of drops + rises * mean drop)
 
-is computed from one pre-aggregated row per (store, sku, day, segment,
-attributes, prices) -- the *daily grain*.  The full snapshot table is shuffled
-once (for LEAD); everything after that works on the daily grain.
+is computed from one pre-aggregated row per (store, sku, day, attributes,
+prices).  These rows get their pair's mean, ``n``, units and stock flag in the
+LEAD's own partitioning: they are the *daily grain*.  The full snapshot table
+is shuffled once (for LEAD); everything after works on the daily grain.
 """
 
 from __future__ import annotations
@@ -20,34 +21,54 @@ from pyspark.sql import functions as F
 
 from ..functions.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
 from ..functions.numeric import mean16, money, ratio2, units_contribution
+from .movement import PAIR
 from .pricing import MODE_KEYS
-from .sequence import SEG_DAY, SEGMENT
 
 GROUP_KEYS = ["event_date", "sku_id", "city_name", "category_id", "sub_category_id",
               "sku_name", "brand_id", "brand", "image_url"]
-DAILY_KEYS = ["store_id", "sku_id", "event_date", SEG_DAY, SEGMENT, "city_name", "category_id",
-              "sub_category_id", "sku_name", "brand_id", "brand", "image_url",
+STORE_DAY = [*PAIR, "event_date"]
+ATTRIBUTES = ["city_name", "category_id", "sub_category_id", "sku_name", "brand_id", "brand", "image_url",
               "mrp", "selling_price"]
 
 
-def daily_grain(sales: DataFrame) -> DataFrame:
-    """One row per (store, sku, day, segment, city, attributes, prices) of ``direct_sales`` output.
+def daily_grain(sales: DataFrame, seg_cols: list[str] | None = None) -> DataFrame:
+    """``direct_sales`` output by (store, sku, day, attributes, prices), or finer where hot pairs were split.
 
-    The segment columns are present only if hot keys were split; they refine
-    (never merge) the (store, sku, day) groups.
+    rows: snapshots; in_stock: 1 if the store had stock that day; units:
+    estimated units counted once; fanned_units: counted ``n`` times.
 
-    rows: snapshots; direct_sum/direct_cnt: drops; rise_cnt: snapshots followed
-    by a rise; in_stock: 1 if any snapshot had inventory > 0.  The grouping keys
-    contain the LEAD partitioning, so this needs no shuffle of its own.
+    Without split pairs the sums per pair and store-day are windows over the
+    aggregated rows, in the LEAD's partitioning: no shuffle of its own.  With
+    them (``seg_cols``, the columns they were split on) a pair's rows stay
+    apart: those sums are aggregated partially per segment, and joined.
     """
+    seg_cols = seg_cols or []
     inv, nxt = F.col("inventory"), F.col("next_inventory")
-    keys = [k for k in DAILY_KEYS if k in sales.columns]   # segment columns only if split
-    return sales.groupBy(*keys).agg(
+    rows = sales.groupBy(*STORE_DAY, *seg_cols, *ATTRIBUTES).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum("direct_qty_sold"), F.lit(0)).cast("long").alias("direct_sum"),
-        F.count("direct_qty_sold").alias("direct_cnt"),
-        F.sum(F.when(nxt > inv, 1).otherwise(0)).cast("long").alias("rise_cnt"),
-        F.max(F.when(inv > 0, 1).otherwise(0)).alias("in_stock"))
+        F.coalesce(F.sum("direct_qty_sold"), F.lit(0)).cast("long").alias("_drops"),
+        F.count("direct_qty_sold").alias("_drop_rows"),
+        F.sum(F.when(nxt > inv, 1).otherwise(0)).cast("long").alias("_rises"),
+        F.max(F.when(inv > 0, 1).otherwise(0)).alias("_stock"))
+    if seg_cols:
+        pair = rows.groupBy(*PAIR).agg(F.sum("_drops").alias("_pair_drops"), F.sum("_drop_rows").alias("_pair_rows"))
+        day = rows.groupBy(*STORE_DAY).agg(F.sum("rows").alias("_n"), F.max("_stock").alias("in_stock"))
+        rows = rows.join(pair, PAIR).join(day, STORE_DAY)
+    else:
+        w, d = Window.partitionBy(*PAIR), Window.partitionBy(*STORE_DAY)
+        rows = (rows.withColumn("_pair_drops", F.sum("_drops").over(w))
+                    .withColumn("_pair_rows", F.sum("_drop_rows").over(w))
+                    .withColumn("_n", F.sum("rows").over(d))
+                    .withColumn("in_stock", F.max("_stock").over(d)))
+    mean = mean16(F.col("_pair_drops"), F.col("_pair_rows"))
+    n = F.when(F.col("city_name").isNull(), F.lit(1)).otherwise(F.col("_n"))
+
+    def units(times):
+        return units_contribution(times, F.col("_drops"), F.col("_rises"), mean)
+
+    return rows.select(*STORE_DAY, *ATTRIBUTES, "rows",
+                       F.when(F.col("city_name").isNull(), F.lit(0)).otherwise(F.col("in_stock")).alias("in_stock"),
+                       units(F.lit(1).cast("long")).alias("units"), units(n).alias("fanned_units"))
 
 
 def total_stores_per_city(mapped: DataFrame) -> DataFrame:
@@ -61,30 +82,18 @@ def city_level_agg(daily: DataFrame, modes: DataFrame, *, dedupe: bool = False)
     """Per (day, sku, city, category, sub-category, name, brand id, brand, image):
     est_qty_sold (unrounded, with the reference's fan-out unless ``dedupe``),
     modal prices, listed_ds_count and in_stock_store_count.
+
+    One shuffle of the daily grain on (day, sku, city) serves the roll-up to
+    stores, the one to the city and the join to the modes.
     """
-    pair = Window.partitionBy("store_id", "sku_id")
-    day = Window.partitionBy("store_id", "sku_id", "event_date")
-    d = (daily.withColumn("_dsum", F.sum("direct_sum").over(pair))
-              .withColumn("_dcnt", F.sum("direct_cnt").over(pair))
-              .withColumn("_n", F.sum("rows").over(day))
-              .withColumn("_stock", F.max("in_stock").over(day)))
-    no_city = F.col("city_name").isNull()
-    n = F.lit(1).cast("long") if dedupe else F.when(no_city, F.lit(1)).otherwise(F.col("_n"))
-    stock = F.when(no_city, F.lit(0)).otherwise(F.col("_stock"))
-    units = units_contribution(n, F.col("direct_sum"), F.col("rise_cnt"),
-                               mean16(F.col("_dsum"), F.col("_dcnt")))
-    per_store = (d.groupBy(*GROUP_KEYS, "store_id")
-                  .agg(F.sum(units).alias("_units"), F.max(stock).alias("_stock")))
-    # One shuffle on (day, sku, city) serves both the roll-up and the join to
-    # the modes, which are partitioned on the same keys.  (A partial aggregate
-    # on all nine keys first would save little: a city-day's stores sit in
-    # different (store, sku) partitions.)
-    agg = (per_store.repartition(*MODE_KEYS).groupBy(*GROUP_KEYS)
+    per_store = (daily.repartition(*MODE_KEYS).groupBy(*GROUP_KEYS, "store_id")
+                      .agg(F.sum("units" if dedupe else "fanned_units").alias("_units"),
+                           F.max("in_stock").alias("_stock")))
+    agg = (per_store.groupBy(*GROUP_KEYS)
                     .agg(F.sum("_units").alias("est_qty_sold"),
                          F.count(F.lit(1)).alias("listed_ds_count"),
                          F.sum("_stock").cast("long").alias("in_stock_store_count")))
-    m = modes.select(*MODE_KEYS, "mrp_mode", "sp_mode")
-    return agg.join(m, MODE_KEYS, "left")
+    return agg.join(modes.select(*MODE_KEYS, "mrp_mode", "sp_mode"), MODE_KEYS, "left")
 
 
 def city_insights(agg: DataFrame, totals: DataFrame, categories: DataFrame, *,
@@ -93,15 +102,10 @@ def city_insights(agg: DataFrame, totals: DataFrame, categories: DataFrame, *,
 
     Sales use the unrounded units times the modal price; availability and
     discount are guarded ratios rounded to 2 places.  Unsorted: sort at read
-    (``plans.city_insights.ordered``).
-
-    ``totals`` is derived from the snapshots, so counting it up front would
-    cost a pass over them: its join is left to AQE, which broadcasts it only
-    if its materialised shuffle output is under the adaptive broadcast
-    threshold and otherwise keeps the sort-merge join.  The category table is
-    a base table and is counted before it is broadcast.
+    (``plans.city_insights.ordered``).  ``totals`` (from the written daily
+    grain) and the category table are measured before they are broadcast.
     """
-    t = totals
+    t = sized_broadcast(totals, broadcast_rows)
     c = sized_broadcast(categories.select(
         F.col("l2_category_id").alias("_l2"),
         F.col("l1_category").alias("category_name"),

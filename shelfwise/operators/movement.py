@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
@@ -10,6 +10,10 @@ from ..functions.numeric import MEAN_TYPE, mean16
 from .sequence import DEFAULT_SEGMENT_ROWS, add_segments, lead_in_sequence
 
 PAIR = ["store_id", "sku_id"]
+MOVEMENT_COLUMNS = [
+    "created_at", "event_time", "event_date", "store_id", "sku_id", "category_id", "sub_category_id", "sku_name",
+    "brand_id", "brand", "image_url", "mrp", "selling_price", "city_name", "inventory", "next_inventory",
+    "next_event_time"]
 
 
 def attach_city(snap: DataFrame, store_city: DataFrame,
@@ -19,18 +23,15 @@ def attach_city(snap: DataFrame, store_city: DataFrame,
     return snap.join(city, "store_id", "inner")
 
 
-def inventory_movement(snap: DataFrame, store_city: DataFrame, *,
-                       max_rows_per_segment: int | None = DEFAULT_SEGMENT_ROWS,
-                       broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                       snapshot_rows: int | None = None) -> DataFrame:
-    """Each snapshot of a mapped store with the inventory and time of the next
-    snapshot of the same (store, sku), in time order, across day ends.
-    ``snapshot_rows`` (the row count of ``snap``, counted here if not given)
-    bounds the group sizes for the hot-group check.
+def split_movement(snap: DataFrame, store_city: DataFrame, *,
+                   max_rows_per_segment: int | None = DEFAULT_SEGMENT_ROWS,
+                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                   snapshot_rows: int | None = None) -> tuple[DataFrame, list[str]]:
+    """``inventory_movement`` with the columns hot pairs were split on, which are returned too.
 
-    If a hot (store, sku) was split, adds ``segment_day`` and ``segment``
-    (constant for the keys that were not); later stages group on them so the
-    LEAD partitioning is reused without another shuffle.
+    Later stages group on them, so the LEAD partitioning is reused without
+    another shuffle.  ``snapshot_rows`` (the row count of ``snap``, counted
+    here if not given) bounds the group sizes for the hot-pair check.
     """
     m = attach_city(snap, store_city, broadcast_rows).select(
         F.col("created_at"),
@@ -44,11 +45,21 @@ def inventory_movement(snap: DataFrame, store_city: DataFrame, *,
     bound = None
     if max_rows_per_segment:
         bound = snapshot_rows if snapshot_rows is not None else snap.count()
-    m, seg_cols = add_segments(m, PAIR, "created_at", "event_date", max_rows_per_segment,
-                               broadcast_rows, row_bound=bound)
+    m, seg_cols = add_segments(m, PAIR, "created_at", max_rows_per_segment, broadcast_rows, row_bound=bound)
     moved = lead_in_sequence(m, PAIR, "created_at", ["inventory"], seg_cols)
     return moved.withColumn("next_event_time", F.col("next_created_at").cast("timestamp_ntz")) \
-                .drop("next_created_at")
+                .drop("next_created_at"), seg_cols
+
+
+def inventory_movement(snap: DataFrame, store_city: DataFrame, **options) -> DataFrame:
+    """Each snapshot of a mapped store with the inventory and time of the next
+    snapshot of the same (store, sku), in time order, across day ends.
+
+    The columns are ``MOVEMENT_COLUMNS``, whether hot pairs were split or not;
+    options as in ``split_movement``.
+    """
+    moves, _ = split_movement(snap, store_city, **options)
+    return moves.select(*MOVEMENT_COLUMNS)
 
 
 def direct_sales(moves: DataFrame) -> DataFrame:
@@ -66,21 +77,34 @@ def avg_historical_sales(sales: DataFrame) -> DataFrame:
                  .select(*PAIR, mean16(F.col("_s"), F.col("_n")).alias("avg_sold")))
 
 
-def estimated_qty(sales: DataFrame) -> DataFrame:
+def _estimate(mean: Column) -> Column:
+    zero = F.lit(0).cast(MEAN_TYPE)
+    return (F.when(F.col("direct_qty_sold").isNotNull(), F.col("direct_qty_sold").cast(MEAN_TYPE))
+             .when(F.col("next_inventory") > F.col("inventory"), F.coalesce(mean, zero))
+             .otherwise(zero))
+
+
+def estimated_qty(sales: DataFrame, split: bool = False) -> DataFrame:
     """Per snapshot: the direct drop, else on a rise the (store, sku) mean drop (0 if none), else 0.
 
-    Row-level form.  The insights build uses the same rule aggregated per day
-    (``insights.daily_grain``) and never materialises this per row.  The means
-    are derived from ``sales`` itself, so they are not counted up front (that
-    would run the LEAD twice): AQE broadcasts them if their shuffle output is
-    small, else the sort-merge join splits a hot (store, sku) partition.
+    The mean is a window over the LEAD's own partitioning, so it adds no
+    shuffle and no scan.  ``split``: hot pairs were split, whose rows must not
+    meet in one task again; their mean is then aggregated (partially per task)
+    and joined, broadcast or skew-split by AQE.
     """
-    avg = avg_historical_sales(sales)
-    est = (F.when(F.col("direct_qty_sold").isNotNull(), F.col("direct_qty_sold").cast(MEAN_TYPE))
-             .when(F.col("next_inventory") > F.col("inventory"),
-                   F.coalesce(F.col("avg_sold"), F.lit(0).cast(MEAN_TYPE)))
-             .otherwise(F.lit(0).cast(MEAN_TYPE)))
-    return sales.join(avg, PAIR, "left").withColumn("est_qty_sold_per_record", est)
+    if split:
+        return sales.join(avg_historical_sales(sales), PAIR, "left") \
+                    .withColumn("est_qty_sold_per_record", _estimate(F.col("avg_sold")))
+    w = Window.partitionBy(*PAIR)
+    mean = mean16(F.sum("direct_qty_sold").over(w), F.count("direct_qty_sold").over(w))
+    return sales.withColumn("avg_sold", mean) \
+                .withColumn("est_qty_sold_per_record", _estimate(F.col("avg_sold")))
+
+
+def estimated_sales(snap: DataFrame, store_city: DataFrame, **options) -> DataFrame:
+    """``estimated_qty`` of ``direct_sales`` of the snapshots' movement; options as in ``split_movement``."""
+    moves, seg_cols = split_movement(snap, store_city, **options)
+    return estimated_qty(direct_sales(moves), split=bool(seg_cols)).drop(*seg_cols)
 
 
 def stock_status(snap: DataFrame, store_city: DataFrame, *,

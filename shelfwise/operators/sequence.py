@@ -3,8 +3,8 @@
 A plain ``lead(x).over(Window.partitionBy(keys).orderBy(t))`` puts every row
 of a key into one task.  That is right for ordinary keys and is what runs
 when no key is hot.  If one (store, sku) or one employee holds a large share
-of all rows, only that key's sequence is cut into *segments* (a day, and a
-hot day packed into runs of at most the row threshold, by its seconds):
+of all rows, only that key's sequence is cut into *segments* of about the row
+threshold:
 
 * the window runs per (key, segment), so a task holds at most one segment;
 * the few rows that need the neighbouring segment (the last row of a segment
@@ -12,39 +12,39 @@ hot day packed into runs of at most the row threshold, by its seconds):
   per-segment summary table, itself ordered by a window over far fewer rows.
 
 Results are identical to the single-window form for any segmentation whose
-segment order agrees with the row order.  Key and segment columns must be
-non-NULL (the summary is joined back on them with plain equality).
+segment order agrees with the row order.  Keys, segments and order columns
+must be non-NULL.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.joins import DEFAULT_BROADCAST_ROWS
+from ..functions.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
 from ..functions.ordering import pg_asc
 
-SEG_DAY = "segment_day"
-SEGMENT = "segment"
-# Rows one key (and one key-day) may have before it is split.
+SEGMENT = "__segment"
+# Rows one key may have before it is split.
 DEFAULT_SEGMENT_ROWS = 2_000_000
-# segment_day of keys that are not split: their whole sequence is one segment.
-UNSPLIT_DAY = "1970-01-01"
 
 
-def _whole() -> Column:
-    return F.lit(UNSPLIT_DAY).cast("date")
+def _order_second(df: DataFrame, ts_col: str) -> Column:
+    """A number per second that never decreases in the order of the column.
 
-
-def _micros_into_day(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp")) - F.unix_micros(F.to_date(ts).cast("timestamp"))
-
-
-def _unsplit(df: DataFrame) -> tuple[DataFrame, list[str]]:
-    return df, []
+    For a timestamp, the epoch second.  A timestamp without zone is read by
+    its own fields: a cast through the session's zone would not keep the order
+    at a change of daylight saving time.
+    """
+    ts = F.col(ts_col)
+    if isinstance(df.schema[ts_col].dataType, T.TimestampNTZType):
+        day = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long")
+        return day * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return F.floor(F.unix_micros(ts) / 1_000_000)
 
 
-def add_segments(df: DataFrame, keys: list[str], ts_col: str, day_col: str,
+def add_segments(df: DataFrame, keys: list[str], ts_col: str,
                  max_rows: int | None = DEFAULT_SEGMENT_ROWS,
                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                  row_bound: int | None = None) -> tuple[DataFrame, list[str]]:
@@ -55,58 +55,30 @@ def add_segments(df: DataFrame, keys: list[str], ts_col: str, day_col: str,
       of ``df`` (e.g. the unfiltered source table's count, which Parquet
       answers from footers), skips the counting pass when even the whole
       input is below the threshold.
-    * Otherwise rows of hot keys get ``segment_day`` = their day; other keys
-      keep one segment.  A hot key's day above ``max_rows`` rows is packed by
-      running row count over its seconds: ``segment`` = floor(rows in earlier
-      seconds / max_rows).  A segment then holds at most ``max_rows`` plus one
-      second of one key, however the rows are spread over the day.  Adds and
-      returns ``["segment_day", "segment"]`` (just ``["segment_day"]`` when no
-      single day is above the threshold).
-
-    The hot-key table has at most total_rows / max_rows rows, the hot-day
-    table likewise, and the per-second table at most 86,400 rows per hot day;
-    each is counted before it is broadcast (else joined by shuffle).
+    * Otherwise adds ``SEGMENT`` and returns ``[SEGMENT]``: for hot keys, the
+      rows of the key in earlier seconds divided by ``max_rows``; 0 for all
+      others.  A segment holds at most ``max_rows`` rows plus one second of
+      one key, however the rows are spread over time.
+
+    Two aggregations find the segments (rows per key; rows per second of the
+    hot keys) and one join brings them to the rows, by broadcast only if their
+    table passes a size check.
     """
     if not max_rows or (row_bound is not None and row_bound <= max_rows):
-        return _unsplit(df)
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-             .filter(F.col("_rows") > max_rows).select(*keys, F.lit(True).alias("_hot"))
-             .cache())
-    n_hot = hot.count()
-    if n_hot == 0:
-        hot.unpersist()
-        return _unsplit(df)
-    marked = df.join(_side(hot, n_hot, broadcast_rows), keys, "left")
-    seg_day = F.when(F.col("_hot"), F.col(day_col)).otherwise(_whole())
-    hot_days = (marked.filter(F.col("_hot")).groupBy(*keys, day_col)
-                      .agg(F.count(F.lit(1)).alias("_rows"))
-                      .filter(F.col("_rows") > max_rows)
-                      .select(*keys, day_col, F.lit(True).alias("_hot_day"))
-                      .cache())
-    n_days = hot_days.count()
-    if n_days == 0:                      # split by day only; no constant split column
-        return marked.withColumn(SEG_DAY, seg_day).drop("_hot"), [SEG_DAY]
-    second = F.floor(_micros_into_day(F.col(ts_col)) / 1_000_000)
-    rows = (marked.join(_side(hot_days, n_days, broadcast_rows), keys + [day_col], "left")
-                  .withColumn("_sec", second))
-    earlier = (Window.partitionBy(*keys, day_col).orderBy("_sec")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    packed = (rows.filter(F.col("_hot_day")).groupBy(*keys, day_col, "_sec")
-                  .agg(F.count(F.lit(1)).alias("_n"))
-                  .select(*keys, day_col, "_sec",
-                          F.floor(F.coalesce(F.sum("_n").over(earlier), F.lit(0)) / max_rows)
-                           .cast("int").alias("_slice"))
-                  .cache())
-    n_packed = packed.count()
-    out = rows.join(_side(packed, n_packed, broadcast_rows), keys + [day_col, "_sec"], "left")
-    return (out.withColumn(SEG_DAY, seg_day)
-               .withColumn(SEGMENT, F.coalesce(F.col("_slice"), F.lit(0)))
-               .drop("_hot", "_hot_day", "_sec", "_slice"),
-            [SEG_DAY, SEGMENT])
-
-
-def _side(small: DataFrame, rows: int, broadcast_rows: int) -> DataFrame:
-    return F.broadcast(small) if rows <= broadcast_rows else small
+        return df, []
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > max_rows)
+             .select(*keys))
+    timed = df.withColumn("__second", _order_second(df, ts_col))
+    seconds = (timed.join(hot, keys, "left_semi").groupBy(*keys, "__second")
+                    .agg(F.count(F.lit(1)).alias("__rows")))
+    earlier = Window.partitionBy(*keys).orderBy("__second").rowsBetween(Window.unboundedPreceding, -1)
+    segments = seconds.select(*keys, "__second", F.floor(
+        F.coalesce(F.sum("__rows").over(earlier), F.lit(0)) / max_rows).cast("int").alias(SEGMENT)).persist()
+    if segments.isEmpty():
+        segments.unpersist()
+        return df, []
+    out = timed.join(sized_broadcast(segments, broadcast_rows), [*keys, "__second"], "left")
+    return out.withColumn(SEGMENT, F.coalesce(SEGMENT, F.lit(0))).drop("__second"), [SEGMENT]
 
 
 def lead_in_sequence(df: DataFrame, keys: list[str], order_col: str, values: list[str],
@@ -151,16 +123,14 @@ def number_in_sequence(df: DataFrame, keys: list[str], order_col: str, seg_cols:
                        name: str = "rn") -> DataFrame:
     """Add ``name`` = ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order_col ASC NULLS LAST).
 
-    The number is the row's place inside its segment plus the row count of all
-    earlier segments of the key.  NULL ``order_col`` rows must sit in the last
-    segment (callers map a NULL day to a sentinel that sorts last).
+    NULLs are allowed without segments only.  The number is the row's place inside its segment plus the row count of all
+    earlier segments of the key.
     """
     if not seg_cols:
         return df.withColumn(name, F.row_number().over(
             Window.partitionBy(*keys).orderBy(pg_asc(order_col))).cast("long"))
     part = keys + seg_cols
-    local = df.withColumn("_local_rn", F.row_number().over(
-        Window.partitionBy(*part).orderBy(pg_asc(order_col))))
+    local = df.withColumn("_local_rn", F.row_number().over(Window.partitionBy(*part).orderBy(pg_asc(order_col))))
     sizes = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
     before = (Window.partitionBy(*keys).orderBy(*seg_cols)
               .rowsBetween(Window.unboundedPreceding, -1))

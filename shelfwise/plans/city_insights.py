@@ -1,95 +1,75 @@
 """The insights build: snapshots + store map + categories -> city_insights.
 
-Shuffle plan (see README):
+Shuffle plan, the same at every size (see README):
   1. snapshots join the store map (size-checked broadcast), one hash shuffle on
-     (store, sku) for LEAD -- on (store, sku, segment) for hot keys, which are
-     split (``operators.sequence``); drops and flags per row;
-  2. aggregate to the daily grain in the same partitions (no shuffle);
-  3. daily grain -> modal prices, store totals, (store, sku) means and the
-     city roll-up: shuffles of pre-aggregated rows only;
-  4. categories join by a counted broadcast; store totals (derived from the
-     snapshots) by AQE's runtime choice: broadcast if the materialised totals
-     are small, else sort-merge.
-The daily grain is read by three branches.  For inputs of at least
-``MATERIALIZE_ROWS`` snapshots (or with ``checkpoint_daily=True``) it is
-written as Parquet to the cluster's shared checkpoint folder
-(``spark.checkpoint.dir``): the
-lineage is cut right after the only full-data shuffle, so a lost executor
-does not send the build back to the snapshot scan, and the branches read the
-checkpoint instead of re-scanning snapshot columns.  With
-``checkpoint_daily=False`` the plan stays one lazy query and Catalyst prunes
-each branch back to the columns it needs.
+     (store, sku) for LEAD -- on (store, sku, segment) if there are hot keys,
+     which are split (``operators.sequence``); drops and flags per row;
+  2. aggregate to the daily grain with its means, fan-out, units and stock
+     flags in the same partitions, and write it as Parquet to the cluster's
+     shared folder.  This cuts the lineage right after the only shuffle of the
+     snapshots: a lost executor never sends the build back to them, and each
+     later branch reads only the columns it needs;
+  3. daily grain -> modal prices, store totals and the city roll-up: shuffles
+     of aggregated rows only;
+  4. categories and store totals join by a measured broadcast.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.joins import DEFAULT_BROADCAST_ROWS
 from ..functions.ordering import pg_asc
 from ..operators.insights import city_insights, city_level_agg, daily_grain, total_stores_per_city
-from ..operators.movement import direct_sales, inventory_movement
+from ..operators.movement import direct_sales, split_movement
 from ..operators.pricing import price_modes
 from ..operators.sequence import DEFAULT_SEGMENT_ROWS
-from ..session import checkpoint_dir
+from ..session import release, staging_dir
 from ..sources.tables import create_table_if_absent
 
 
-# Snapshot rows from which the daily grain is written out by default: below
-# this the whole build reruns in seconds, so a lost executor costs less than
-# the write.  Measured on local[8]: at 100k snapshots the lazy plan is 15%
-# faster, at 600k the two tie; above, the written grain also saves re-scans.
-MATERIALIZE_ROWS = 1_000_000
-
-
-def build_daily(snap: DataFrame, store_city: DataFrame, *,
+def write_daily(snap: DataFrame, store_city: DataFrame, *,
                 max_rows_per_segment: int | None = DEFAULT_SEGMENT_ROWS,
-                broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                checkpoint_daily: bool | None = None) -> DataFrame:
-    """Daily grain of the snapshots (see ``operators.insights.daily_grain``).
-
-    ``checkpoint_daily``: True writes it to the shared folder and reads it
-    back (lineage cut), False keeps one lazy plan, None (default) writes it
-    when the snapshot table has at least ``MATERIALIZE_ROWS`` rows.  The row
-    count is a footer-only job on Parquet and also bounds the hot-group check.
+                broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> str:
+    """Write the daily grain to the shared folder; returns its path.
+
+    The row count of the snapshots (footers only on Parquet) bounds the
+    hot-key check.
     """
-    rows = snap.count()
-    moves = inventory_movement(snap, store_city, max_rows_per_segment=max_rows_per_segment,
-                               broadcast_rows=broadcast_rows, snapshot_rows=rows)
-    daily = daily_grain(direct_sales(moves))
-    if checkpoint_daily is None:
-        checkpoint_daily = rows >= MATERIALIZE_ROWS
-    if checkpoint_daily:
-        spark = daily.sparkSession
-        try:
-            folder = checkpoint_dir(spark)
-        except RuntimeError:
-            # no shared checkpoint folder configured: keep the reuse, lose the lineage cut
-            return daily.persist(StorageLevel.MEMORY_AND_DISK)
-        # A written Parquet table rather than Dataset.checkpoint(): one pass
-        # (an eager RDD checkpoint of an unpersisted plan computes it twice),
-        # columnar, so each reader prunes to its columns.
-        path = f"{folder.rstrip('/')}/shelfwise/daily_grain/{uuid.uuid4().hex}"
-        daily.write.parquet(path)
-        daily = spark.read.parquet(path)
-    return daily
+    moves, seg_cols = split_movement(snap, store_city, max_rows_per_segment=max_rows_per_segment,
+                                     broadcast_rows=broadcast_rows)
+    path = f"{staging_dir(snap.sparkSession)}/daily_grain/{uuid.uuid4().hex}"
+    daily_grain(direct_sales(moves), seg_cols).write.parquet(path)
+    return path
+
+
+def build_daily(snap: DataFrame, store_city: DataFrame, **options) -> DataFrame:
+    """Daily grain of the snapshots, read back from where ``write_daily`` put it."""
+    return snap.sparkSession.read.parquet(write_daily(snap, store_city, **options))
+
+
+def insights_of(daily: DataFrame, categories: DataFrame, *, dedupe: bool = False,
+                broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """city_insights of a written daily grain (unsorted)."""
+    agg = city_level_agg(daily, price_modes(daily, weight="rows"), dedupe=dedupe)
+    return city_insights(agg, total_stores_per_city(daily), categories, broadcast_rows=broadcast_rows)
 
 
 def build_city_insights(snap: DataFrame, store_city: DataFrame, categories: DataFrame, *,
                         dedupe: bool = False,
                         max_rows_per_segment: int | None = DEFAULT_SEGMENT_ROWS,
-                        broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                        checkpoint_daily: bool | None = None) -> DataFrame:
-    """city_insights from the three input tables (unsorted)."""
-    daily = build_daily(snap, store_city, max_rows_per_segment=max_rows_per_segment,
-                        broadcast_rows=broadcast_rows, checkpoint_daily=checkpoint_daily)
-    modes = price_modes(daily, weight="rows")
-    totals = total_stores_per_city(daily)
-    agg = city_level_agg(daily, modes, dedupe=dedupe)
-    return city_insights(agg, totals, categories, broadcast_rows=broadcast_rows)
+                        broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """city_insights from the three input tables (unsorted).
+
+    The result reads the written daily grain, which stays in the application's
+    staging folder until ``session.release_staging``; ``materialize`` removes
+    it by itself.
+    """
+    daily = build_daily(snap, store_city, max_rows_per_segment=max_rows_per_segment, broadcast_rows=broadcast_rows)
+    return insights_of(daily, categories, dedupe=dedupe, broadcast_rows=broadcast_rows)
 
 
 def ordered(insights: DataFrame) -> DataFrame:
@@ -97,12 +77,25 @@ def ordered(insights: DataFrame) -> DataFrame:
     return insights.orderBy(pg_asc("date"), pg_asc("city_name"), pg_asc("sku_id"))
 
 
-def materialize(insights: DataFrame, *, table: str | None = None, path: str | None = None) -> bool:
-    """CREATE TABLE IF NOT EXISTS ... AS: written once, partitioned by date.
+def materialize(spark: SparkSession, inputs: Callable[[], tuple[DataFrame, DataFrame, DataFrame]], *,
+                table: str | None = None, path: str | None = None, dedupe: bool = False, **options) -> bool:
+    """CREATE TABLE IF NOT EXISTS ... AS: built and written once, partitioned by date.
 
-    A REBALANCE on the partition column groups each date's rows into evenly
-    sized tasks (AQE splits a large date and merges small ones), instead of
-    every task writing a small file for every date it holds.
+    ``inputs`` gives snapshots, store map and categories; it is called only if
+    the table is absent.  A REBALANCE on the partition column groups each
+    date's rows into evenly sized tasks (AQE splits a large date and merges
+    small ones), instead of every task writing a small file for every date it
+    holds.  The daily grain is deleted once the table is written.
     """
-    return create_table_if_absent(insights.hint("rebalance", "date"), table=table, path=path,
-                                  partition_by=["date"])
+    made: list[str] = []
+
+    def build() -> DataFrame:
+        snap, store_city, categories = inputs()
+        made.append(write_daily(snap, store_city, **options))
+        return insights_of(spark.read.parquet(made[0]), categories, dedupe=dedupe).hint("rebalance", "date")
+
+    try:
+        return create_table_if_absent(spark, build, table=table, path=path, partition_by=["date"])
+    finally:
+        for grain in made:
+            release(spark, grain)

@@ -18,9 +18,12 @@ from pyspark.sql import types as T
 from ..operators import analyses, attendance, insights, movement, pricing, quality
 from ..session import staging_dir
 from ..sources import csv_io, feeds, schemas
-from .city_insights import build_city_insights, build_daily
+from .city_insights import build_city_insights, build_daily, materialize, ordered
 from .oracle import WINDOW_END, WINDOW_START
 
+# Rows per key from which the ``*_split`` queries split, far below production's, so that most keys are.
+SPLIT_ROWS = 5
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -50,25 +53,31 @@ def nullable_counts(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def _inputs(spark: SparkSession, sf_dir: str):
+    """Snapshots, store map and categories."""
     return (feeds.snapshot_feed(spark, sf_dir), feeds.store_city_feed(spark, sf_dir),
             feeds.category_feed(spark, sf_dir))
 
 
-def _moves(spark, sf_dir):
+def _moves(spark, sf_dir, **options):
     snap, city, _ = _inputs(spark, sf_dir)
-    return movement.inventory_movement(snap, city)
+    return movement.inventory_movement(snap, city, **options)
+
+
+def _insights(spark, sf_dir, **options):
+    return build_city_insights(*_inputs(spark, sf_dir), **options)
 
 
-def _insights(spark, sf_dir):
-    return build_city_insights(*_inputs(spark, sf_dir))
+def _movement(m):
+    return nullable_counts(comparable(m.drop("created_at")), "inventory", "next_inventory")
 
 
 def inventory_movement(spark, sf_dir):
-    m = _moves(spark, sf_dir)
-    return nullable_counts(comparable(m.select(
-        "event_time", "event_date", "store_id", "sku_id", "category_id", "sub_category_id",
-        "sku_name", "brand_id", "brand", "image_url", "mrp", "selling_price", "city_name",
-        "inventory", "next_inventory", "next_event_time")), "inventory", "next_inventory")
+    return _movement(_moves(spark, sf_dir))
+
+
+def inventory_movement_split(spark, sf_dir):
+    """``inventory_movement`` with every pair of more than SPLIT_ROWS snapshots split."""
+    return _movement(_moves(spark, sf_dir, max_rows_per_segment=SPLIT_ROWS))
 
 
 def direct_sales(spark, sf_dir):
@@ -83,7 +92,8 @@ def avg_historical_sales(spark, sf_dir):
 
 
 def estimated_qty(spark, sf_dir):
-    e = movement.estimated_qty(movement.direct_sales(_moves(spark, sf_dir)))
+    snap, city, _ = _inputs(spark, sf_dir)
+    e = movement.estimated_sales(snap, city)
     return comparable(e.select("store_id", "sku_id", "event_time", "est_qty_sold_per_record"))
 
 
@@ -114,6 +124,30 @@ def city_insights(spark, sf_dir):
     return comparable(_insights(spark, sf_dir))
 
 
+def city_insights_split(spark, sf_dir):
+    """``city_insights`` with every pair of more than SPLIT_ROWS snapshots split."""
+    return comparable(_insights(spark, sf_dir, max_rows_per_segment=SPLIT_ROWS))
+
+
+def ordered_insights(spark, sf_dir):
+    """``city_insights`` in its presentation order."""
+    return comparable(ordered(_insights(spark, sf_dir)))
+
+
+def create_if_absent(spark, sf_dir):
+    """``city_insights`` as a table that is created twice: the second time builds nothing."""
+    path = f"{staging_dir(spark)}/create_if_absent/{uuid.uuid4().hex}"
+    first = materialize(spark, lambda: _inputs(spark, sf_dir), path=path)
+    again = materialize(spark, _never, path=path)
+    if not first or again:
+        raise AssertionError("the table must be created by the first call only")
+    return comparable(spark.read.parquet(path).select(*schemas.INSIGHTS_COLUMNS))
+
+
+def _never():
+    raise AssertionError("the table is there, its inputs must not be asked for")
+
+
 def _report(fn) -> Query:
     def run(spark, sf_dir):
         return comparable(fn(_insights(spark, sf_dir)))
@@ -126,11 +160,21 @@ def hours_worked(spark, sf_dir):
     return comparable(attendance.hours_worked(feeds.attendance_feed(spark, sf_dir)))
 
 
+def hours_worked_split(spark, sf_dir):
+    """``hours_worked`` with every sequence of more than SPLIT_ROWS swipes split."""
+    return comparable(attendance.hours_worked(feeds.attendance_feed(spark, sf_dir),
+                                              max_rows_per_segment=SPLIT_ROWS))
+
+
 def hours_in_window(spark, sf_dir):
     log = feeds.attendance_feed(spark, sf_dir)
     return comparable(attendance.hours_in_window(log, WINDOW_START, WINDOW_END))
 
 
+def pair_swipes(spark, sf_dir):
+    return comparable(attendance.pair_swipes(feeds.attendance_feed(spark, sf_dir)))
+
+
 def attendance_log(spark, sf_dir):
     return comparable(attendance.attendance_log(feeds.attendance_feed(spark, sf_dir)))
 
@@ -149,34 +193,32 @@ def key_violations(spark, sf_dir):
     return out
 
 
+def _round_trip(df: DataFrame, schema) -> DataFrame:
+    """Written as CSV under the staging folder and loaded back."""
+    path = f"{staging_dir(df.sparkSession)}/csv_round_trip/{uuid.uuid4().hex}"
+    return comparable(csv_io.csv_round_trip(df, path, schema, multiline=True))
+
+
 def csv_round_trip(spark, sf_dir):
-    """Snapshots written as CSV under the cluster's shared staging folder and loaded back."""
-    path = f"{staging_dir(spark).rstrip('/')}/csv_round_trip/{uuid.uuid4().hex}"
-    snap = feeds.snapshot_feed(spark, sf_dir)
-    return comparable(csv_io.csv_round_trip(snap, path, schemas.SNAPSHOT_SCHEMA))
+    """Snapshots written as CSV and loaded back."""
+    return _round_trip(feeds.snapshot_feed(spark, sf_dir), schemas.SNAPSHOT_SCHEMA)
+
+
+def csv_categories(spark, sf_dir):
+    """Categories written as CSV and loaded back."""
+    return _round_trip(feeds.category_feed(spark, sf_dir), schemas.CATEGORY_SCHEMA)
+
+
+def csv_store_city(spark, sf_dir):
+    """The store map written as CSV and loaded back."""
+    return _round_trip(feeds.store_city_feed(spark, sf_dir), schemas.STORE_CITY_SCHEMA)
 
 
 def queries() -> dict[str, Query]:
-    return {
-        "inventory_movement": inventory_movement,
-        "direct_sales": direct_sales,
-        "avg_historical_sales": avg_historical_sales,
-        "estimated_qty": estimated_qty,
-        "stock_status": stock_status,
-        "price_modes": price_modes,
-        "city_level_agg": city_level_agg,
-        "total_stores_per_city": total_stores_per_city,
-        "city_insights": city_insights,
-        "top_skus": _report(analyses.top_skus),
-        "skus_by_city": _report(analyses.skus_by_city),
-        "stockout_skus": _report(analyses.stockout_skus),
-        "brand_revenue": _report(analyses.brand_revenue),
-        "city_revenue": _report(analyses.city_revenue),
-        "category_revenue": _report(analyses.category_revenue),
-        "discount_bands": _report(analyses.discount_bands),
-        "hours_worked": hours_worked,
-        "hours_in_window": hours_in_window,
-        "attendance_log": attendance_log,
-        "key_violations": key_violations,
-        "csv_round_trip": csv_round_trip,
-    }
+    plain = [inventory_movement, inventory_movement_split, direct_sales, avg_historical_sales, estimated_qty,
+             stock_status, price_modes, city_level_agg, total_stores_per_city, city_insights, city_insights_split,
+             ordered_insights, create_if_absent, hours_worked, hours_worked_split, hours_in_window, pair_swipes,
+             attendance_log, key_violations, csv_round_trip, csv_categories, csv_store_city]
+    reports = [analyses.top_skus, analyses.skus_by_city, analyses.stockout_skus, analyses.brand_revenue,
+               analyses.city_revenue, analyses.category_revenue, analyses.discount_bands]
+    return {f.__name__: f for f in [*plain, *map(_report, reports)]}

@@ -6,6 +6,8 @@ helpers exist for tests, the bench and command-line use.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # SQL settings the operators rely on; applied at run time where the launch
@@ -47,26 +49,46 @@ def build_session(master: str | None = None, app: str = "shelfwise",
 
 
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
+    """Shared folder named by the cluster (``spark.checkpoint.dir``), for tables between jobs.
 
-    The session's setting wins.  ``fallback`` is only used where the setting is
-    absent (local tests); on a cluster it must be a shared filesystem path.
+    The session's setting wins, then ``fallback``, which must be a shared path
+    too.  With neither, a fresh temporary folder is used under a local master,
+    which shares it with itself; on a cluster that is an error, never a
+    machine-local folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if d:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
-        return d
-    if fallback is None:
-        raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or fallback
+    if not folder:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="shelfwise-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def staging_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediate files: the checkpoint folder, else the
-    session's warehouse folder (both are locations the cluster names)."""
-    try:
-        return checkpoint_dir(spark)
-    except RuntimeError:
-        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shelfwise_staging"
+    """This application's own folder under the shared one; ``release_staging`` deletes it."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/shelfwise/{spark.sparkContext.applicationId}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; empty if there is none."""
+    p, fs = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a table this library wrote between jobs."""
+    p, fs = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def release_staging(spark: SparkSession) -> None:
+    """Delete all tables this application wrote between jobs; results built on them must be written by then."""
+    release(spark, staging_dir(spark))

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.joins import sized_broadcast
 from .schemas import ATTENDANCE_SCHEMA, CATEGORY_SCHEMA, SNAPSHOT_SCHEMA, STORE_CITY_SCHEMA
 
 # Fixed values (FIXTURES.md section 3): event type -> sku id.
@@ -62,7 +63,7 @@ def store_city_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """store_city from ``customer`` and ``nation``: customer key -> nation name."""
     c = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    df = (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")
+    df = (c.join(sized_broadcast(n), c.c_nationkey == n.n_nationkey, "left")
           .select(F.col("c_custkey").alias("store_id"), F.col("n_name").alias("city_name")))
     return _conform(df, STORE_CITY_SCHEMA)
 
@@ -125,7 +126,7 @@ def bulk_store_city_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """store_city for the bulk feed: supplier key -> nation name."""
     s = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    df = (s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey, "left")
+    df = (s.join(sized_broadcast(n), s.s_nationkey == n.n_nationkey, "left")
           .select(F.col("s_suppkey").alias("store_id"), F.col("n_name").alias("city_name")))
     return _conform(df, STORE_CITY_SCHEMA)
 

@@ -2,47 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
 
-def _committed(spark: SparkSession, path: str) -> bool:
-    """True if a completed write is at ``path`` (Spark's ``_SUCCESS`` marker).
+from ..session import list_names
 
-    A file-source read resolves its path when it is defined, so a missing
-    marker raises right away; no job runs.
-    """
-    try:
-        spark.read.text(path.rstrip("/") + "/_SUCCESS")
-        return True
-    except AnalysisException:
-        return False
+# What a write that died before its commit may leave in a folder.
+_UNCOMMITTED = {"_temporary"}
 
 
-def create_table_if_absent(df: DataFrame, *, table: str | None = None, path: str | None = None,
-                           partition_by: list[str] | None = None) -> bool:
-    """Write ``df`` once; a later call leaves the first rows in place.
+def create_table_if_absent(spark: SparkSession, build: Callable[[], DataFrame], *, table: str | None = None,
+                           path: str | None = None, partition_by: list[str] | None = None) -> bool:
+    """Build and write a table once; a later call leaves the first rows in place and builds nothing.
 
     Exactly one of ``table`` (metastore table, Parquet) or ``path`` (Parquet
-    directory, e.g. under the cluster's shared warehouse).  For a path, "in
-    place" means a committed write (``_SUCCESS`` present): a directory left by
-    a run that died mid-write is overwritten, not kept.  No global sort on
-    write: readers sort.  Returns True if it wrote.
+    directory, e.g. under the cluster's shared warehouse).  A path counts as
+    present if a write was committed there (Spark's ``_SUCCESS`` marker).  One
+    that holds nothing but an uncommitted write's temporary folder is written;
+    any other folder without the marker may be someone's data and is an error,
+    never overwritten.  No global sort on write: readers sort.  Returns True
+    if it wrote.
     """
     if (table is None) == (path is None):
         raise ValueError("give exactly one of table= or path=")
-    spark = df.sparkSession
     if table is not None:
         if spark.catalog.tableExists(table):
             return False
-        w = df.write.mode("ignore").format("parquet")
+        w = build().write.mode("ignore").format("parquet")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.saveAsTable(table)
         return True
-    if _committed(spark, path):
+    names = set(list_names(spark, path))
+    if "_SUCCESS" in names:
         return False
-    w = df.write.mode("overwrite").format("parquet")
+    if names - _UNCOMMITTED:
+        raise FileExistsError(f"{path} holds files but no committed table; remove them or choose another path")
+    w = build().write.mode("append").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)

@@ -10,33 +10,40 @@ streaming aggregation does not offer.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import staging_dir
-from ..sources.csv_io import reader_options, restore_empty_strings
+from ..session import checkpoint_dir
+from ..sources.csv_io import as_text, reader_options, typed
 from ..sources.schemas import SNAPSHOT_SCHEMA
 
 
+def stream_folder(spark: SparkSession, name: str, source_dir: str, table_path: str) -> str:
+    """Checkpoint of one stream: its name, its source and its table decide, so that ingesting a source into
+    a second table, or a second source, starts from the first file."""
+    key = hashlib.sha256(f"{source_dir.rstrip('/')}\n{table_path.rstrip('/')}".encode()).hexdigest()[:16]
+    return f"{checkpoint_dir(spark).rstrip('/')}/shelfwise/streams/{name}-{key}"
+
+
 def start_snapshot_ingest(spark: SparkSession, source_dir: str, table_path: str, *,
                           name: str = "snapshot_ingest", available_now: bool = True,
-                          max_files_per_trigger: int | None = None) -> StreamingQuery:
+                          max_files_per_trigger: int | None = None, multiline: bool = False) -> StreamingQuery:
     """Start the ingest; ``available_now`` processes what is there and stops.
 
-    The stream checkpoint goes under the cluster's shared checkpoint folder
-    (else the session's warehouse folder).
-    Output is partitioned by snapshot date so the build can prune by day.
+    The stream checkpoint goes under the cluster's shared folder, and stays
+    there for the next run.  Output is partitioned by snapshot date so the
+    build can prune by day.
     """
-    from pyspark.sql import functions as F
-
-    reader = spark.readStream.schema(SNAPSHOT_SCHEMA).options(**reader_options())
+    reader = spark.readStream.schema(as_text(SNAPSHOT_SCHEMA)).options(**reader_options(multiline))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = (restore_empty_strings(reader.csv(source_dir), SNAPSHOT_SCHEMA)
+    stream = (typed(reader.csv(source_dir), SNAPSHOT_SCHEMA)
               .withColumn("snapshot_date", F.to_date("created_at")))
-    ckpt = f"{staging_dir(spark).rstrip('/')}/streams/{name}"
     writer = (stream.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", ckpt)
+              .option("checkpointLocation", stream_folder(spark, name, source_dir, table_path))
               .partitionBy("snapshot_date")
               .queryName(name))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
