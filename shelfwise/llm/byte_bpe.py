@@ -31,11 +31,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import few_rows
+from .common import few_rows, short_batches
 
 MAX_PIECES = 250_000
 NONE = np.int32(2**31 - 1)      # rank of a pair that does not merge
-ENCODE_ROWS = 3000              # texts encoded together
+ENCODE_ROWS = 2000              # texts encoded together
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -268,7 +268,8 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str
                 [b.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32()))],
                 names=["id", "ids"])
 
-    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(
+    texts = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
+    return short_batches(texts).mapInArrow(
         encode, f"id {id_type}, ids array<int>").withColumnRenamed("id", id_col)
 
 
@@ -302,7 +303,8 @@ def decode_documents(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id"
                 [b.column(0), pa.array([decode_ids(x, tokens) for x in _id_arrays(b.column(1))], pa.binary())],
                 names=["id", "decoded"])
 
-    return encoded.selectExpr(f"`{id_col}` as id", f"coalesce(`{ids_col}`, array()) as ids").mapInArrow(
+    rows = encoded.selectExpr(f"`{id_col}` as id", f"coalesce(`{ids_col}`, array()) as ids")
+    return short_batches(rows).mapInArrow(
         decode, f"id {id_type}, decoded binary").withColumnRenamed("id", id_col)
 
 
@@ -324,5 +326,6 @@ def round_trip_digests(encoded: DataFrame, vocabulary: str, id_col: str = "doc_i
                  pa.array(cols[2], pa.string()), *[b.column(1)] * keep_ids], names=names)
 
     schema = f"id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
-    return encoded.selectExpr(f"`{id_col}` as id", f"coalesce(`{ids_col}`, array()) as ids").mapInArrow(
+    rows = encoded.selectExpr(f"`{id_col}` as id", f"coalesce(`{ids_col}`, array()) as ids")
+    return short_batches(rows).mapInArrow(
         digests, schema).withColumnsRenamed({"id": id_col, "ids": ids_col})

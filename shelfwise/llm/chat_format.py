@@ -31,6 +31,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import short_batches
+
 START, END = "<|im_start|>", "<|im_end|>\n"
 # Control strings of this and other public chat templates.
 CONTROL = ["<|", "</s>", "<s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
@@ -152,7 +154,7 @@ def format_conversations(rows: DataFrame, conv_col: str = "conv_id", turn_col: s
                         F.col(role_col).cast("string").alias("role"),
                         F.col(text_col).cast("string").alias("text"))
     ordered = keyed.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text")
-    return ordered.select("conv", "role", "text").mapInArrow(
+    return short_batches(ordered.select("conv", "role", "text")).mapInArrow(
         assembled, "conv long, part int, n_turns long, formatted string, loss array<struct<start:long,end:long>>"
     ).withColumnRenamed("conv", conv_col)
 

@@ -36,6 +36,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# rows per Arrow batch: texts are long, and a batch is held several times on its way to Python and back
+ARROW_ROWS = 2000
+
+
+def short_batches(df: DataFrame) -> DataFrame:
+    """Lower the session's Arrow batches to ARROW_ROWS rows, for the operators that hand texts to Python."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= ARROW_ROWS:
+        conf.set(key, str(ARROW_ROWS))
+    return df
+
+
 def few_rows(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut down, so that what a task makes of one at a time stays small."""
     for b in batches:

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import few_rows
+from .common import few_rows, short_batches
 
 # the word pattern in UTF-8: a character above 0x7F has only bytes above 0x7F
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -232,7 +232,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 names=["id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score",
                        "matches"])
 
-    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").cast("binary").alias("text")).mapInArrow(
+    texts = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").cast("binary").alias("text"))
+    return short_batches(texts).mapInArrow(
         scan, f"id {id_type}, n_words long, n_base long, first_word long, last_word long, base_labels string, "
               "labels string, score double, matches array<struct<label:string,start:int,end:int>>"
     ).withColumnRenamed("id", id_col)

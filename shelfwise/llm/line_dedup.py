@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import few_rows, written
+from .common import few_rows, short_batches, written
 
 # Fixed value: the white space stripped from both ends of a line.
 STRIP = b" \t\n\x0b\x0c\r"
@@ -150,7 +150,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lines = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     n_lines = lines.agg(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
                               + 1)).first()[0] or 0
-    lines = lines.withColumn("text", F.col("text").cast("binary"))
+    lines = short_batches(lines.withColumn("text", F.col("text").cast("binary")))
     bits = 1 << 13
     while bits < n_lines * BITS_PER_LINE and bits < max_filter_bits:
         bits *= 2
@@ -214,7 +214,7 @@ def without_lines(docs: DataFrame, drops: DataFrame, id_col: str = "doc_id", tex
 
     schema = ", ".join([*(f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in others),
                         f"`{text_col}` string", "n_lines long", "n_dropped long"])
-    return joined.mapInArrow(keep, schema)
+    return short_batches(joined).mapInArrow(keep, schema)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import few_rows, written
+from .common import few_rows, short_batches, written
 from .components import relabel
 
 # buckets of the token sketch: 4 MB as it is broadcast, one byte each
@@ -52,7 +52,7 @@ SEGMENTS = 64
 # prefix tokens beyond those that a link may lack
 EXTRA = 3
 # rounds of grouping before blocks are opened
-ROUNDS = 3
+ROUNDS = 2
 # nodes of a group in a block, and visitors of a block in one slice
 BLOCK = 128
 SLICE = 512
@@ -123,21 +123,9 @@ def token_ranks(texts: DataFrame, words: int, buckets: int = BUCKETS) -> np.ndar
     width = buckets // SEGMENTS
 
     def partial(batches):
-        counts, held, n = np.zeros(buckets, np.int64), [], 0
-
-        def flush():
-            np.add(counts, np.bincount(np.concatenate(held), minlength=buckets), out=counts)
-
+        counts = np.zeros(buckets, np.int32)
         for (text,) in _rows(batches):
-            t = shingles(text, words)
-            if len(t):
-                held.append((t & np.uint64(buckets - 1)).astype(np.int64))
-                n += len(t)
-            if n >= buckets:
-                flush()
-                held, n = [], 0
-        if held:
-            flush()
+            np.add.at(counts, shingles(text, words) & np.uint64(buckets - 1), np.int32(1))
         parts = counts.reshape(SEGMENTS, width)
         used = np.flatnonzero(parts.any(axis=1))
         yield pa.RecordBatch.from_arrays(
@@ -264,8 +252,8 @@ def _links(visits: DataFrame, blocks: DataFrame, texts: DataFrame, words: int, p
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, words: int = 5,
                      percent: int = 80) -> DataFrame:
     """(id, n_shingles, component_id): one row per document row; component_id is the smallest id reachable."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"),
-                       F.col(text_col).cast("string").cast("binary").alias("text"))
+    rows = short_batches(docs.select(F.col(id_col).cast("long").alias("id"),
+                                     F.col(text_col).cast("string").cast("binary").alias("text")))
     ranks = token_ranks(rows.select("text"), words)
     prefixes = written(_prefixes(rows, ranks, words, percent), "prefixes")
     nodes = written(prefixes.filter("n > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("node")),

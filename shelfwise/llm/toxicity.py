@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import few_rows
+from .common import few_rows, short_batches
 
 SAMPLE = 3000
 MAX_FEATURES = 4096
@@ -107,8 +107,11 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
              .groupBy("id").agg(F.max("y").alias("y")))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     there = marks.join(texts.select("id").distinct(), "id", "left_semi")
-    order = [F.xxhash64("id"), "id"]
-    chosen = [there.filter(F.col("y") == y).orderBy(*order).limit(sample) for y in (0, 1)]
+    # a hash below the share that is wanted (and half as much again) leaves few to sort
+    n = {r.y: r.n for r in there.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 20))
+    chosen = [there.filter((F.col("y") == y) & (place <= (1 << 20) * 1.5 * sample / max(n.get(y, 1), 1)))
+              .orderBy(place, "id").limit(sample) for y in (0, 1)]
     # at most 2 * sample rows of two numbers
     return texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "id").dropDuplicates(["id"]).select("y", "text")
 
@@ -223,4 +226,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields),
                         "score double, predicted int, offending array<struct<sentence:int,score:double>>"])
-    return kept.mapInArrow(scored, schema)
+    return short_batches(kept).mapInArrow(scored, schema)

@@ -8,7 +8,8 @@ rule fits are judged by a multinomial naive Bayes model:
   and digits, numbers become ``<num>``, and the remaining names, often several
   words run together, are segmented by a unigram Viterbi: the split with the
   highest product of word frequencies.  Frequencies come from the text of all
-  pages (tags removed); the ``MAX_WORDS`` most frequent make up the lexicon.
+  pages (tags removed); the most frequent, ``MAX_WORDS`` at most, make up the
+  lexicon.
   A piece that is not in it has a probability that falls with its length.
 * Training.  Every url that a rule decides counts as an example of its
   verdict, and every word of ``seeds`` as ``SEED_WEIGHT`` blocked examples, so
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, written
+from .common import lower_ascii, short_batches, written
 
 MAX_WORDS = 50_000
 MAX_WORD_LENGTH = 24
@@ -83,11 +84,23 @@ def with_rules(pages: DataFrame, rules: Sequence[tuple[str, str, str]], id_col:
 
 
 def lexicon(pages: DataFrame, html_col: str, max_words: int = MAX_WORDS) -> dict[str, int]:
-    """Counts of the most frequent words in the text of all pages."""
+    """Counts of the most frequent words in the text of all pages.
+
+    Words are taken by classes of counts (8 to a doubling), the most frequent
+    classes that hold at most ``max_words`` words together: the classes' sizes
+    are all that is gathered to find the cut, then the words above it.
+    """
     text = lower_ascii(F.regexp_replace(F.coalesce(F.col(html_col).cast("string"), F.lit("")), "<[^>]*>", " "))
     words = F.regexp_extract_all(text, F.lit(f"[a-z\\x{{80}}-\\x{{10ffff}}]{{1,{MAX_WORD_LENGTH}}}"), F.lit(0))
-    counts = pages.select(F.explode(words).alias("word")).groupBy("word").count()
-    return {r.word: r["count"] for r in counts.orderBy(F.desc("count"), "word").limit(max_words).collect()}
+    counts = written(pages.select(F.explode(words).alias("word")).groupBy("word").count()
+                     .withColumn("class", F.floor(F.log2("count") * 8).cast("int")), "words")
+    cut, total = 10**6, 0
+    for r in sorted(counts.groupBy("class").agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):
+        total += r.words
+        if total > max_words:
+            break
+        cut = r["class"]
+    return {r.word: r["count"] for r in counts.filter(F.col("class") >= cut).select("word", "count").collect()}
 
 
 class Segmenter:
@@ -175,7 +188,7 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(words, pa.list_(pa.string()))],
                                              names=[*b.schema.names, "words"])
 
-    urls = written(ruled.mapInArrow(
+    urls = written(short_batches(ruled).mapInArrow(
         segmented, f"id {id_type}, host string, path string, rule string, rule_verdict string, words array<string>"),
         "segmented-urls")
     examples = urls.filter("rule_verdict is not null")
