@@ -1,4 +1,4 @@
-"""Dense snapshots: the rewritten build vs the direct translation as snapshots per store-day grow.
+"""Dense snapshots: the build vs the fanned-out one as snapshots per store-day grow.
 
 usage: python scripts/density_check.py [sf_dir] [repeats]
 
@@ -22,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from bench_baseline import naive_city_insights  # noqa: E402
+from scripts.fanned_out_build import fanned_out_insights  # noqa: E402
 from shelfwise.plans.city_insights import build_city_insights  # noqa: E402
 from shelfwise.session import build_session, checkpoint_dir  # noqa: E402
 from shelfwise.sources import feeds  # noqa: E402
@@ -61,9 +61,9 @@ def main():
                 times.append(time.perf_counter() - t0)
         out[f"{label}_sec"] = round(statistics.median(times), 2)
 
-    timed("rewritten", lambda: build_city_insights(snap, city, cats, checkpoint_daily=True))
-    timed("direct_translation", lambda: naive_city_insights(snap, city, cats))
-    a, b = spark.read.parquet(f"{d}/rewritten"), spark.read.parquet(f"{d}/direct_translation")
+    timed("rewritten", lambda: build_city_insights(snap, city, cats))
+    timed("fanned_out", lambda: fanned_out_insights(snap, city, cats))
+    a, b = spark.read.parquet(f"{d}/rewritten"), spark.read.parquet(f"{d}/fanned_out")
     a, b = a.select(sorted(a.columns)), b.select(sorted(b.columns))
     out["rows"] = a.count()
     out["identical"] = a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -2,8 +2,8 @@
 
 usage: python scripts/show_plans.py [sf_dir]   (default /root/testdata/sf0.01)
 Plans are the initial physical plans (before AQE's runtime changes) of the
-lazy queries; the insights build is shown with ``checkpoint_daily=False`` so
-the whole build is one plan.
+lazy queries; the insights build is shown as the two plans that run: snapshots
+to the written daily grain, and daily grain to the insights table.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from shelfwise.operators import analyses, attendance, movement  # noqa: E402
-from shelfwise.plans.city_insights import build_city_insights  # noqa: E402
+from shelfwise.operators import analyses, attendance, insights, movement  # noqa: E402
+from shelfwise.plans.city_insights import build_daily, insights_of  # noqa: E402
 from shelfwise.session import build_session, checkpoint_dir  # noqa: E402
 from shelfwise.sources import feeds  # noqa: E402
 
@@ -61,26 +61,27 @@ def main() -> None:
     snap, city, cats = (feeds.snapshot_feed(spark, sf), feeds.store_city_feed(spark, sf),
                         feeds.category_feed(spark, sf))
     log = feeds.attendance_feed(spark, sf)
-    ins = build_city_insights(snap, city, cats, checkpoint_daily=False)
+    moves, seg_cols = movement.split_movement(snap, city)
+    grain = insights.daily_grain(movement.direct_sales(moves), seg_cols)
+    ins = insights_of(build_daily(snap, city), cats)
     lines = ["# Physical plans of the headline queries", "",
              f"Generated by `scripts/show_plans.py` on `{os.path.basename(sf)}`, local[8], "
              "8 shuffle partitions, no hot keys. These are the initial plans; at run time AQE may turn a "
              "sort-merge join into a broadcast from measured sizes and coalesces partitions. "
              "Small scans of `customer`/`nation` feed the size-checked store-map broadcast.", "",
-             "Reading guide for `city_insights`: the exchange on `(store_id, sku_id)` is the only one "
-             "that carries unaggregated snapshot rows (the LEAD window; the daily-grain aggregation and "
-             "the two daily-grain windows reuse its partitioning). Every other exchange sits above a "
-             "partial aggregate (price-pair counts, arg-max modes, store totals) or moves aggregated "
-             "rows: store-level rows once on `(event_date, sku_id, city_name)`, which serves both the "
-             "city roll-up and its join to the modes, and city-level rows to the store-total join. The price-mode and store-total branches are "
-             "pruned by Catalyst back to the snapshot columns they need. With 1M+ snapshots they read "
-             "the written daily grain instead (`checkpoint_daily`).", ""]
+             "Reading guide: the snapshots are shuffled once, on `(store_id, sku_id)` for LEAD; the daily grain's "
+             "aggregation, means, fan-out sizes and stock flags reuse that partitioning, and the grain is written. "
+             "The insights plan reads the grain only: no exchange on `(store_id, sku_id)`, one of the grain on "
+             "`(event_date, sku_id, city_name)` for the whole roll-up, the others above partial aggregates "
+             "(price-pair counts, arg-max modes, store totals).", ""]
     lines += audit("inventory_movement (LEAD per store and SKU)", movement.inventory_movement(snap, city))
     lines += audit("inventory_movement with hot keys split (threshold forced down to 10 rows, so "
                    "every key above it is cut by day and packed; the other exchanges are the small "
                    "cached hot-key tables)",
                    movement.inventory_movement(snap, city, max_rows_per_segment=10))
-    lines += audit("city_insights (whole build as one lazy plan)", ins)
+    lines += audit("estimated_qty", movement.estimated_sales(snap, city))
+    lines += audit("daily grain (snapshots to the written table)", grain)
+    lines += audit("city_insights (from the written daily grain)", ins)
     lines += audit("top_skus (report on the built table)", analyses.top_skus(ins))
     lines += audit("hours_worked", attendance.hours_worked(log))
     lines += audit("hours_in_window", attendance.hours_in_window(log, "2024-01-08 09:00:00",

@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, list_names
 from ..sources.csv_io import as_text, reader_options, typed
 from ..sources.schemas import SNAPSHOT_SCHEMA
 
@@ -33,17 +33,23 @@ def start_snapshot_ingest(spark: SparkSession, source_dir: str, table_path: str,
                           max_files_per_trigger: int | None = None, multiline: bool = False) -> StreamingQuery:
     """Start the ingest; ``available_now`` processes what is there and stops.
 
+    A table takes one source: its sink numbers the batches it has, and would
+    take another stream's first ones for repeats, so that is an error.
+
     The stream checkpoint goes under the cluster's shared folder, and stays
     there for the next run.  Output is partitioned by snapshot date so the
     build can prune by day.
     """
+    folder = stream_folder(spark, name, source_dir, table_path)
+    if not list_names(spark, folder) and "_spark_metadata" in list_names(spark, table_path):
+        raise ValueError(f"{table_path} already takes another stream; ingest {source_dir} into its own table")
     reader = spark.readStream.schema(as_text(SNAPSHOT_SCHEMA)).options(**reader_options(multiline))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = (typed(reader.csv(source_dir), SNAPSHOT_SCHEMA)
               .withColumn("snapshot_date", F.to_date("created_at")))
     writer = (stream.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", stream_folder(spark, name, source_dir, table_path))
+              .option("checkpointLocation", folder)
               .partitionBy("snapshot_date")
               .queryName(name))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -77,11 +77,11 @@ def frames(spark):
     return snap, city, cat
 
 
-def duck_build(select_sql: str) -> pd.DataFrame:
-    """Run ``WITH <reference-form build> <select_sql>`` on the hand-made tables."""
+def duck_build(select_sql: str, rows=None) -> pd.DataFrame:
+    """Run the oracle's build and ``select_sql`` on the hand-made tables (or other snapshot rows)."""
     con = duckdb.connect()
     names = [f.name for f in SNAPSHOT_SCHEMA.fields]
-    snap = pd.DataFrame([tuple(r) for r in snapshot_rows()], columns=names)
+    snap = pd.DataFrame([tuple(r) for r in rows or snapshot_rows()], columns=names)
     snap["created_at"] = snap["created_at"].map(lambda t: t.replace(tzinfo=None))
     snap["inventory"] = snap["inventory"].astype("Int32")
     con.register("snap_pd", snap)

@@ -25,7 +25,8 @@ def test_insights_flow(spark, scratch):
     assert sorted(exported.columns) == sorted(schemas.INSIGHTS_COLUMNS)
     for name in cli.REPORTS:
         assert spark.read.option("header", True).csv(os.path.join(paths["rep"], name)).count() > 0
-    cli.main(argv, spark=spark)   # second run: the table is kept, not rebuilt
+    os.rename(paths["snap"], paths["snap"] + "_gone")
+    cli.main(argv, spark=spark)   # second run: the table is kept, its inputs are not even read
     assert spark.read.parquet(os.path.join(paths["out"], "city_insights")).count() == ins.count()
 
 
@@ -53,6 +54,23 @@ def test_check_and_ingest(spark, scratch):
            for r in spark.read.option("header", True).csv(paths["report"]).collect()}
     assert rep[("inventory_snapshots", "unique:created_at,sku_id,store_id")] == 2
     assert rep[("store_city", "unique:store_id")] == 0
-    cli.main(["ingest", "--source", paths["snap"], "--table", paths["table"],
-              "--name", "cli_" + os.path.basename(scratch).replace("-", "_")], spark=spark)
+    cli.main(["ingest", "--source", paths["snap"], "--table", paths["table"], "--multiline"], spark=spark)
     assert spark.read.parquet(paths["table"]).count() == snap.count() + 1
+
+
+def test_time_zone_decides_the_day(spark, scratch):
+    snap, city, cat = frames(spark)
+    paths = {n: os.path.join(scratch, n) for n in ("snap", "city", "cat")}
+    for df, n in ((snap, "snap"), (city, "city"), (cat, "cat")):
+        csv_io.write_csv(df, paths[n])
+    days = {}
+    for zone in ("UTC", "Pacific/Kiritimati"):
+        out = os.path.join(scratch, zone.replace("/", "_"))
+        try:
+            cli.main(["insights", "--snapshots", paths["snap"], "--categories", paths["cat"], "--store-city",
+                      paths["city"], "--out", out, "--time-zone", zone], spark=spark)
+            rows = spark.read.parquet(os.path.join(out, "city_insights")).collect()
+            days[zone] = sorted((str(r.date), r.sku_id, str(r.city_name), int(r.est_qty_sold)) for r in rows)
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert days["Pacific/Kiritimati"] != days["UTC"]

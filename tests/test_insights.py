@@ -34,8 +34,8 @@ def spark_query(name, snap, city, cat, **kw):
         if name == "avg_historical_sales":
             return movement.avg_historical_sales(sales)
         if name == "estimated_qty":
-            return movement.estimated_qty(sales).select("store_id", "sku_id", "event_time",
-                                                        "est_qty_sold_per_record")
+            return movement.estimated_sales(snap, city, **kw).select("store_id", "sku_id", "event_time",
+                                                                     "est_qty_sold_per_record")
         return pricing.price_modes(sales)
     if name == "stock_status":
         return movement.stock_status(snap, city)
@@ -61,7 +61,7 @@ def test_handmade_matches_reference_form(spark, name):
     assert as_rows(got, cols) == as_rows(want, cols)
 
 
-@pytest.mark.parametrize("name", ["inventory_movement", "city_level_agg", "city_insights"])
+@pytest.mark.parametrize("name", ["inventory_movement", "estimated_qty", "city_level_agg", "city_insights"])
 def test_hot_groups_split_give_same_result(spark, name):
     """Cutting every (store, sku, day) above 2 rows into time slices changes nothing."""
     snap, city, cat = frames(spark)
@@ -134,13 +134,43 @@ def test_null_price_ranks_highest(spark):
     assert r.mrp_mode is None and r.sp_mode == 5
 
 
-@pytest.mark.parametrize("checkpoint_daily", [True, False])
-def test_daily_grain_written_or_lazy_give_same_result(spark, checkpoint_daily):
+def test_movement_columns_do_not_depend_on_splitting(spark):
+    snap, city, _ = frames(spark)
+    plain = movement.inventory_movement(snap, city)
+    split = movement.inventory_movement(snap, city, max_rows_per_segment=2)
+    assert plain.columns == split.columns == movement.MOVEMENT_COLUMNS
+    assert plain.schema == split.schema
+
+
+@pytest.mark.parametrize("split", [None, 2])
+def test_large_drop_and_large_means(spark, split):
+    """Stock of a 32-bit integer's size: exact, no overflow, as in DuckDB."""
     snap, city, cat = frames(spark)
-    got = comparable(build_city_insights(snap, city, cat, checkpoint_daily=checkpoint_daily)).toPandas()
-    want = duck_build(SELECTS["city_insights"])
-    cols = sorted(want.columns)
-    assert as_rows(got, cols) == as_rows(want, cols)
+    top = 2_000_000_003
+    big = snap.withColumn("inventory", F.when(F.col("store_id") == 1, F.lit(top) - F.col("inventory") * 5_000_000)
+                          .otherwise(F.col("inventory") * 7_654_321).cast("int"))
+    rows = [tuple(r) for r in big.collect()]
+    for name in ("estimated_qty", "city_level_agg", "city_insights"):
+        got = comparable(spark_query(name, big, city, cat, max_rows_per_segment=split)).toPandas()
+        want = duck_build(SELECTS[name], rows)
+        cols = sorted(want.columns)
+        assert as_rows(got, cols) == as_rows(want, cols), name
+
+
+def test_units_contribution_is_exact(spark):
+    from decimal import Decimal, localcontext
+
+    from shelfwise.functions.numeric import mean16, units_contribution
+    cases = [(7, 10**15, 3, 15_000, 10_001), (10**5, 3, 10**6, 2**31 - 1, 1), (1, 0, 5, 0, 0), (3, 2, 0, 7, 6),
+             (999_999, 10**9 + 7, 123_457, 2**31 - 2, 3)]
+    df = spark.createDataFrame(cases, "n long, d long, r long, s long, c long")
+    got = df.select("n", "d", "r", "s", "c", units_contribution(
+        F.col("n"), F.col("d"), F.col("r"), mean16(F.col("s"), F.col("c"))).alias("u")).collect()
+    with localcontext() as ctx:
+        ctx.prec = 60
+        for r in got:
+            mean = ((Decimal(r.s) / r.c).quantize(Decimal(1).scaleb(-16), rounding="ROUND_HALF_UP") if r.c else 0)
+            assert r.u == r.n * (r.d + r.r * mean)
 
 
 def test_dimensions_too_big_to_broadcast_give_same_result(spark):

@@ -1,4 +1,4 @@
-"""Seeded random snapshot tables: the Spark build against the reference-form SQL."""
+"""Seeded random snapshot tables: the Spark build against the oracle SQL."""
 
 import datetime as dt
 import random
@@ -58,7 +58,7 @@ def duck(rows, stores, cats, select):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_random_tables_match_reference_form(spark, seed):
+def test_random_tables_match_oracle(spark, seed):
     rows, stores, cats = random_tables(seed)
     snap = spark.createDataFrame(rows, SNAPSHOT_SCHEMA)
     city = spark.createDataFrame(stores, STORE_CITY_SCHEMA)
@@ -86,7 +86,7 @@ def random_swipes(seed):
 
 
 @pytest.mark.parametrize("seed", [11, 12])
-def test_random_swipes_match_reference_form(spark, seed):
+def test_random_swipes_match_oracle(spark, seed):
     from shelfwise.operators import attendance
     from shelfwise.plans.oracle import ATTENDANCE, attendance_selects
     from shelfwise.sources.schemas import ATTENDANCE_SCHEMA
@@ -107,13 +107,13 @@ def test_random_swipes_match_reference_form(spark, seed):
 
 
 @pytest.mark.parametrize("seed", [4])
-def test_direct_translation_baseline_agrees(spark, seed):
-    from bench_baseline import naive_city_insights
+def test_fanned_out_build_agrees(spark, seed):
+    from scripts.fanned_out_build import fanned_out_insights
     rows, stores, cats = random_tables(seed)
     snap = spark.createDataFrame(rows, SNAPSHOT_SCHEMA)
     city = spark.createDataFrame(stores, STORE_CITY_SCHEMA)
     cat = spark.createDataFrame(cats, CATEGORY_SCHEMA)
-    a = comparable(naive_city_insights(snap, city, cat)).toPandas()
+    a = comparable(fanned_out_insights(snap, city, cat)).toPandas()
     b = comparable(build_city_insights(snap, city, cat)).toPandas()
     cols = sorted(b.columns)
     assert as_rows(a, cols) == as_rows(b, cols)

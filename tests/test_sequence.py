@@ -5,8 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.ordering import pg_asc
-from shelfwise.operators.sequence import (SEG_DAY, SEGMENT, UNSPLIT_DAY, add_segments,
-                                          lead_in_sequence, number_in_sequence)
+from shelfwise.operators.sequence import SEGMENT, add_segments, lead_in_sequence, number_in_sequence
 
 
 def skewed(spark):
@@ -22,16 +21,16 @@ def skewed(spark):
     return df.withColumn("day", F.to_date("ts"))
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
 @pytest.mark.parametrize("max_rows", [None, 300])
-def test_lead_matches_plain_window(spark, max_rows):
+def test_lead_matches_plain_window(spark, max_rows, broadcast_rows):
     df = skewed(spark)
-    seg, cols = add_segments(df, ["k"], "ts", "day", max_rows)
+    seg, cols = add_segments(df, ["k"], "ts", max_rows, broadcast_rows)
     if max_rows:
-        assert cols == [SEG_DAY, SEGMENT]
-        # only the hot key 0 is split: by day, and its hot days into slices
-        split = seg.filter(F.col(SEG_DAY) != F.lit(UNSPLIT_DAY).cast("date"))
-        assert {r.k for r in split.select("k").distinct().collect()} == {0}
-        assert split.select(SEG_DAY, SEGMENT).distinct().count() == 9   # 3 days x 3 slices
+        assert cols == [SEGMENT]
+        # only the hot key 0 is split
+        assert {r.k for r in seg.filter(F.col(SEGMENT) != 0).select("k").distinct().collect()} == {0}
+        assert seg.filter("k = 0").select(SEGMENT).distinct().count() >= 7
     else:
         assert cols == []
     got = lead_in_sequence(seg, ["k"], "ts", ["v"], cols).select("k", "ts", "next_ts", "next_v")
@@ -42,22 +41,36 @@ def test_lead_matches_plain_window(spark, max_rows):
 
 @pytest.mark.parametrize("max_rows", [None, 300])
 def test_row_number_matches_plain_window(spark, max_rows):
-    df = skewed(spark).withColumn("ts", F.when(F.col("v") == 5, None).otherwise(F.col("ts")))
-    df = df.withColumn("day", F.coalesce(F.to_date("ts"), F.lit("9999-12-31").cast("date")))
-    seg, cols = add_segments(df, ["k"], "ts", "day", max_rows)
+    df = skewed(spark)
+    seg, cols = add_segments(df, ["k"], "ts", max_rows)
     got = number_in_sequence(seg, ["k"], "ts", cols).select("k", "ts", "rn")
-    want = df.select("k", "ts", F.row_number().over(
-        Window.partitionBy("k").orderBy(pg_asc("ts"))).alias("rn"))
-    # NULL times tie with each other: compare (k, ts) -> set of numbers
-    def grouped(rows):
-        out = {}
-        for r in rows:
-            out.setdefault((r.k, r.ts), set()).add(r.rn)
-        return out
-    assert grouped(got.collect()) == grouped(want.collect())
+    want = df.select("k", "ts", F.row_number().over(Window.partitionBy("k").orderBy(pg_asc("ts"))).alias("rn"))
+    assert sorted(got.collect()) == sorted(want.collect())
+
 
+@pytest.mark.parametrize("zone", ["America/New_York", "UTC", "Australia/Lord_Howe"])
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+@pytest.mark.parametrize("day", ["2024-03-10", "2024-11-03", "2024-04-07", "2024-10-06"])
+def test_split_numbers_across_daylight_saving(spark, zone, kind, day):
+    """The order of segments is the order of rows, also where local times jump."""
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.range(900).select(
+            F.lit(1).alias("k"),
+            (F.lit(f"{day} 00:00:00").cast(kind) + F.make_dt_interval(
+                F.lit(0), F.lit(0), F.lit(0), (F.col("id") * 7919 % 30_000 + F.col("id") / 1000)
+                .cast("decimal(18,6)"))).alias("ts"))
+        seg, cols = add_segments(df, ["k"], "ts", 50)
+        assert cols
+        got = number_in_sequence(seg, ["k"], "ts", cols).select("ts", "rn").collect()
+        assert [r.rn for r in sorted(got, key=lambda r: r.rn)] == list(range(1, 901))
+        want = df.select("ts", F.row_number().over(Window.partitionBy("k").orderBy("ts")).alias("rn")).collect()
+        assert sorted(map(tuple, got), key=lambda r: r[1]) == sorted(map(tuple, want), key=lambda r: r[1])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
-def test_bursty_hot_day_is_packed_evenly(spark):
+
+def test_bursty_hot_key_is_packed_evenly(spark):
     """90% of a key's rows inside one minute: segments stay near the threshold."""
     n, limit = 4000, 400
     df = spark.range(n).select(
@@ -67,9 +80,8 @@ def test_bursty_hot_day_is_packed_evenly(spark):
             F.when(F.col("id") % 10 < 9, (F.col("id") * 7919 % 60_000_000))
              .otherwise(F.col("id") * 7919 % 86_000_000_000).cast("decimal(18,0)") / 1_000_000)).alias("ts"),
         F.lit(1).alias("v"))
-    df = df.withColumn("day", F.to_date("ts"))
-    seg, cols = add_segments(df, ["k"], "ts", "day", limit)
-    assert cols == [SEG_DAY, SEGMENT]
+    seg, cols = add_segments(df, ["k"], "ts", limit)
+    assert cols == [SEGMENT]
     sizes = [r["count"] for r in seg.groupBy(SEGMENT).count().collect()]
     per_second = df.groupBy(F.date_trunc("second", "ts")).count().agg(F.max("count")).first()[0]
     assert len(sizes) >= n // limit - 1
@@ -79,19 +91,8 @@ def test_bursty_hot_day_is_packed_evenly(spark):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
-def test_hot_key_without_hot_days_splits_by_day_only(spark):
-    df = spark.range(300).select(
-        (F.col("id") % 2).alias("k"),
-        (F.lit("2024-01-01 08:00:00").cast("timestamp")
-         + F.make_dt_interval(F.col("id") % 100, F.col("id") % 7)).alias("ts"),
-        (F.col("id") * 13 % 17).cast("int").alias("v"))
-    df = df.withColumn("day", F.to_date("ts"))          # 150 rows per key, <= 3 per key-day
-    seg, cols = add_segments(df, ["k"], "ts", "day", 20)
-    assert cols == [SEG_DAY] and SEGMENT not in seg.columns
-    got = lead_in_sequence(seg, ["k"], "ts", ["v"], cols).select("k", "ts", "next_ts", "next_v")
-    w = Window.partitionBy("k").orderBy("ts")
-    want = df.select("k", "ts", F.lead("ts").over(w).alias("next_ts"), F.lead("v").over(w).alias("next_v"))
-    assert sorted(got.collect()) == sorted(want.collect())
-    rn = number_in_sequence(seg, ["k"], "ts", cols).select("k", "ts", "rn")
-    want_rn = df.select("k", "ts", F.row_number().over(w).alias("rn"))
-    assert sorted(rn.collect()) == sorted(want_rn.collect())
+def test_no_hot_key_is_left_alone(spark):
+    df = skewed(spark)
+    for kw in ({"max_rows": 100_000}, {"max_rows": None}, {"max_rows": 10, "row_bound": 10}):
+        seg, cols = add_segments(df, ["k"], "ts", **kw)
+        assert seg is df and cols == []
