@@ -11,10 +11,11 @@ Documents whose sets of word n-grams (shingles) have a Jaccard similarity of
    shuffled for the candidate search; tokens that are in one prefix only go
    next, and the number that is left bounds what a prefix shares with any other.
 3. Documents with equal sets are one node.  Similar nodes are put into groups:
-   in a few rounds each visits one leader, a holder of enough of its tokens,
-   and linked nodes form a group.  A large family of near copies becomes one
+   in a few rounds each visits one leader, a holder of enough of its tokens
+   (first those with the fewest tokens of their own, the middle of a family of
+   near copies), and linked nodes form a group.  A large family becomes one
    group this way by comparisons that grow as its size.
-4. Groups are cut into blocks of about ``BLOCK`` nodes, and the token-group
+4. Groups are cut into blocks of about ``BLOCK`` nodes of like size, and the token-group
    matrix has a row (token, block) for the union of a block's prefix tokens.
    A node's overlap with a block of another group is bounded by the number of
    its prefix tokens in that union; only where that reaches what a link needs
@@ -271,7 +272,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     texts = written(rows.join(_small(labels.select(F.col("node").alias("id"))), "id", "left_semi")
                     .select(F.col("id").alias("doc"), "text"), "texts")
     for turn in range(ROUNDS):
-        led = written(_led(index, sizes, labels, turn), "led")
+        led = written(_led(index, sizes, labels, turn, percent), "led")
         visits = written(_leader_visits(led, percent), "leader-visits")
         leaders = visits.select("block", "part", F.col("block").alias("member")).distinct()
         labels = relabel(labels, written(_links(visits, leaders, texts, words, percent), "links"))
@@ -329,13 +330,18 @@ def _grouped(index: DataFrame, sizes: DataFrame, labels: DataFrame) -> DataFrame
     return index.join(_small(known), ["doc", "n"])
 
 
-def _led(index: DataFrame, sizes: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """(token, doc, n, met, group, lead, lead_n, lead_met, lead_group) of the tokens that two groups
-    hold; lead is the holder with the smallest hash, another one in each turn."""
+def _led(index: DataFrame, sizes: DataFrame, labels: DataFrame, turn: int, percent: int) -> DataFrame:
+    """(token, doc, n, met, group, lead, lead_n, lead_met, lead_group) of the tokens that two groups hold.
+
+    The lead is one holder of the token: in the first turn the one with the
+    fewest prefix tokens of its own, then one by a hash.
+    """
     held = _grouped(index, sizes, labels)
+    own = F.expr(f"{_prefix('n', percent)} - met") if turn == 0 else F.lit(0)
     ends = written(held.groupBy("token").agg(
         F.min("group").alias("lo"), F.max("group").alias("hi"),
-        F.min(F.struct(F.xxhash64("doc", F.lit(turn)).alias("h"), "doc", "n", "met", "group")).alias("lead"))
+        F.min(F.struct(own.alias("own"), F.xxhash64("doc", F.lit(turn)).alias("h"), "doc", "n", "met", "group"))
+        .alias("lead"))
         .filter("lo < hi").select("token", "lead.doc", "lead.n", "lead.met", "lead.group")
         .toDF("token", "lead", "lead_n", "lead_met", "lead_group"), "leads")
     return held.join(_small(ends), "token").select("token", "doc", "n", "met", "group", "lead", "lead_n",
@@ -349,22 +355,24 @@ def _leader_visits(led: DataFrame, percent: int) -> DataFrame:
               .groupBy("doc", "n", "lead", "lead_n").agg(F.count(F.lit(1)).alias("shared"))
               .filter(f"shared >= {_need('n', 'lead_n', percent)}"))
     return (shared.groupBy(F.col("doc").alias("x")).agg(F.max_by("lead", F.struct("shared", "lead")).alias("block"))
-            .select("block", F.lit(0).alias("part"), "x"))
+            .select("block", F.lit(0).cast("long").alias("part"), "x"))
 
 
 def _open(index: DataFrame, sizes: DataFrame, labels: DataFrame) -> DataFrame:
     """(token, doc, n, met, block, part, nodes) of the tokens that two groups hold: block is the group, cut
-    into parts of about BLOCK nodes; nodes is their number in the group."""
+    into parts of about BLOCK nodes whose sizes differ by 3 % at most; nodes is their number in the group."""
     held = _grouped(index, sizes, labels)
     open_ = held.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")) \
         .filter("lo < hi").select("token")
-    held = written(held.join(_small(written(open_, "open-tokens")), "token"), "open")
-    counts = written(held.select("group", "doc").distinct().groupBy("group").agg(F.count(F.lit(1)).alias("nodes")),
-                     "group-sizes")
-    parts = F.ceil(F.col("nodes") / BLOCK)
-    return held.join(_small(counts), "group").select(
+    held = written(held.join(_small(written(open_, "open-tokens")), "token")
+                   .withColumn("class", F.floor(F.log("n") / 0.03)), "open")
+    counts = written(held.select("group", "class", "doc").distinct().groupBy("group", "class")
+                     .agg(F.count(F.lit(1)).alias("like")), "group-sizes")
+    counts = counts.join(counts.groupBy("group").agg(F.sum("like").alias("nodes")), "group")
+    parts = F.ceil(F.col("like") / BLOCK)
+    return held.join(_small(written(counts, "group-classes")), ["group", "class"]).select(
         "token", "doc", "n", "met", F.col("group").alias("block"),
-        F.pmod(F.xxhash64("doc"), parts).cast("int").alias("part"), "nodes")
+        (F.col("class") * (1 << 32) + F.pmod(F.xxhash64("doc"), parts)).alias("part"), "nodes")
 
 
 def _block_visits(held: DataFrame, percent: int) -> DataFrame:
