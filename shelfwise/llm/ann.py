@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import short_batches
+
 K = 20
 BLOCK = 4096
 EPSILON = 1.9
@@ -167,7 +169,7 @@ def nearest(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vector_co
                         yield pa.RecordBatch.from_arrays([pa.array(x) for x in out],
                                                          names=["query_id", "vec_id", "score"])
 
-    best = met.mapInArrow(search, "query_id long, vec_id long, score double")
+    best = short_batches(met).mapInArrow(search, "query_id long, vec_id long, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

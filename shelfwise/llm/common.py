@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import staging_dir
+from ..session import ship_package, staging_dir
 
 # Fixed value: the word pattern of the license, toxicity and benchmark operators.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -41,7 +41,9 @@ ARROW_ROWS = 2000
 
 
 def short_batches(df: DataFrame) -> DataFrame:
-    """Lower the session's Arrow batches to ARROW_ROWS rows, for the operators that hand texts to Python."""
+    """Get the session ready for operators that hand texts to Python: Arrow batches of at most ARROW_ROWS
+    rows, and this package on the workers."""
+    ship_package(df.sparkSession)
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(key)) <= ARROW_ROWS:
         conf.set(key, str(ARROW_ROWS))
