@@ -6,10 +6,15 @@ helpers exist for tests, the bench and command-line use.
 
 from __future__ import annotations
 
+import os
+import shutil
+import site
 import tempfile
 
 from pyspark.sql import SparkSession
 
+_SHIPPED: set[str] = set()      # applications that were sent this package
+
 # SQL settings the operators rely on; applied at run time where the launch
 # configuration leaves them unset.  ANSI mode makes decimal overflow an error
 # instead of a silent NULL; AQE coalesces small shuffle partitions and splits
@@ -48,6 +53,24 @@ def build_session(master: str | None = None, app: str = "shelfwise",
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per application.
+
+    Nothing to do where it is installed, on PYTHONPATH or in the working
+    folder; else (it was put on the driver's sys.path alone) Spark sends it.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), *site.getsitepackages(), os.getcwd()]
+    context = spark.sparkContext
+    if root in map(os.path.abspath, filter(None, known)) or context.applicationId in _SHIPPED or \
+            not os.path.isdir(root):
+        return
+    _SHIPPED.add(context.applicationId)
+    package = os.path.basename(os.path.dirname(os.path.abspath(__file__)))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="shelfwise-"), package), "zip", root, package)
+    context.addPyFile(archive)
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared folder named by the cluster (``spark.checkpoint.dir``), for tables between jobs.
 
