@@ -14,7 +14,7 @@ def relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
     ``labels`` (node, comp) has every linked node once, its comp being the
     smallest node of its component so far.  Each pass contracts the links to
     components, hooks every component to its smallest neighbour and follows
-    the hooks twice, so long chains shrink geometrically; nodes far from the
+    the hook of that one too, so long chains shrink geometrically; nodes far from the
     smallest one never pass through a single task.
     """
     while True:
@@ -26,8 +26,7 @@ def relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
         both = cross.unionByName(cross.select(F.col("y").alias("x"), F.col("x").alias("y")))
         hook = written(both.groupBy("x").agg(F.min("y").alias("y"))
                        .select("x", F.least("x", "y").alias("to")), "hooks")
-        for _ in range(2):
-            nxt = hook.select(F.col("x").alias("to"), F.col("to").alias("further"))
-            hook = hook.join(nxt, "to", "left").select("x", F.coalesce("further", "to").alias("to"))
+        nxt = hook.select(F.col("x").alias("to"), F.col("to").alias("further"))
+        hook = hook.join(nxt, "to", "left").select("x", F.coalesce("further", "to").alias("to"))
         labels = written(labels.join(hook.withColumnRenamed("x", "comp"), "comp", "left")
                          .select("node", F.coalesce("to", "comp").alias("comp")), "labels")

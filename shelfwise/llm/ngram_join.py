@@ -53,7 +53,7 @@ SEGMENTS = 64
 # prefix tokens beyond those that a link may lack
 EXTRA = 3
 # rounds of grouping before blocks are opened
-ROUNDS = 2
+ROUNDS = 1
 # nodes of a group in a block, and visitors of a block in one slice
 BLOCK = 128
 SLICE = 512
@@ -375,8 +375,9 @@ def _open(index: DataFrame, sizes: DataFrame, labels: DataFrame) -> DataFrame:
         (F.col("class") * (1 << 32) + F.pmod(F.xxhash64("doc"), parts)).alias("part"), "nodes")
 
 
-def _block_visits(held: DataFrame, percent: int) -> DataFrame:
-    """(block, part, x): nodes and the blocks of larger groups that their matrix bound lets qualify."""
+def _meetings(held: DataFrame, percent: int) -> DataFrame:
+    """A row per token that a node and a block of a larger group share, where sizes and numbers of met
+    tokens allow a link."""
     blocks = (held.groupBy(F.col("block").alias("other"), "part")
               .agg(F.max("nodes").alias("other_nodes"), F.min("n").alias("lo"), F.max("n").alias("hi"),
                    F.max("met").alias("other_met")))
@@ -385,9 +386,14 @@ def _block_visits(held: DataFrame, percent: int) -> DataFrame:
     largest = held.groupBy("token").agg(F.max(F.struct("nodes", "block")).alias("top"))
     queries = (held.select("token", "doc", "n", "met", "block", "nodes").join(largest, "token")
                .filter("block != top.block").drop("top"))
-    need = _need_between("n", "lo", "hi", percent)
-    return (queries.join(matrix, "token")
-            .filter(f"struct(nodes, block) < struct(other_nodes, other) and least(met, other_met) >= {need}")
+    return queries.join(matrix, "token").filter(
+        "struct(nodes, block) < struct(other_nodes, other) "
+        f"and least(met, other_met) >= {_need_between('n', 'lo', 'hi', percent)}")
+
+
+def _block_visits(held: DataFrame, percent: int) -> DataFrame:
+    """(block, part, x): nodes and the blocks of larger groups that their matrix bound lets qualify."""
+    return (_meetings(held, percent)
             .groupBy("doc", "n", "other", "part", "lo", "hi").agg(F.count(F.lit(1)).alias("overlap"))
-            .filter(f"overlap >= {need}")
+            .filter(f"overlap >= {_need_between('n', 'lo', 'hi', percent)}")
             .select(F.col("other").alias("block"), "part", F.col("doc").alias("x")).distinct())
