@@ -37,7 +37,7 @@ from .common import few_rows, short_batches
 
 SAMPLE = 3000
 MAX_FEATURES = 4096
-MIN_CHI2 = 30.0
+MIN_CHI2 = 15.0
 THRESHOLD = 0.7
 PREFIXES = (4, 5, 6)
 HEAD = min(PREFIXES)
@@ -137,7 +137,7 @@ def _telling(sample: DataFrame, max_features: int) -> list[bytes]:
     chi2 = (F.pow(a * n0 - c * n1, 2) * n / ((a + c) * (n - a - c + 1) * n0 * n1))
     rows = (sample.mapInArrow(features, "y int, feature binary").groupBy("feature")
             .agg(F.sum("y").cast("double").alias("a"), F.sum(1 - F.col("y")).cast("double").alias("c"))
-            .withColumn("chi2", chi2).filter((F.col("chi2") >= MIN_CHI2) & (a + c >= 5))
+            .withColumn("chi2", chi2).filter((F.col("chi2") >= MIN_CHI2) & (a + c >= 3))
             .orderBy(F.desc("chi2"), "feature").limit(max_features).collect())
     return [bytes(r.feature) for r in rows]
 
