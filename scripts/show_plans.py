@@ -76,8 +76,8 @@ def main() -> None:
              "(price-pair counts, arg-max modes, store totals).", ""]
     lines += audit("inventory_movement (LEAD per store and SKU)", movement.inventory_movement(snap, city))
     lines += audit("inventory_movement with hot keys split (threshold forced down to 10 rows, so "
-                   "every key above it is cut by day and packed; the other exchanges are the small "
-                   "cached hot-key tables)",
+                   "every key above it is split; the other exchanges are the small "
+                   "persisted segment table)",
                    movement.inventory_movement(snap, city, max_rows_per_segment=10))
     lines += audit("estimated_qty", movement.estimated_sales(snap, city))
     lines += audit("daily grain (snapshots to the written table)", grain)
