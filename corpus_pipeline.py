@@ -54,9 +54,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the token ids of the text, and digests of the ids and of the text decoded from them."""
-    vocabulary = public_tokenizers.path(VOCABULARY)
-    encoded = byte_bpe.encode_documents(docs, vocabulary, public_tokenizers.PATTERN)
-    return byte_bpe.round_trip_digests(encoded, vocabulary, keep_ids=True)
+    return byte_bpe.round_trip(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, keep_ids=True)
 
 
 STAGES = [

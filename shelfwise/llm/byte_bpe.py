@@ -11,9 +11,9 @@ a lower rank than the bucket's, only the leftmost entry of each pre-token is
 merged and the others go back.  The cost of a pre-token is near linear in its
 length, so one of megabytes is as cheap per byte as many short ones.
 
-Encoding.  Texts are split by the pattern, each distinct pre-token is encoded
-once per worker and the ids of all texts are gathered from that table in
-numpy.  A worker keeps at most ``MAX_PIECES`` pre-tokens and starts afresh
+Encoding.  Texts are split by the pattern, each distinct pre-token of a task
+is encoded once and the ids of all texts are gathered from that table in
+numpy.  A task keeps at most ``MAX_PIECES`` pre-tokens and starts afresh
 beyond that, so its memory is bounded; the ids do not depend on it.
 
 Cases: null and empty texts have no ids and decode to no bytes; special-token
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 
 from .common import few_rows, short_batches
 
-MAX_PIECES = 250_000
+MAX_PIECES = 200_000
 NONE = np.int32(2**31 - 1)      # rank of a pair that does not merge
 ENCODE_ROWS = 2000              # texts encoded together
 
@@ -233,14 +233,27 @@ class PieceTable(dict):
         return self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + lengths, lengths)]
 
 
-_TABLES: dict[tuple, PieceTable] = {}       # one per worker process and vocabulary
+class Encoder:
+    """Token ids of texts, with a bounded table of pre-tokens."""
 
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.split = regex.compile(pattern).findall
+        self.table = PieceTable(Merger(ranks))
 
-def _table(key: tuple, ranks: dict[bytes, int]) -> PieceTable:
-    t = _TABLES.get(key)
-    if t is None or len(t) > MAX_PIECES:
-        _TABLES[key] = t = PieceTable(t.merger if t else Merger(ranks))
-    return t
+    def __call__(self, texts: Sequence[str | None]) -> list[np.ndarray]:
+        if len(self.table) > MAX_PIECES:
+            self.table = PieceTable(self.table.merger)
+        numbers = []
+        for text in texts:
+            pieces = self.split(text) if text else []
+            numbers.append(np.fromiter(map(self.table.__getitem__, pieces), np.int32, len(pieces)))
+        self.table.settle()
+        return [self.table.gather(x) for x in numbers]
+
+
+def _lists(ids: list[np.ndarray]) -> pa.Array:
+    offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32()))
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id",
@@ -254,19 +267,10 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def encode(batches):
-        split = regex.compile(pattern).findall
+        encoder = Encoder(ranks.value, pattern)
         for b in few_rows(batches, ENCODE_ROWS):
-            table = _table((vocabulary, pattern), ranks.value)
-            numbers = []
-            for text in b.column(1).to_pylist():
-                pieces = split(text) if text else []
-                numbers.append(np.fromiter(map(table.__getitem__, pieces), np.int32, len(pieces)))
-            table.settle()
-            ids = [table.gather(x) for x in numbers]
-            offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32()))],
-                names=["id", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column(0), _lists(encoder(b.column(1).to_pylist()))],
+                                             names=["id", "ids"])
 
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
     return short_batches(texts).mapInArrow(
@@ -308,24 +312,25 @@ def decode_documents(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id"
         decode, f"id {id_type}, decoded binary").withColumnRenamed("id", id_col)
 
 
-def round_trip_digests(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids", *,
-                       keep_ids: bool = False) -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) of every row of ids, and the ids themselves if asked for."""
-    ranks = encoded.sparkSession.sparkContext.broadcast(load_ranks(vocabulary))
-    id_type = encoded.schema[id_col].dataType.simpleString()
+def round_trip(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", *,
+               keep_ids: bool = False) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) of every whole text, encoded and decoded again in one task,
+    and the ids themselves if asked for."""
+    ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(vocabulary))
+    id_type = docs.schema[id_col].dataType.simpleString()
     names = ["id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids]
 
     def digests(batches):
-        tokens = token_table(ranks.value)
-        for b in few_rows(batches):
+        encoder, tokens = Encoder(ranks.value, pattern), token_table(ranks.value)
+        for b in few_rows(batches, ENCODE_ROWS):
+            ids = encoder(b.column(1).to_pylist())
             rows = [(len(x), hashlib.sha256(x.astype("<u4").tobytes()).hexdigest(),
-                     hashlib.sha256(decode_ids(x, tokens)).hexdigest()) for x in _id_arrays(b.column(1))]
-            cols = list(zip(*rows)) or [()] * 3
+                     hashlib.sha256(decode_ids(x, tokens)).hexdigest()) for x in ids]
+            cols = list(zip(*rows))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()),
-                 pa.array(cols[2], pa.string()), *[b.column(1)] * keep_ids], names=names)
+                 pa.array(cols[2], pa.string()), *([_lists(ids)] if keep_ids else [])], names=names)
 
+    texts = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
     schema = f"id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
-    rows = encoded.selectExpr(f"`{id_col}` as id", f"coalesce(`{ids_col}`, array()) as ids")
-    return short_batches(rows).mapInArrow(
-        digests, schema).withColumnsRenamed({"id": id_col, "ids": ids_col})
+    return short_batches(texts).mapInArrow(digests, schema).withColumnRenamed("id", id_col)

@@ -37,7 +37,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 # rows per Arrow batch: texts are long, and a batch is held several times on its way to Python and back
-ARROW_ROWS = 2000
+ARROW_ROWS = 1000
 
 
 def short_batches(df: DataFrame) -> DataFrame:

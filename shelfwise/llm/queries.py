@@ -33,10 +33,8 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded to token ids and decoded again."""
-    vocabulary = public_tokenizers.path(VOCABULARY)
-    encoded = byte_bpe.encode_documents(read_table(spark, sf_dir, "documents"), vocabulary,
-                                        public_tokenizers.PATTERN)
-    return byte_bpe.round_trip_digests(encoded, vocabulary)
+    return byte_bpe.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY),
+                               public_tokenizers.PATTERN)
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

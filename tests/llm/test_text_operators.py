@@ -9,7 +9,6 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-import regex
 import tiktoken
 
 from shelfwise.llm import byte_bpe, chat_format, decontaminate, license_scan, line_dedup, ngram_join
@@ -147,8 +146,9 @@ def test_bpe_matches_library(spark, documents, empty, reference_encoding):
     encoded = byte_bpe.encode_documents(df, VOCABULARY, public_tokenizers.PATTERN)
     expected = Counter((i, tuple(enc.encode_ordinary(t or ""))) for i, t in rows)
     assert rows_of(encoded, "doc_id", "ids") == expected
-    digests = rows_of(byte_bpe.round_trip_digests(encoded, VOCABULARY), "doc_id", "n_tokens", "ids_sha256",
-                      "decoded_sha256")
+    trip = byte_bpe.round_trip(df, VOCABULARY, public_tokenizers.PATTERN, keep_ids=True)
+    assert rows_of(trip, "doc_id", "ids") == expected
+    digests = rows_of(trip, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
     assert digests == Counter(
         (i, len(x), hashlib.sha256(np.array(x, "<u4").tobytes()).hexdigest(),
          hashlib.sha256((t or "").encode()).hexdigest())
@@ -161,14 +161,9 @@ def test_bpe_matches_library(spark, documents, empty, reference_encoding):
 def test_bpe_table_restart_keeps_ids(reference_encoding, monkeypatch):
     ranks, enc = reference_encoding
     monkeypatch.setattr(byte_bpe, "MAX_PIECES", 10)
-    split = regex.compile(public_tokenizers.PATTERN).findall
-    byte_bpe._TABLES.clear()
+    encoder = byte_bpe.Encoder(ranks, public_tokenizers.PATTERN)
     for t in ["some words here", "other words there and many more of them, not the same", "some words here"]:
-        table = byte_bpe._table(("v", "p"), ranks)
-        n = np.array([table[p] for p in split(t)])
-        table.settle()
-        assert table.gather(n).tolist() == enc.encode_ordinary(t)
-    byte_bpe._TABLES.clear()
+        assert [x.tolist() for x in encoder([t, None, ""])] == [enc.encode_ordinary(t), [], []]
 
 
 def test_rank_queue_finds_the_lowest_rank():
