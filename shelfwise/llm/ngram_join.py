@@ -41,7 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import few_rows, short_batches, written
@@ -375,25 +375,36 @@ def _open(index: DataFrame, sizes: DataFrame, labels: DataFrame) -> DataFrame:
         (F.col("class") * (1 << 32) + F.pmod(F.xxhash64("doc"), parts)).alias("part"), "nodes")
 
 
-def _meetings(held: DataFrame, percent: int) -> DataFrame:
-    """A row per token that a node and a block of a larger group share, where sizes and numbers of met
-    tokens allow a link."""
-    blocks = (held.groupBy(F.col("block").alias("other"), "part")
-              .agg(F.max("nodes").alias("other_nodes"), F.min("n").alias("lo"), F.max("n").alias("hi"),
-                   F.max("met").alias("other_met")))
-    matrix = (held.select("token", F.col("block").alias("other"), "part").distinct()
-              .join(_small(written(blocks, "blocks")), ["other", "part"]))
-    largest = held.groupBy("token").agg(F.max(F.struct("nodes", "block")).alias("top"))
-    queries = (held.select("token", "doc", "n", "met", "block", "nodes").join(largest, "token")
-               .filter("block != top.block").drop("top"))
-    return queries.join(matrix, "token").filter(
-        "struct(nodes, block) < struct(other_nodes, other) "
-        f"and least(met, other_met) >= {_need_between('n', 'lo', 'hi', percent)}")
+def _candidates(held: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc, n, other, part): nodes and blocks of larger groups that may share as many tokens as a link
+    needs; and (other, part, lo, hi, tokens): each block's sizes and token union, its row of the matrix.
+
+    A node that shares ``need`` of its tokens with a block shares one of its first ``own - need + 1`` in any
+    order; those in the fewest blocks come first, and only they are looked up.
+    """
+    blocks = written(held.groupBy(F.col("block").alias("other"), "part").agg(
+        F.max("nodes").alias("other_nodes"), F.min("n").alias("lo"), F.max("n").alias("hi"),
+        F.max("met").alias("other_met"), F.collect_set("token").alias("tokens")), "blocks")
+    matrix = blocks.select("other", "part", "other_nodes", "lo", "hi", "other_met",
+                           F.explode("tokens").alias("token"))
+    spread = written(matrix.groupBy("token").agg(F.count(F.lit(1)).alias("blocks"),
+                                                 F.max(F.struct("other_nodes", "other")).alias("top")), "spread")
+    node = Window.partitionBy("doc", "n")
+    probes = (held.select("token", "doc", "n", "met", "block", "nodes").join(_small(spread), "token")
+              .withColumn("place", F.row_number().over(node.orderBy("blocks", "token")))
+              .withColumn("own", F.count(F.lit(1)).over(node))
+              .filter("block != top.other").drop("top", "blocks"))
+    need = _need_between("n", "lo", "hi", percent)
+    met = probes.join(matrix, "token").filter(
+        f"struct(nodes, block) < struct(other_nodes, other) and least(met, other_met) >= {need} "
+        f"and place <= own - {need} + 1")
+    return met.select("doc", "n", "other", "part").distinct(), blocks.select("other", "part", "lo", "hi", "tokens")
 
 
 def _block_visits(held: DataFrame, percent: int) -> DataFrame:
     """(block, part, x): nodes and the blocks of larger groups that their matrix bound lets qualify."""
-    return (_meetings(held, percent)
-            .groupBy("doc", "n", "other", "part", "lo", "hi").agg(F.count(F.lit(1)).alias("overlap"))
-            .filter(f"overlap >= {_need_between('n', 'lo', 'hi', percent)}")
+    candidates, blocks = _candidates(held, percent)
+    own = held.groupBy("doc", "n").agg(F.collect_set("token").alias("own"))
+    return (candidates.join(own, ["doc", "n"]).join(blocks, ["other", "part"])
+            .filter(F.size(F.array_intersect("own", "tokens")) >= F.expr(_need_between("n", "lo", "hi", percent)))
             .select(F.col("other").alias("block"), "part", F.col("doc").alias("x")).distinct())
