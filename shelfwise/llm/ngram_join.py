@@ -379,8 +379,8 @@ def _candidates(held: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(doc, n, other, part): nodes and blocks of larger groups that may share as many tokens as a link
     needs; and (other, part, lo, hi, tokens): each block's sizes and token union, its row of the matrix.
 
-    A node that shares ``need`` of its tokens with a block shares one of its first ``own - need + 1`` in any
-    order; those in the fewest blocks come first, and only they are looked up.
+    If a node and a block share ``need`` tokens, the first of them in any one order is among the first
+    ``own - need + 1`` tokens of each; tokens in the fewest blocks come first, and only those are looked up.
     """
     blocks = written(held.groupBy(F.col("block").alias("other"), "part").agg(
         F.max("nodes").alias("other_nodes"), F.min("n").alias("lo"), F.max("n").alias("hi"),
@@ -389,7 +389,10 @@ def _candidates(held: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
                            F.explode("tokens").alias("token"))
     spread = written(matrix.groupBy("token").agg(F.count(F.lit(1)).alias("blocks"),
                                                  F.max(F.struct("other_nodes", "other")).alias("top")), "spread")
-    node = Window.partitionBy("doc", "n")
+    node, whole = Window.partitionBy("doc", "n"), Window.partitionBy("other", "part")
+    matrix = (matrix.join(_small(spread.select("token", "blocks")), "token")
+              .withColumn("other_place", F.row_number().over(whole.orderBy("blocks", "token")))
+              .withColumn("other_own", F.count(F.lit(1)).over(whole)).drop("blocks"))
     probes = (held.select("token", "doc", "n", "met", "block", "nodes").join(_small(spread), "token")
               .withColumn("place", F.row_number().over(node.orderBy("blocks", "token")))
               .withColumn("own", F.count(F.lit(1)).over(node))
@@ -397,7 +400,7 @@ def _candidates(held: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     need = _need_between("n", "lo", "hi", percent)
     met = probes.join(matrix, "token").filter(
         f"struct(nodes, block) < struct(other_nodes, other) and least(met, other_met) >= {need} "
-        f"and place <= own - {need} + 1")
+        f"and place <= own - {need} + 1 and other_place <= other_own - {need} + 1")
     return met.select("doc", "n", "other", "part").distinct(), blocks.select("other", "part", "lo", "hi", "tokens")
 
 
