@@ -50,6 +50,39 @@ def test_urls(spark):
     assert url_filter.judge_urls(pages.limit(0)).count() == 0
 
 
+def test_every_word_of_the_pages_counts(spark):
+    """Words seen once split names however many others there are; names and model match a row-by-row build."""
+    def word(i):
+        return "q" + "".join("abcdefghij"[int(d)] for d in "%05d" % i) + "z"
+
+    rng = random.Random(11)
+    text = [[word(i) for i in range(k, 60_000, 40)] for k in range(40)]
+    urls = [f"http://{word(rng.randrange(60_000))}{word(rng.randrange(60_000))}xx{rng.choice(['cheap', 'lily', ''])}"
+            f".{rng.choice(['com/en', 'org/a', 'net/es/', 'example.com/en/'])}/{rng.choice(['stone', 'de3x', 'poker'])}"
+            for _ in range(40)]
+    pages = spark.createDataFrame([(i, u, "<b>" + " ".join(t) + " lily lily</b>")
+                                   for i, (u, t) in enumerate(zip(urls, text))],
+                                  "page_id long, url string, html string")
+    counts = Counter(w for t in text for w in [*t, "lily", "lily"])
+    for s in url_filter.SEEDS:
+        counts.setdefault(s, 1)
+    for s in ("com", "net", "org", "www"):
+        counts.setdefault(s, 1)
+    segmenter = url_filter.Segmenter(counts)
+    words, seen = {}, Counter()
+    for i, u in enumerate(urls):
+        host, path, rule = url_oracle(u)
+        words[i] = [w for n in url_filter.names_of(host, path) for w in segmenter.words(n)]
+        seen.update((rule[1], w) for w in words[i] if rule)
+    weights = url_filter.bayes(seen, url_filter.SEEDS, url_filter.RULES)
+    out = url_filter.judge_urls(pages).collect()
+    assert len(out) == 40
+    for r in out:
+        assert r.words == words[r.page_id]
+        assert sum(w[0] == "q" for w in r.words) == 2
+        assert math.isclose(r.score, 1 / (1 + math.exp(-sum(weights.get(w, 0) for w in r.words))), rel_tol=1e-9)
+
+
 def test_viterbi_is_the_best_split():
     counts = {"a": 5, "ab": 3, "b": 4, "ba": 2, "aba": 1, "cab": 6}
     s = url_filter.Segmenter(counts)
