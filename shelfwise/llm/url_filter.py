@@ -11,7 +11,8 @@ rule fits are judged by a multinomial naive Bayes model:
   the text of all pages (tags removed).  A piece that is not among them has a
   probability that falls with its length.
 * Training.  Every url that a rule decides counts as an example of its
-  verdict, and every word of ``seeds`` as ``SEED_WEIGHT`` blocked examples, so
+  verdict.  The odds of block of every word of ``seeds`` are multiplied by
+  ``SEED_ODDS`` on top of what is learned, however many examples there are, so
   that words no rule ever meets can block too.  The words of the rules
   themselves weigh nothing, as the examples were chosen by them, and for the
   same reason both verdicts have the same prior.  Words that no page holds
@@ -43,7 +44,8 @@ from pyspark.sql import functions as F
 from .common import lower_ascii, short_batches, written
 
 MAX_WORD_LENGTH = 24
-SEED_WEIGHT = 20
+# odds of block of a seed word, besides those learned; those of 20 blocked examples of a word no rule meets
+SEED_ODDS = 21
 # a key of more than 1 / HOT of the rows is looked up in a broadcast of at most HOT rows
 HOT = 1000
 # The rules of the query, as (host, path, verdict).
@@ -208,10 +210,9 @@ def bayes(counts: dict[tuple[str, str], int], seeds: Sequence[str], rules: Seque
     chosen_by = _chosen_by(rules)
     counts = {k: n for k, n in counts.items() if k[1] not in chosen_by}
     vocabulary = {w for _, w in counts} | set(seeds)
-    # without the seeds' examples, which would make every other word speak for allow
     total = {v: sum(n for (x, _), n in counts.items() if x == v) + len(vocabulary) for v in ("block", "allow")}
-    return {w: log_odds(counts.get(("block", w), 0) + SEED_WEIGHT * (w in seeds), counts.get(("allow", w), 0), total)
-            for w in sorted(vocabulary)}
+    return {w: log_odds(counts.get(("block", w), 0), counts.get(("allow", w), 0), total)
+            + math.log(SEED_ODDS) * (w in seeds) for w in sorted(vocabulary)}
 
 
 def weighed(words: DataFrame, seeds: Sequence[str], rules: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -223,9 +224,8 @@ def weighed(words: DataFrame, seeds: Sequence[str], rules: Sequence[tuple[str, s
     sums = words.agg(F.sum(block).alias("block"), F.sum(allow).alias("allow"),
                      F.count_if(met & ~seed).alias("words")).first()
     vocabulary = sums.words + len(set(seeds))
-    # without the seeds' examples, which would make every other word speak for allow
     total = {v: (sums[v] or 0) + vocabulary for v in ("block", "allow")}
-    weight = log_odds(block + F.when(seed, SEED_WEIGHT).otherwise(0), allow, total, F.log)
+    weight = log_odds(block, allow, total, F.log) + F.when(seed, math.log(SEED_ODDS)).otherwise(0.0)
     return words.withColumn("weight", F.when(met | seed, weight).otherwise(0.0))
 
 

@@ -111,6 +111,30 @@ def test_bayes_counts():
     assert math.isclose(w["x"], math.log(4 / 6) - math.log(2 / 8))
 
 
+@pytest.mark.parametrize("block, allow", [(9, 9), (13, 7), (0, 2), (3, 40)])
+def test_seeds_weigh_the_same_at_every_size(block, allow):
+    def weight(times):
+        counts = {("block", "pills"): block * times, ("allow", "pills"): allow * times,
+                  ("block", "lily"): 400 * times, ("allow", "stone"): 200 * times}
+        with_seed = url_filter.bayes(dict(counts), ["pills"], [])["pills"]
+        return with_seed - url_filter.bayes(dict(counts), [], [])["pills"]
+    assert math.isclose(weight(1), weight(100)) and weight(1) > 0
+
+
+def test_repeated_table_gives_the_same_verdicts(spark):
+    urls = ([f"http://cheap-pills.net/es/{i}" for i in range(9)] + [f"http://cheap-pills.com/{i}" for i in range(9)]
+            + ["http://lily.net/es/stone/rest/lily/stone"] * 30 + ["http://rest.com/the"] * 9
+            + ["http://cheap-pills.org/", "http://cheap-rest.org/the", "http://lily-stone.org/", "http://the-rest.org/",
+               "http://spamfarm.org/", "http://pills.org/the/rest"])
+    html = "<p>the rest of the lily and stone</p> with cheap lily stone pills"
+    pages = spark.createDataFrame([(i, u, html) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    many = pages.crossJoin(spark.range(100).select(F.col("id").alias("copy")))
+    once = {r.page_id: r.verdict for r in url_filter.judge_urls(pages).collect()}
+    out = url_filter.judge_urls(many).select("page_id", "verdict").collect()
+    assert len(out) == 100 * len(urls) and {(r.page_id, r.verdict) for r in out} == set(once.items())
+    assert once[len(urls) - 6] == "block" and once[len(urls) - 3] == "allow"
+
+
 # --- toxicity
 
 @pytest.fixture(scope="module")
