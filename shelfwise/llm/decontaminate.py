@@ -72,9 +72,10 @@ def winnowed(hashes: Column, window: int) -> Column:
 
 
 def _text_hash(text: Column) -> tuple[Column, Column]:
-    """128 bits that stand for a text, as columns t1 and t2."""
-    t = F.coalesce(text.cast("string"), F.lit(""))
-    return F.xxhash64(t).alias("t1"), F.xxhash64(t, F.lit(1)).alias("t2")
+    """The 128 bits of a text's MD5, which stand for it, as columns t1 and t2."""
+    digest = F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
+    return tuple(F.conv(F.substring(digest, at, 16), 16, -10).cast("long").alias(name)
+                 for at, name in ((1, "t1"), (17, "t2")))
 
 
 def _common_prefix(a: Column, b: Column, most: int) -> Column:

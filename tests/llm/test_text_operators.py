@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from shelfwise.llm import byte_bpe, chat_format, decontaminate, license_scan, line_dedup, ngram_join
 
@@ -275,6 +276,18 @@ def test_contamination(spark, documents, empty, broadcast_rows):
     assert {r[2] for r in rows_of(decontaminate.contamination(docs, bench.limit(0)), "doc_id", "n_words", "n_hit")} == {0}
 
 
+def test_texts_with_equal_64_bit_hashes_are_told_apart(spark):
+    """Two texts of one xxhash64, found by solving its second round; only the first holds the item."""
+    texts = ["lilypond".ljust(32) + "crossing".ljust(32), "fvguaoxu".ljust(32) + "SIqzf{*M".ljust(32)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "doc_id long, text string")
+    assert docs.select(F.xxhash64("text")).distinct().count() == 1
+    bench = spark.createDataFrame([(1, "lilypond")], "item_id long, text string")
+    out = decontaminate.contamination(docs, bench)
+    assert rows_of(out, "doc_id", "n_hit") == Counter((i, 1 - i % 2) for i in range(6))
+    clean = decontaminate.without_contaminated(docs, bench)
+    assert sorted(r.doc_id for r in clean.collect()) == [1, 3, 5]
+
+
 # --- n-gram join
 
 def jaccard_oracle(rows, n, percent):
