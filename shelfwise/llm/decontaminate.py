@@ -15,8 +15,9 @@ themselves: only real occurrences count, however the hashes collide.
 Native: tokens, hashes and winnowing are array functions in one scan, written
 as one row per document; the rest are joins on (hash) and (text hash).
 Documents with equal texts share one candidate, so copies are extended once.
-The fingerprints of the items are broadcast only up to ``broadcast_rows`` of
-them, and joined by a shuffle of (hash, text hash) rows beyond.
+The items' distinct hashes are broadcast only up to ``broadcast_rows`` of them,
+their fingerprint rows, which carry words, only up to ``broadcast_rows`` rows
+and BROADCAST_BYTES; beyond, each is joined by a shuffle.
 
 Cases: null or empty text has no words, is never hit and, as an item, has no
 window; items with equal words count separately by their ids; a null item id
@@ -34,8 +35,10 @@ from .common import WORD, lower_ascii, written
 
 SPAN = 10
 K = 5
-# fingerprint rows of 8 bytes that may be sent to every executor
+# hashes of 8 bytes, or fingerprint rows with their words, that may be sent to every executor
 BROADCAST_ROWS = 1_000_000
+# bytes of fingerprint rows, as Spark holds them, that may be sent to every executor
+BROADCAST_BYTES = 64 << 20
 # shares the copies of one text are dealt into
 SALTS = 16
 
@@ -134,6 +137,9 @@ def hit_texts(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_co
     item_grams = written(item_grams, "item-grams")
     hashes = item_grams.select("hash").distinct()
     n_hashes = hashes.count()
+    held = F.size("item_before") + F.size("item_from")
+    extent = item_grams.agg(F.count(F.lit(1)).alias("rows"), F.sum(
+        128 + 16 * held + F.octet_length(F.concat_ws("", "item_before", "item_from"))).alias("bytes")).first()
 
     words = F.col("words")
     all_runs = [gram_hashes(words, m) for m in short]
@@ -143,9 +149,8 @@ def hit_texts(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_co
                    .select("id", "t1", "t2", F.size("words").alias("n_words"),
                            F.array_distinct(F.concat(fingerprints(words), *all_runs)).alias("prints")),
                    "document-prints")
-    small = n_hashes <= broadcast_rows
     met = (rows.select("t1", "t2", F.explode("prints").alias("hash"))
-           .join(F.broadcast(hashes) if small else hashes, "hash", "left_semi"))
+           .join(F.broadcast(hashes) if n_hashes <= broadcast_rows else hashes, "hash", "left_semi"))
     found = written(met.groupBy("t1", "t2").agg(F.collect_set("hash").alias("hashes")), "met-prints")
 
     # salted, as one text may have any number of copies; one of them is kept
@@ -163,6 +168,7 @@ def hit_texts(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_co
             "t1", "t2", "p.at", "p.hash", _before(words, F.col("p.at"), window - 1).alias("before"),
             F.slice("words", F.col("p.at") + 1, F.lit(span)).alias("from"))
         places = p if places is None else places.unionByName(p)
+    small = extent.rows <= broadcast_rows and (extent.bytes or 0) <= BROADCAST_BYTES
     pairs = places.join(F.broadcast(item_grams) if small else item_grams, "hash")
     right = _common_prefix(F.col("from"), F.col("item_from"), span)
     left = _common_prefix(F.col("before"), F.col("item_before"), window - 1)

@@ -288,6 +288,25 @@ def test_texts_with_equal_64_bit_hashes_are_told_apart(spark):
     assert sorted(r.doc_id for r in clean.collect()) == [1, 3, 5]
 
 
+@pytest.mark.parametrize("limit", ["rows", "bytes"])
+def test_only_few_fingerprint_rows_are_broadcast(spark, monkeypatch, limit):
+    """Items that share a passage in contexts of their own have few hashes but many rows."""
+    passage = "the rest of the lily and stone with another thane over there " + " ".join(f"w{i}" for i in range(40))
+    items = [(i, f"{passage} c{i}") for i in range(60)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(i, f"x y {passage} z") for i in range(5)] + [(5, "x y z"), (6, items[0][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sent, broadcast = [], F.broadcast
+    monkeypatch.setattr(decontaminate.F, "broadcast", lambda df: sent.append((df.columns, df.count())) or broadcast(df))
+    if limit == "bytes":
+        monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 20_000)
+    most = decontaminate.BROADCAST_ROWS if limit == "bytes" else 250
+    out = decontaminate.contamination(docs, bench, broadcast_rows=most)
+    got = rows_of(out, "doc_id", "n_words", "n_hit", "n_items", "item_ids")
+    assert got == contamination_oracle(rows, items)
+    assert [columns for columns, _ in sent] == [["hash"]] and sent[0][1] <= 250
+
+
 # --- n-gram join
 
 def jaccard_oracle(rows, n, percent):
