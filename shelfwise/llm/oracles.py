@@ -131,6 +131,37 @@ SELECT doc_id, len(any_value(s)) AS n_shingles, min(b) AS component_id
 FROM sets JOIN reach ON a = doc_id GROUP BY doc_id"""
 
 
+def _op13(k: int = 40, rounds: int = 5) -> str:
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, min({{'d': d, 'c': c}}) AS m
+  FROM (SELECT r, vec_id, kept.v AS v, c, list_sum(list_transform(list_zip(kept.v, c{i}.v),
+               lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM kept, c{i}) GROUP BY r)""")
+        if i < rounds:
+            steps.append(f"""
+m{i} AS (
+  SELECT c, list((s - (s % n + n) % n) // n ORDER BY p)::BIGINT[] AS v
+  FROM (SELECT c, p, sum(x) AS s, count(*) AS n
+        FROM (SELECT m.c AS c, unnest(v) AS x, generate_subscripts(v, 1) AS p FROM a{i}) GROUP BY c, p) GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT c, coalesce(m{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN m{i} USING (c))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+  FROM (SELECT sha256('2:' || coalesce(vec_id::VARCHAR, 'null')) AS h, v FROM kept ORDER BY h, v LIMIT {k})),
+{",".join(steps)}
+SELECT vec_id, m.c::INTEGER AS cluster, m.d AS distance,
+       sum(m.d) OVER (PARTITION BY m.c)::BIGINT AS cluster_inertia, sum(m.d) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON m.c = c{rounds}.c"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_license_scan": _op1(), "op2_chat_format": OP2, "op7_decontamination": OP7,
-            "op8_ngram_jaccard_join": OP8, "op9_line_dedup": OP9}
+            "op8_ngram_jaccard_join": OP8, "op9_line_dedup": OP9,
+            "op13_centroid_clustering": _op13()}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, byte_bpe, chat_format, decontaminate, license_scan, line_dedup, ngram_join, sharding,
+from . import (ann, byte_bpe, centroids, chat_format, decontaminate, license_scan, line_dedup, ngram_join, sharding,
                toxicity, url_filter)
 from .common import read_table
 
@@ -84,7 +84,20 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings of 64 components in 40 clusters."""
+    assigned, table = centroids.cluster(read_table(spark, sf_dir, "embeddings"))
+    rows = table.collect()                                                        # at most 40
+    total = sum(r.inertia for r in rows)
+    digests = spark.createDataFrame(
+        [(r.cluster, r.inertia, total, centroids.components_sha256(r.components)) for r in rows],
+        "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
+    return assigned.join(F.broadcast(digests), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_chat_format, op3_byte_bpe, op4_url_filter, op5_toxicity, op6_sharding,
-        op7_decontamination, op8_ngram_jaccard_join, op9_line_dedup, op10_nearest_neighbours)}
+        op7_decontamination, op8_ngram_jaccard_join, op9_line_dedup, op10_nearest_neighbours,
+        op13_centroid_clustering)}
