@@ -145,8 +145,19 @@ def _vectors(batch: pa.RecordBatch, dims: int) -> np.ndarray:
         np.int64)
 
 
-def _cluster_sums(points: DataFrame, tree: Tree, dims: int) -> list:
-    """(cluster, n, sums) of every cluster that has vectors: at most k rows."""
+def _sums_batch(clusters: np.ndarray, n: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(clusters, pa.int32()), pa.array(n), pa.array(list(sums), pa.list_(pa.int64()))],
+        names=["cluster", "n", "sums"])
+
+
+def _cluster_sums(points: DataFrame, tree: Tree, dims: int) -> dict[int, tuple[int, list[int]]]:
+    """Per cluster that has vectors, their number and the sum of each component: at most k rows.
+
+    A task adds up its own vectors; one row per task and cluster is shuffled
+    by cluster and added up as it streams in, in two halves of 32 bits, which
+    cannot overflow.
+    """
     held = points.sparkSession.sparkContext.broadcast(tree)
 
     def partial(batches):
@@ -162,16 +173,22 @@ def _cluster_sums(points: DataFrame, tree: Tree, dims: int) -> list:
                 sums[who[order][first]] += np.add.reduceat(part[order], first, axis=0)
                 n += np.bincount(who, minlength=len(n))
         some = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some, pa.int32()), pa.array(n[some]), pa.array(list(sums[some]), pa.list_(pa.int64()))],
-            names=["cluster", "n", "sums"])
-
-    rows = points.select("vector").mapInArrow(partial, "cluster int, n long, sums array<long>")
-    out = rows.groupBy("cluster").agg(
-        F.sum("n").alias("n"),
-        F.array(*[F.sum(F.col("sums")[i].cast("decimal(38,0)")) for i in range(dims)]).alias("sums")).collect()
+        yield _sums_batch(some, n[some], sums[some])
+
+    def merged(batches):
+        n, halves = {}, {}
+        for b in batches:
+            for c, rows, s in zip(b.column(0).to_numpy(), b.column(1).to_numpy(), _vectors(b, dims)):
+                n[c] = n.get(c, 0) + rows
+                halves[c] = halves.get(c, 0) + np.concatenate([s >> 32, s & 0xFFFFFFFF])
+        if n:
+            yield _sums_batch(np.array(list(n)), np.array(list(n.values())), np.array(list(halves.values())))
+
+    schema = "cluster int, n long, sums array<long>"
+    out = (points.select("vector").mapInArrow(partial, schema).repartition("cluster")
+           .mapInArrow(merged, schema).collect())
     held.destroy()
-    return out
+    return {r.cluster: (r.n, [(hi << 32) + lo for hi, lo in zip(r.sums[:dims], r.sums[dims:])]) for r in out}
 
 
 def kept_vectors(rows: DataFrame, id_col: str, vector_col: str, dims: int, scale: int) -> DataFrame:
@@ -206,8 +223,8 @@ def cluster(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     start = points.orderBy(key, "vector").limit(k).collect()                       # k rows
     centroids = np.array([r.vector for r in start], np.int64).reshape(-1, dims)
     for _ in range(rounds if len(start) else 0):
-        for r in _cluster_sums(points, build(centroids), dims):
-            centroids[r.cluster] = [int(s) // r.n for s in r.sums]                 # floors below 0 too
+        for c, (n, sums) in _cluster_sums(points, build(centroids), dims).items():
+            centroids[c] = [s // n for s in sums]                                  # floors below 0 too
     held = spark.sparkContext.broadcast(build(centroids))
 
     def assign(batches):
