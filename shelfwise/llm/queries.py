@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, byte_bpe, centroids, chat_format, decontaminate, license_scan, line_dedup, ngram_join, sharding,
-               toxicity, url_filter)
+from . import (ann, byte_bpe, centroids, chat_format, decontaminate, license_scan, line_dedup, ngram_join, packing,
+               sharding, toxicity, url_filter)
 from .common import read_table
 
 SHARDS = 24
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+PACKING_VOCABULARY = "byte_bpe_50k.json"
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +85,13 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    pieces = packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_VOCABULARY))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset", "context", "step")
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings of 64 components in 40 clusters."""
     assigned, table = centroids.cluster(read_table(spark, sf_dir, "embeddings"))
@@ -100,4 +108,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_chat_format, op3_byte_bpe, op4_url_filter, op5_toxicity, op6_sharding,
         op7_decontamination, op8_ngram_jaccard_join, op9_line_dedup, op10_nearest_neighbours,
-        op13_centroid_clustering)}
+        op11_packing, op13_centroid_clustering)}
