@@ -131,6 +131,39 @@ SELECT doc_id, len(any_value(s)) AS n_shingles, min(b) AS component_id
 FROM sets JOIN reach ON a = doc_id GROUP BY doc_id"""
 
 
+OP12 = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^ \\t]+') AS w
+  FROM (SELECT lang, unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents)),
+grams AS MATERIALIZED (
+  SELECT lang, m, array_to_string(w[p + 1:p + m], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, m, w, unnest(range(len(w) - m + 1)) AS p FROM pieces, (SELECT unnest([1, 2, 3, 4]) AS m)
+        WHERE len(w) >= m) GROUP BY ALL),
+totals AS (SELECT lang, sum(f) AS n FROM grams WHERE m = 1 GROUP BY lang),
+candidates AS MATERIALIZED (
+  SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE m > 1 AND f >= 30),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates)),
+scored AS (
+  SELECT c.lang, c.phrase, a, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f + y.f) AS score,
+         row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY (2000000::HUGEINT * a) // (x.f + y.f), k) AS best
+  FROM cuts c JOIN grams x ON c.lang = x.lang AND c.first = x.phrase
+              JOIN grams y ON c.lang = y.lang AND c.rest = y.phrase),
+longer AS (
+  SELECT lang, phrase, max(a) AS most
+  FROM (SELECT lang, a, array_to_string(w[p + 1:p + size], ' ') AS phrase
+        FROM (SELECT lang, a, w, size, unnest(range(m - size + 1)) AS p
+              FROM (SELECT *, unnest(range(2, m)) AS size FROM candidates))) GROUP BY lang, phrase),
+ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM scored s LEFT JOIN longer USING (lang, phrase)
+  WHERE best = 1 AND (most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a))
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
 def _op13(k: int = 40, rounds: int = 5) -> str:
     steps = []
     for i in range(rounds + 1):
@@ -164,4 +197,4 @@ FROM a{rounds} JOIN c{rounds} ON m.c = c{rounds}.c"""
 def oracle_sql() -> dict[str, str]:
     return {"op1_license_scan": _op1(), "op2_chat_format": OP2, "op7_decontamination": OP7,
             "op8_ngram_jaccard_join": OP8, "op9_line_dedup": OP9,
-            "op13_centroid_clustering": _op13()}
+            "op12_phrase_mining": OP12, "op13_centroid_clustering": _op13()}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (ann, byte_bpe, centroids, chat_format, decontaminate, license_scan, line_dedup, ngram_join, packing,
-               sharding, toxicity, url_filter)
+               phrases, sharding, toxicity, url_filter)
 from .common import read_table
 
 SHARDS = 24
@@ -92,6 +92,11 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset", "context", "step")
 
 
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of each language of all documents."""
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings of 64 components in 40 clusters."""
     assigned, table = centroids.cluster(read_table(spark, sf_dir, "embeddings"))
@@ -108,4 +113,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_chat_format, op3_byte_bpe, op4_url_filter, op5_toxicity, op6_sharding,
         op7_decontamination, op8_ngram_jaccard_join, op9_line_dedup, op10_nearest_neighbours,
-        op11_packing, op13_centroid_clustering)}
+        op11_packing, op12_phrase_mining, op13_centroid_clustering)}
