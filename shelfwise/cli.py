@@ -5,7 +5,8 @@
   python -m shelfwise.cli attendance --log L --out DIR [--format csv|parquet]
         [--window-start TS --window-end TS]
   python -m shelfwise.cli check --snapshots S --categories C --store-city M --out DIR
-  python -m shelfwise.cli ingest --source FOLDER --table DIR [--name NAME]
+  python -m shelfwise.cli load --snapshots S --categories C --store-city M --out DIR [--batch ID] [--strict]
+  python -m shelfwise.cli ingest --source FOLDER --table DIR [--name NAME] [--strict]
 
 All take ``--multiline`` (CSV fields hold newlines) and ``--time-zone ZONE``
 (of dates and of times without zone; the session's zone, UTC by default).
@@ -15,7 +16,9 @@ All take ``--multiline`` (CSV fields hold newlines) and ``--time-zone ZONE``
 exports it as CSV and writes the seven reports.  ``attendance`` writes hours
 worked and, with a window, hours inside it.  ``check`` reports NOT NULL and
 key violations of the three inputs (one row per rule, a small report written
-from one task).  ``ingest`` loads new snapshot CSV files into a Parquet table
+from one task).  ``load`` commits the three CSV files to keyed tables under
+``DIR``; rows that break a key go to side tables, or with ``--strict`` fail
+the load of their table.  ``ingest`` does so for new snapshot CSV files,
 exactly once.  CSV input is parsed once, into Parquet in the staging folder,
 which is deleted at the end.  Paths may be local or any filesystem Spark
 reads; on a cluster they must be shared.
@@ -33,7 +36,7 @@ from .operators import analyses, attendance
 from .operators.quality import key_violations
 from .plans.city_insights import materialize, ordered
 from .session import build_session, release, staging_dir
-from .sources import csv_io, schemas
+from .sources import csv_io, keyed, schemas
 from .streaming.ingest import start_snapshot_ingest
 
 REPORTS = ["top_skus", "skus_by_city", "stockout_skus", "brand_revenue", "city_revenue",
@@ -81,9 +84,22 @@ def run_check(spark: SparkSession, a) -> None:
     csv_io.write_csv(report.coalesce(1), a.out)
 
 
+def run_load(spark: SparkSession, a) -> None:
+    """The three CSV files -> keyed tables; a load that is there already is left alone."""
+    for path, name, reader, rules in (
+            (a.snapshots, "inventory_snapshots", csv_io.read_snapshots, keyed.SNAPSHOTS),
+            (a.categories, "category_dim", csv_io.read_categories, keyed.CATEGORIES),
+            (a.store_city, "store_city", csv_io.read_store_city, keyed.STORE_CITY)):
+        rows = keyed.with_partition(reader(spark, path, multiline=a.multiline), rules)
+        found = keyed.load(rows, f"{a.out.rstrip('/')}/{name}", rules, a.batch, strict=a.strict)
+        print(f"{name}: " + ("loaded before" if found is None else
+                             f"{found['accepted']} rows loaded, {found['rejected']} rejected"))
+
+
 def run_ingest(spark: SparkSession, a) -> None:
-    """Snapshot CSV drops -> Parquet table, exactly once (processes what is there)."""
-    start_snapshot_ingest(spark, a.source, a.table, name=a.name, multiline=a.multiline).awaitTermination()
+    """Snapshot CSV drops -> keyed table, exactly once (processes what is there)."""
+    start_snapshot_ingest(spark, a.source, a.table, name=a.name, multiline=a.multiline,
+                          strict=a.strict).awaitTermination()
 
 
 def parser() -> argparse.ArgumentParser:
@@ -110,10 +126,18 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--store-city", required=True)
     c.add_argument("--out", required=True)
     c.add_argument("--format", choices=["csv", "parquet"], default="csv")
+    k = sub.add_parser("load")
+    k.add_argument("--snapshots", required=True)
+    k.add_argument("--categories", required=True)
+    k.add_argument("--store-city", required=True)
+    k.add_argument("--out", required=True)
+    k.add_argument("--batch", default="initial", help="name of this load; one that is there is not repeated")
     g = sub.add_parser("ingest")
     g.add_argument("--source", required=True, help="folder (or glob) receiving snapshot CSV files")
     g.add_argument("--table", required=True, help="Parquet table path")
     g.add_argument("--name", default="snapshot_ingest", help="stream name (checkpoint sub-folder)")
+    for command in (k, g):
+        command.add_argument("--strict", action="store_true", help="fail on the first rule that is broken")
     for command in sub.choices.values():
         command.add_argument("--multiline", action="store_true", help="CSV fields may hold newlines")
         command.add_argument("--time-zone", help="zone of dates and of times without zone")
@@ -129,7 +153,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     a.staging = f"{staging_dir(spark)}/cli/{uuid.uuid4().hex}"
     try:
         {"insights": run_insights, "attendance": run_attendance, "check": run_check,
-         "ingest": run_ingest}[a.cmd](spark, a)
+         "load": run_load, "ingest": run_ingest}[a.cmd](spark, a)
     finally:
         release(spark, a.staging)
 

@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from ..operators import analyses, attendance, insights, movement, pricing, quality
 from ..session import staging_dir
-from ..sources import csv_io, feeds, schemas
+from ..sources import csv_io, feeds, keyed, schemas
+from ..streaming.ingest import start_snapshot_ingest
 from .city_insights import build_city_insights, build_daily, materialize, ordered
 from .oracle import WINDOW_END, WINDOW_START
 
@@ -214,11 +215,37 @@ def csv_store_city(spark, sf_dir):
     return _round_trip(feeds.store_city_feed(spark, sf_dir), schemas.STORE_CITY_SCHEMA)
 
 
+def keyed_ingest(spark, sf_dir):
+    """Snapshot CSV drops loaded in two batches by the incremental ingest: the rows it accepted and rejected.
+
+    Besides the snapshots themselves, the first drop has those of SKU 1 again with
+    more stock and those of SKU 2 without a time; the second has those of each third store
+    again, and those of SKU 3 at a later time twice.
+    """
+    snap = feeds.snapshot_feed(spark, sf_dir)
+    base = f"{staging_dir(spark)}/keyed_ingest/{uuid.uuid4().hex}"
+    more = snap.filter("sku_id = 1").withColumn("inventory", (F.col("inventory") + 1000).cast("int"))
+    timeless = snap.filter("sku_id = 2").withColumn("created_at", F.lit(None).cast("timestamp"))
+    later = snap.filter("sku_id = 3").withColumn("created_at", F.col("created_at") + F.expr("interval 400 days"))
+    drops = [snap.unionByName(more).unionByName(timeless),
+             snap.filter("store_id % 3 = 0").unionByName(later).unionByName(later)]
+    for i, drop in enumerate(drops):
+        csv_io.write_csv(drop, f"{base}/drops/{i}")
+        start_snapshot_ingest(spark, f"{base}/drops/*", f"{base}/table").awaitTermination()
+    cols = ["created_at", "store_id", "sku_id", "inventory"]
+    table = keyed.read_table(spark, f"{base}/table", keyed.SNAPSHOTS)
+    rejects = keyed.read_rejects(spark, f"{base}/table", keyed.SNAPSHOTS)
+    out = table.select(*cols, F.col("batch").cast("int").alias("drop_no"), F.lit("accepted").alias("outcome"),
+                       F.lit(1).alias("copies")).unionByName(
+        rejects.select(*cols, F.col("batch").cast("int").alias("drop_no"), F.col("reason").alias("outcome"), "copies"))
+    return nullable_counts(comparable(out), "inventory")
+
+
 def queries() -> dict[str, Query]:
     plain = [inventory_movement, inventory_movement_split, direct_sales, avg_historical_sales, estimated_qty,
              stock_status, price_modes, city_level_agg, total_stores_per_city, city_insights, city_insights_split,
              ordered_insights, create_if_absent, hours_worked, hours_worked_split, hours_in_window, pair_swipes,
-             attendance_log, key_violations, csv_round_trip, csv_categories, csv_store_city]
+             attendance_log, key_violations, keyed_ingest, csv_round_trip, csv_categories, csv_store_city]
     reports = [analyses.top_skus, analyses.skus_by_city, analyses.stockout_skus, analyses.brand_revenue,
                analyses.city_revenue, analyses.category_revenue, analyses.discount_bands]
     return {f.__name__: f for f in [*plain, *map(_report, reports)]}

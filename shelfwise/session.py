@@ -10,7 +10,9 @@ import os
 import shutil
 import site
 import tempfile
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _SHIPPED: set[str] = set()      # applications that were sent this package
@@ -106,6 +108,62 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, with its folders."""
+    p, fs = _file_system(spark, path)
+    fs.create(p, True).close()
+
+
+def private_name(path: str) -> str:
+    """A name beside ``path``, on the same file system, that readers skip and nobody else has."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/_{name}-{uuid.uuid4().hex}" if folder or path.startswith("/") else f"_{name}-{uuid.uuid4().hex}"
+
+
+def commit_folder(spark: SparkSession, made: str, path: str) -> bool:
+    """Give the folder ``made`` the name ``path`` by one rename; False, and ``made`` is deleted, if the name is taken.
+
+    Of any number of callers with the same ``path`` one wins.  A file in the
+    folder tells whose it is afterwards, as some file systems move a folder
+    into one that is there instead of refusing.
+    """
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    src, fs = _file_system(spark, made)
+    dst, _ = _file_system(spark, path)
+    mark = f"_made-{uuid.uuid4().hex}"
+    touch(spark, f"{made}/{mark}")
+    if dst.getParent() is not None:
+        fs.mkdirs(dst.getParent())
+    error = None
+    if not fs.exists(dst):
+        rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        try:
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(
+                fs.makeQualified(src), fs.makeQualified(dst), gateway.new_array(rename, 0))
+        except Py4JJavaError as e:
+            error = e
+    own = jvm.org.apache.hadoop.fs.Path(dst, mark)
+    if fs.exists(own):
+        fs.delete(own, False)
+        return True
+    for stray in (jvm.org.apache.hadoop.fs.Path(dst, src.getName()), src):
+        fs.delete(stray, True)
+    if error is not None and not fs.exists(dst):
+        raise error
+    return False
+
+
+def remove_if_empty(spark: SparkSession, path: str, leftovers: set[str] = frozenset()) -> None:
+    """Remove a folder that holds nothing but ``leftovers``; one that got other files meanwhile stays."""
+    p, fs = _file_system(spark, path)
+    for name in leftovers:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(p, name), True)
+    try:
+        fs.delete(p, False)                              # not recursive: refuses a folder with files
+    except Py4JJavaError:
+        pass
+
+
 def release(spark: SparkSession, path: str) -> None:
     """Delete a table this library wrote between jobs."""
     p, fs = _file_system(spark, path)

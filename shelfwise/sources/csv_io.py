@@ -14,6 +14,8 @@ field belong to it.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,9 +54,10 @@ def _parsed(field: T.StructField) -> Column:
     return F.when(text.isNotNull() & value.isNull(), bad.cast(field.dataType)).otherwise(value).alias(field.name)
 
 
-def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Text columns cast to the declared types; a field that cannot be cast is an error."""
-    return df.select([_parsed(f) for f in schema.fields])
+def typed(df: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
+    """Text columns cast to the declared types, and the columns ``keep`` as they are; a field that cannot be cast
+    is an error."""
+    return df.select([_parsed(f) for f in schema.fields] + list(keep))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, *,

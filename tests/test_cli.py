@@ -55,7 +55,9 @@ def test_check_and_ingest(spark, scratch):
     assert rep[("inventory_snapshots", "unique:created_at,sku_id,store_id")] == 2
     assert rep[("store_city", "unique:store_id")] == 0
     cli.main(["ingest", "--source", paths["snap"], "--table", paths["table"], "--multiline"], spark=spark)
-    assert spark.read.parquet(paths["table"]).count() == snap.count() + 1
+    assert spark.read.parquet(paths["table"]).count() == snap.count()
+    rejects = keyed.read_rejects(spark, paths["table"], keyed.SNAPSHOTS)
+    assert [(r.reason, r.copies) for r in rejects.collect()] == [(keyed.IN_BATCH, 1)]
 
 
 def test_time_zone_decides_the_day(spark, scratch):
