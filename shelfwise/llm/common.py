@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package, staging_dir
+from ..session import release, ship_package, staging_dir
 
 # Fixed value: the word pattern of the license, toxicity and benchmark operators.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -27,13 +28,33 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_scratch: list[list[str]] = []     # tables written inside each open scratch_tables
+
+
+def write_table(df: DataFrame, name: str, *, keep: bool = False) -> str:
+    """Write ``df`` as Parquet to the shared folder; returns its path.  ``keep``: scratch_tables leaves it."""
+    path = f"{staging_dir(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if _scratch and not keep:
+        _scratch[-1].append(path)
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: cuts the
     lineage, so a lost executor never sends a job back behind this point."""
-    spark = df.sparkSession
-    path = f"{staging_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write_table(df, name))
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted at the end, when what was made of them must be written too."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            release(spark, path)
 
 
 # rows per Arrow batch: texts are long, and a batch is held several times on its way to Python and back

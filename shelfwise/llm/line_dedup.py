@@ -31,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import few_rows, short_batches, written
 
@@ -212,8 +213,8 @@ def without_lines(docs: DataFrame, drops: DataFrame, id_col: str = "doc_id", tex
                 [*b.columns[:-2], pa.array(cols[0], pa.binary()).cast(pa.string()), pa.array(cols[1], pa.int64()),
                  pa.array(cols[2], pa.int64())], names=[*others, text_col, *made])
 
-    schema = ", ".join([*(f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in others),
-                        f"`{text_col}` string", "n_lines long", "n_dropped long"])
+    schema = T.StructType([*(kept.schema[c] for c in others), T.StructField(text_col, T.StringType()),
+                           *(T.StructField(c, T.LongType()) for c in made)])
     return short_batches(joined).mapInArrow(keep, schema)
 
 

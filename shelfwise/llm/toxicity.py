@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import few_rows, short_batches
 
@@ -224,6 +225,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, *(pa.array(x, t) for x, t in zip(new, made.values()))], names=[*b.schema.names, *made])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields),
-                        "score double, predicted int, offending array<struct<sentence:int,score:double>>"])
+    offending = T.StructType().add("sentence", T.IntegerType()).add("score", T.DoubleType())
+    schema = T.StructType(list(kept.schema.fields)).add("score", T.DoubleType()).add("predicted", T.IntegerType()) \
+        .add("offending", T.ArrayType(offending))
     return short_batches(kept).mapInArrow(scored, schema)
