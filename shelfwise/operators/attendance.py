@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.intervals import clipped, interval_hours
 from ..functions.joins import DEFAULT_BROADCAST_ROWS
 from ..functions.ordering import pg_asc
-from .sequence import DEFAULT_SEGMENT_ROWS, add_segments, number_in_sequence
+from .sequence import DEFAULT_SEGMENT_ROWS, number_in_sequence, split_sequences
 
 KEYS = ["employee_id", "action"]
 IN, OUT = "In", "Out"
@@ -43,19 +43,17 @@ def _numbered(log: DataFrame, max_rows: int | None, broadcast_rows: int) -> tupl
     """Swipes numbered (``rn``) per (employee, action) in time order, and whether those without a time
     were left out.
 
-    One shuffle by employee serves the numbering and the pairing.  If an
-    (employee, action) has more than ``max_rows`` swipes, the sequences are
-    split instead, and swipes without a time, which no split can order, are
-    left to be counted.
+    One shuffle by employee serves the numbering and the pairing.  A log of
+    more than ``max_rows`` swipes has its long sequences split instead, and
+    swipes without a time, which no split can order, are left to be counted.
     """
     rows = _pairing(log)
-    if max_rows and log.count() > max_rows:
-        hot = rows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > max_rows)
-        if not hot.isEmpty():
-            timed, seg_cols = add_segments(rows.filter(F.col("created_at").isNotNull()), KEYS, "created_at",
-                                           max_rows, broadcast_rows)
-            return number_in_sequence(timed, KEYS, "created_at", seg_cols).select(*KEYS, "rn", "created_at"), True
-    return number_in_sequence(rows.repartition("employee_id"), KEYS, "created_at", []), False
+    total = log.count() if max_rows else 0
+    if max_rows and total > max_rows:
+        timed = rows.filter(F.col("created_at").isNotNull())
+        segments = split_sequences(timed, KEYS, "created_at", (), max_rows, broadcast_rows, row_bound=total)
+        return number_in_sequence(timed, KEYS, "created_at", segments).select(*KEYS, "rn", "created_at"), True
+    return number_in_sequence(rows.repartition("employee_id"), KEYS, "created_at"), False
 
 
 def number_swipes(log: DataFrame, *, max_rows_per_segment: int | None = DEFAULT_SEGMENT_ROWS,

@@ -32,34 +32,32 @@ ATTRIBUTES = ["city_name", "category_id", "sub_category_id", "sku_name", "brand_
 
 
 def daily_grain(sales: DataFrame, seg_cols: list[str] | None = None) -> DataFrame:
-    """``direct_sales`` output by (store, sku, day, attributes, prices), or finer where hot pairs were split.
+    """``direct_sales`` output by (store, sku, day, attributes, prices).
 
     rows: snapshots; in_stock: 1 if the store had stock that day; units:
     estimated units counted once; fanned_units: counted ``n`` times.
 
-    Without split pairs the sums per pair and store-day are windows over the
-    aggregated rows, in the LEAD's partitioning: no shuffle of its own.  With
-    them (``seg_cols``, the columns they were split on) a pair's rows stay
-    apart: those sums are aggregated partially per segment, and joined.
+    The sums per pair and store-day are windows over the aggregated rows, in
+    the LEAD's partitioning: no shuffle of its own.  Where long sequences were
+    split (``seg_cols``, the columns they were split on) the rows are
+    aggregated per segment first, and what that leaves, no longer one row per
+    snapshot, is shuffled to its pair and aggregated again.
     """
-    seg_cols = seg_cols or []
     inv, nxt = F.col("inventory"), F.col("next_inventory")
-    rows = sales.groupBy(*STORE_DAY, *seg_cols, *ATTRIBUTES).agg(
+    rows = sales.groupBy(*STORE_DAY, *(seg_cols or []), *ATTRIBUTES).agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum("direct_qty_sold"), F.lit(0)).cast("long").alias("_drops"),
         F.count("direct_qty_sold").alias("_drop_rows"),
         F.sum(F.when(nxt > inv, 1).otherwise(0)).cast("long").alias("_rises"),
         F.max(F.when(inv > 0, 1).otherwise(0)).alias("_stock"))
     if seg_cols:
-        pair = rows.groupBy(*PAIR).agg(F.sum("_drops").alias("_pair_drops"), F.sum("_drop_rows").alias("_pair_rows"))
-        day = rows.groupBy(*STORE_DAY).agg(F.sum("rows").alias("_n"), F.max("_stock").alias("in_stock"))
-        rows = rows.join(pair, PAIR).join(day, STORE_DAY)
-    else:
-        w, d = Window.partitionBy(*PAIR), Window.partitionBy(*STORE_DAY)
-        rows = (rows.withColumn("_pair_drops", F.sum("_drops").over(w))
-                    .withColumn("_pair_rows", F.sum("_drop_rows").over(w))
-                    .withColumn("_n", F.sum("rows").over(d))
-                    .withColumn("in_stock", F.max("_stock").over(d)))
+        rows = rows.repartition(*PAIR).groupBy(*STORE_DAY, *ATTRIBUTES).agg(
+            *[F.sum(c).alias(c) for c in ("rows", "_drops", "_drop_rows", "_rises")], F.max("_stock").alias("_stock"))
+    w, d = Window.partitionBy(*PAIR), Window.partitionBy(*STORE_DAY)
+    rows = (rows.withColumn("_pair_drops", F.sum("_drops").over(w))
+                .withColumn("_pair_rows", F.sum("_drop_rows").over(w))
+                .withColumn("_n", F.sum("rows").over(d))
+                .withColumn("in_stock", F.max("_stock").over(d)))
     mean = mean16(F.col("_pair_drops"), F.col("_pair_rows"))
     n = F.when(F.col("city_name").isNull(), F.lit(1)).otherwise(F.col("_n"))
 

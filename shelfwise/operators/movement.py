@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
 from ..functions.numeric import MEAN_TYPE, mean16
-from .sequence import DEFAULT_SEGMENT_ROWS, add_segments, lead_in_sequence
+from .sequence import DEFAULT_SEGMENT_ROWS, SEGMENT, lead_in_sequence, split_sequences
 
 PAIR = ["store_id", "sku_id"]
 MOVEMENT_COLUMNS = [
@@ -27,11 +27,11 @@ def split_movement(snap: DataFrame, store_city: DataFrame, *,
                    max_rows_per_segment: int | None = DEFAULT_SEGMENT_ROWS,
                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                    snapshot_rows: int | None = None) -> tuple[DataFrame, list[str]]:
-    """``inventory_movement`` with the columns hot pairs were split on, which are returned too.
+    """``inventory_movement`` with the columns long sequences were split on, which are returned too.
 
     Later stages group on them, so the LEAD partitioning is reused without
     another shuffle.  ``snapshot_rows`` (the row count of ``snap``, counted
-    here if not given) bounds the group sizes for the hot-pair check.
+    here if not given) bounds the sequence lengths.
     """
     m = attach_city(snap, store_city, broadcast_rows).select(
         F.col("created_at"),
@@ -42,13 +42,13 @@ def split_movement(snap: DataFrame, store_city: DataFrame, *,
         F.col("l2_category_id").alias("sub_category_id"),
         "sku_name", "brand_id", "brand", "image_url", "mrp", "selling_price",
         "city_name", "inventory")
-    bound = None
+    segments = None
     if max_rows_per_segment:
-        bound = snapshot_rows if snapshot_rows is not None else snap.count()
-    m, seg_cols = add_segments(m, PAIR, "created_at", max_rows_per_segment, broadcast_rows, row_bound=bound)
-    moved = lead_in_sequence(m, PAIR, "created_at", ["inventory"], seg_cols)
+        segments = split_sequences(m, PAIR, "created_at", ["inventory"], max_rows_per_segment, broadcast_rows,
+                                   row_bound=snap.count() if snapshot_rows is None else snapshot_rows, source=snap)
+    moved = lead_in_sequence(m, PAIR, "created_at", ["inventory"], segments)
     return moved.withColumn("next_event_time", F.col("next_created_at").cast("timestamp_ntz")) \
-                .drop("next_created_at"), seg_cols
+                .drop("next_created_at"), [SEGMENT] if segments else []
 
 
 def inventory_movement(snap: DataFrame, store_city: DataFrame, **options) -> DataFrame:

@@ -77,7 +77,7 @@ def inventory_movement(spark, sf_dir):
 
 
 def inventory_movement_split(spark, sf_dir):
-    """``inventory_movement`` with every pair of more than SPLIT_ROWS snapshots split."""
+    """``inventory_movement`` with long sequences split at about SPLIT_ROWS snapshots."""
     return _movement(_moves(spark, sf_dir, max_rows_per_segment=SPLIT_ROWS))
 
 
@@ -126,7 +126,7 @@ def city_insights(spark, sf_dir):
 
 
 def city_insights_split(spark, sf_dir):
-    """``city_insights`` with every pair of more than SPLIT_ROWS snapshots split."""
+    """``city_insights`` with long sequences split at about SPLIT_ROWS snapshots."""
     return comparable(_insights(spark, sf_dir, max_rows_per_segment=SPLIT_ROWS))
 
 
@@ -162,7 +162,7 @@ def hours_worked(spark, sf_dir):
 
 
 def hours_worked_split(spark, sf_dir):
-    """``hours_worked`` with every sequence of more than SPLIT_ROWS swipes split."""
+    """``hours_worked`` with long sequences split at about SPLIT_ROWS swipes."""
     return comparable(attendance.hours_worked(feeds.attendance_feed(spark, sf_dir),
                                               max_rows_per_segment=SPLIT_ROWS))
 
@@ -172,6 +172,12 @@ def hours_in_window(spark, sf_dir):
     return comparable(attendance.hours_in_window(log, WINDOW_START, WINDOW_END))
 
 
+def hours_in_window_split(spark, sf_dir):
+    """``hours_in_window`` with long sequences split at about SPLIT_ROWS swipes."""
+    log = feeds.attendance_feed(spark, sf_dir)
+    return comparable(attendance.hours_in_window(log, WINDOW_START, WINDOW_END, max_rows_per_segment=SPLIT_ROWS))
+
+
 def pair_swipes(spark, sf_dir):
     return comparable(attendance.pair_swipes(feeds.attendance_feed(spark, sf_dir)))
 
@@ -244,8 +250,8 @@ def keyed_ingest(spark, sf_dir):
 def queries() -> dict[str, Query]:
     plain = [inventory_movement, inventory_movement_split, direct_sales, avg_historical_sales, estimated_qty,
              stock_status, price_modes, city_level_agg, total_stores_per_city, city_insights, city_insights_split,
-             ordered_insights, create_if_absent, hours_worked, hours_worked_split, hours_in_window, pair_swipes,
-             attendance_log, key_violations, keyed_ingest, csv_round_trip, csv_categories, csv_store_city]
+             ordered_insights, create_if_absent, hours_worked, hours_worked_split, hours_in_window,
+             hours_in_window_split, pair_swipes, attendance_log, key_violations, keyed_ingest, csv_round_trip, csv_categories, csv_store_city]
     reports = [analyses.top_skus, analyses.skus_by_city, analyses.stockout_skus, analyses.brand_revenue,
                analyses.city_revenue, analyses.category_revenue, analyses.discount_bands]
     return {f.__name__: f for f in [*plain, *map(_report, reports)]}

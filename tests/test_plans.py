@@ -51,14 +51,17 @@ def test_estimated_qty_is_one_exchange_and_one_scan(spark, scratch):
     assert len(re.findall(r"^\(\d+\) Scan parquet", p, re.M)) == 1
 
 
-def test_split_lead_path_adds_only_segment_summary_shuffles(spark):
-    """Hot keys: rows shuffle once on (store, sku, segment); the rest is summary rows."""
+def test_split_lead_path_is_one_exchange_of_the_rows(spark):
+    """Long sequences: rows shuffle once on (store, sku, segment); their boundaries are broadcast, with the
+    values the segment before needs.  The daily grain shuffles what it has aggregated once more."""
     snap, city, _ = frames(spark)
-    m = exchanges(plan(movement.inventory_movement(snap, city, max_rows_per_segment=2)))
-    seg = "hashpartitioning(store_id, sku_id, __segment, 4)"
-    # rows for the window; the summary's partial aggregate; the summary back to the rows' partitioning.
-    # (Other exchanges listed belong to the small persisted segment table.)
-    assert [x for x in _strip(m) if "segment" in x] == [seg, seg, seg], m
+    moves, seg = movement.split_movement(snap, city, max_rows_per_segment=2)
+    p = plan(moves)
+    split = "hashpartitioning(store_id, sku_id, __segment, 4)"
+    assert _strip(exchanges(p)) == [split], p
+    assert "InMemoryTableScan" not in p and p.count("Join") <= 4, p
+    p = plan(daily_grain(movement.direct_sales(moves), seg))
+    assert _strip(exchanges(p)) == sorted([split, PAIR]) and "SortMergeJoin" not in p, p
 
 
 def test_written_grain_is_not_shuffled_by_pair_again(spark):
