@@ -5,20 +5,27 @@
    word, all but the first) are proposed too.
 2. A full pass over all texts counts every occurrence of the proposed phrases
    and of their *negative border*: all words, and all phrases both of whose
-   parts are proposed.  These counts are exact.
-3. Frequent phrases of the border are failures of the sample: they are
-   proposed as well, and a further full pass counts the border they add, until
-   no failure is left.  Every frequent phrase has frequent parts, so by then
-   each has been counted.  That takes at most ``max_words`` passes; the sample
-   decides how many, never the result.
-
-Phrases are keys as text throughout.  What a task asks of the proposed phrases
-is a Bloom filter over their 64-bit hashes, 12 bits each: a false positive
-counts a phrase more, it never loses one.  The filter grows with the proposed
-phrases up to ``MAX_FILTER_BITS`` (32 MB).  Beyond that a pass is made in
-slices by the hash of a phrase's first word, each with its own filter of that
-size; a slice checks the part without the last word only, as the other one
-belongs to another slice.  Counts are the same.
+   parts are proposed.  Frequent phrases of the border are failures of the
+   sample.
+3. A second full pass expands the failures and gives the counted phrases their
+   text.  It counts, by text, the frequent phrases of the first pass, and all
+   phrases of frequent words that contain a failure.  No further pass can find
+   more: a frequent phrase that the first pass left out has a smallest part
+   that was not proposed; the parts of that one were, so it was counted in the
+   border, is frequent, and so is one of the failures.
+
+The sample decides how much is counted, never the result.  Counts of the first
+pass are by 64-bit hash, so one may be that of two phrases; those of the second
+pass, the results, are by text.
+
+What a task asks of a set of phrases is a Bloom filter, 12 bits each: a false
+positive counts a phrase more, it never loses one.  Filters grow with the sets
+up to ``MAX_FILTER_BITS`` (32 MB).  Beyond that a pass is made in slices by the
+hash of a phrase's first word, each with its own filter of that size (in the
+first pass a slice checks the part without the last word only, as the other
+one belongs to another slice); the filters of frequent words and of failures
+then hold more than 12 bits can tell apart, and more is counted.  Results are
+the same.
 
 A phrase scores floor(scale * a / (l + r)) at the cut into two parts where that
 is lowest, a, l and r being the counts of the phrase and the parts.  Candidates
@@ -49,7 +56,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, few_rows, short_batches, written
 
-MIN_COUNT, MAX_WORDS, SCALE, COVER = 30, 4, 2_000_000, 80
+MIN_COUNT, SCALE, COVER = 30, 2_000_000, 80
 NO_LANGUAGE = "und"
 SAMPLE, SEED = 1 / 8, 11
 FILTER_BITS_EACH, MAX_FILTER_BITS, PROBES = 12, 1 << 28, 3
@@ -61,62 +68,64 @@ PIECE_ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _FOLD = bytes.maketrans(UPPER.encode() + PIECE_ENDS + BLANKS,
                         LOWER.encode() + b"." * len(PIECE_ENDS) + b" " * len(BLANKS))
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+# A phrase's key: 54 bits of hash, 8 bits of its first word's, its number of words less one.
+_HASH, _FIRST = np.uint64((1 << 64) - (1 << 10)), np.uint64(0xFF)
+MOST_SLICES, MOST_WORDS = 256, 4
 
 
-def _joined(first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Hash of a phrase from those of the phrase without its last word and of that word."""
-    h = first * _ODD + last
+def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * _MIX
     return h ^ (h >> np.uint64(29))
 
 
+def _joined(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hash of a phrase from those of the phrase without its last word and of that word."""
+    return _mixed(first * _ODD + last)
+
+
+def _keys(first_words: np.ndarray, hashes: np.ndarray, words: int) -> np.ndarray:
+    return hashes & _HASH | (first_words >> np.uint64(56)) << np.uint64(2) | np.uint64(words - 1)
+
+
+def _slice_of(keys: np.ndarray, slices: int) -> np.ndarray:
+    return (keys >> np.uint64(2) & _FIRST) % np.uint64(slices)
+
+
 def _word_hashes(language: str, words: list[bytes]) -> np.ndarray:
     seed = xxhash.xxh64_intdigest(language)
     return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
-def _positions(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
-    step = (hashes >> np.uint64(32)) * _ODD | np.uint64(1)
-    return [(hashes + np.uint64(i) * step & np.uint64(bits - 1)).astype(np.int64) for i in range(PROBES)]
-
-
-def _slice_of(first_words: np.ndarray, slices: int) -> np.ndarray:
-    return (first_words >> np.uint64(40)) % np.uint64(slices)
+def _positions(keys: np.ndarray, bits: int) -> list[np.ndarray]:
+    h = _mixed(keys * _ODD)
+    step = h >> np.uint64(32) | np.uint64(1)
+    return [(h + np.uint64(i) * step & np.uint64(bits - 1)).astype(np.int64) for i in range(PROBES)]
 
 
 @dataclass
 class Filter:
-    """Bloom filter of phrases."""
+    """Bloom filter of phrases by key."""
     flags: np.ndarray          # packed bits
 
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.ones(len(hashes), bool)
-        for p in _positions(hashes, len(self.flags) * 8):
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        out = np.ones(len(keys), bool)
+        for p in _positions(keys, len(self.flags) * 8):
             out &= (self.flags[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool)
         return out
 
 
-def _filter(phrases: DataFrame, bits: int, slices: int, number: int) -> Filter:
-    """Filter of the phrases (lang, phrase) of one slice; at most ``bits`` / 8 bytes come to the driver."""
+def _filter(keys: DataFrame, bits: int, slices: int = 1, number: int = 0) -> Filter:
+    """Filter of the keys (key long) of one slice; at most ``bits`` / 8 bytes come to the driver."""
 
     def positions(batches):
-        for b in few_rows(batches, 20_000):
-            languages, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            out = []
-            for language, text in zip(languages, texts):
-                words = _word_hashes(language, text.encode().split(b" "))
-                if _slice_of(words[:1], slices)[0] == number:
-                    h = words[:1]
-                    for w in words[1:]:
-                        h = _joined(h, w)
-                    out.append(h)
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(_positions(np.concatenate(out), bits)))], names=["bit"])
+        for b in few_rows(batches, 50_000):
+            k = b.column(0).to_numpy().view(np.uint64)
+            k = k[_slice_of(k, slices) == number]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(_positions(k, bits)))], names=["bit"])
 
     # Spark's bitmap functions count positions from 1
     at = F.col("bit") + 1
-    maps = (phrases.select("lang", "phrase").mapInArrow(positions, "bit long")
+    maps = (keys.select("key").mapInArrow(positions, "bit long")
             .groupBy(F.bitmap_bucket_number(at).alias("part"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect())
     flags = np.zeros(bits // 8, np.uint8)
@@ -127,13 +136,17 @@ def _filter(phrases: DataFrame, bits: int, slices: int, number: int) -> Filter:
     return Filter(flags)
 
 
-def _filters(phrases: DataFrame, max_bits: int) -> Iterator[tuple[Filter, int, int]]:
-    """(filter, slice, slices) of the phrases; one slice unless they need more than ``max_bits``."""
-    need = max(1 << 16, phrases.count() * FILTER_BITS_EACH)
-    slices = -(-need // max_bits)
-    bits = 1 << min(-(-need // slices) - 1, max_bits - 1).bit_length()
+def _bits(keys: DataFrame) -> int:
+    """Bits of a filter of these keys (a power of two)."""
+    return 1 << (max(1 << 16, keys.count() * FILTER_BITS_EACH) - 1).bit_length()
+
+
+def _slices(keys: DataFrame, max_bits: int) -> Iterator[tuple[Filter, int, int]]:
+    """(filter, slice, slices) of the keys; one slice unless they need more than ``max_bits``."""
+    need = _bits(keys)
+    slices = min(MOST_SLICES, max(1, need // max_bits))
     for number in range(slices):
-        yield _filter(phrases, bits, slices, number), number, slices
+        yield _filter(keys, min(need // slices, max_bits), slices, number), number, slices
 
 
 def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -149,119 +162,177 @@ def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return words.indices.to_numpy(), piece, words.dictionary
 
 
-def count_phrases(language: str, texts: list[bytes], known: Filter | None, fresh: Filter | None, levels: range,
-                  number: int = 0, slices: int = 1) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """(words, phrases, counts) per level of the texts' phrases both of whose parts are ``known``, if told
-    only of those one of whose parts is ``fresh``.
-
-    Level 0 is one empty phrase, counted as often as there are words; single words have no parts.
-    """
+def border_counts(language: str, texts: list[bytes], known: Filter | None, levels: range, number: int = 0,
+                  slices: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(keys, counts) per level of the texts' phrases both of whose parts are ``known``; words have no parts."""
     word, piece, distinct = _words(texts)
-    if 0 in levels:
-        yield 0, pa.array([b""], pa.large_binary()), np.array([len(word)])
     if not len(word):
         return
     hashes = of_word = _word_hashes(language, distinct.to_pylist())
-    own = _slice_of(of_word, slices) == number
+    first = np.arange(len(distinct))                          # first word of each phrase of the level
+    keys = _keys(of_word, hashes, 1)
+    own = _slice_of(keys, slices) == number
     if 1 in levels:
-        yield 1, distinct.filter(pa.array(own)), np.bincount(word, minlength=len(distinct))[own]
+        yield keys[own], np.bincount(word, minlength=len(distinct))[own]
     # gram: the phrase of the last level that begins at each word, -1 where none does or it is not known
-    phrases, gram = distinct, np.where(own, np.arange(len(own)), -1)[word]
+    gram = np.where(own[word], word, -1)
     for m in range(2, levels[-1] + 1):
-        ok = known.has(hashes)
-        new = np.ones(len(ok), bool) if fresh is None or slices > 1 else fresh.has(hashes)
-        gram = np.where((gram >= 0) & ok[gram], gram, -1)
-        at = np.flatnonzero((gram[:len(word) - m + 1] >= 0) & (piece[:len(word) - m + 1] == piece[m - 1:]))
+        gram = np.where((gram >= 0) & known.has(keys)[gram], gram, -1)
+        begin = len(word) - m + 1
+        at = np.flatnonzero((gram[:max(begin, 0)] >= 0) & (piece[:max(begin, 0)] == piece[m - 1:]))
         if slices == 1:
             at = at[gram[at + 1] >= 0]
         if not len(at):
             return
-        last = word[at + m - 1]
-        code, keys = pd.factorize(gram[at] * np.int64(len(distinct)) + last)
-        n = np.bincount(code)
-        some = np.empty(len(keys), np.int64)                 # a place of each phrase
-        some[code] = at
-        first, last = np.divmod(keys, len(distinct))
-        news = new[first] | (new[gram[some + 1]] if slices == 1 else True)
-        phrases = pc.binary_join_element_wise(
-            phrases.take(pa.array(first)), distinct.take(pa.array(last)), pa.scalar(b" ", pa.large_binary()))
-        hashes = _joined(hashes[first], of_word[last])
+        code, pairs = pd.factorize(gram[at] * np.int64(len(distinct)) + word[at + m - 1])
+        part, last = np.divmod(pairs, len(distinct))
+        hashes, first = _joined(hashes[part], of_word[last]), first[part]
+        keys = _keys(of_word[first], hashes, m)
         gram = np.full(len(word), -1)
         gram[at] = code
         if m in levels:
-            yield m, phrases.filter(pa.array(news)), n[news]
+            yield keys, np.bincount(code)
+
 
+@dataclass
+class Found:
+    """What the first pass found: frequent phrases (of one slice), frequent words, failures."""
+    frequent: Filter
+    words: Filter
+    failures: Filter
+    number: int
+    slices: int
 
-def _counted(docs: DataFrame, known: DataFrame | None, fresh: DataFrame | None, levels: range, least: int,
-             max_filter_bits: int) -> DataFrame:
-    """(lang, phrase, words, n), written: exact counts, of ``least`` and more, of one pass over ``docs``."""
-    context = docs.sparkSession.sparkContext
-    new = next(_filters(fresh, max_filter_bits), None) if fresh is not None else None
-    # a filter of failures that needs slices is left out: their whole border is counted again
-    news = new[0] if new and new[2] == 1 else None
-    out = None
-    for flt, number, slices in _filters(known, max_filter_bits) if known is not None else [(None, 0, 1)]:
-        held = context.broadcast((flt, news))
 
-        def count(batches, held=held, number=number, slices=slices):
-            def of(texts: dict[str, list[bytes]]):
-                for language, own in texts.items():
-                    for m, phrases, n in count_phrases(language, own, *held.value, levels, number, slices):
-                        if m or number == 0:
-                            made = pa.RecordBatch.from_arrays(
-                                [pa.array([language]).take(pa.array(np.zeros(len(n), np.int32))),
-                                 phrases.cast(pa.binary()).cast(pa.string()),
-                                 pa.array(np.full(len(n), m, np.int32)), pa.array(n, pa.int64())],
-                                names=["lang", "phrase", "words", "n"])
-                            yield from few_rows([made], 50_000)
+def text_counts(language: str, texts: list[bytes], found: Found, max_words: int
+                ) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """(words, phrases, counts) of the texts' phrases of frequent words that are frequent or contain a failure.
 
+    Level 0 is one empty phrase, counted as often as there are words.
+    """
+    word, piece, distinct = _words(texts)
+    if found.number == 0:
+        yield 0, pa.array([b""], pa.large_binary()), np.array([len(word)])
+    if not len(word):
+        return
+    of_word = _word_hashes(language, distinct.to_pylist())
+    keys = _keys(of_word, of_word, 1)
+    often = found.words.has(keys)
+    own = (_slice_of(keys, found.slices) == found.number)
+    named = often & own & found.frequent.has(keys)
+    n = np.bincount(word, minlength=len(distinct))
+    yield 1, distinct.filter(pa.array(named)), n[named]
+
+    width = np.int64(len(distinct))
+    hashes, failed = of_word[word], found.failures.has(keys)[word]
+    at = np.flatnonzero(often[word])                          # phrases of frequent words of the level begin here
+    pair, pairs, code = np.full(len(word), -1), None, None
+    for m in range(2, max_words + 1):
+        at = at[at < len(word) - m + 1]
+        at = at[often[word[at + m - 1]] & (piece[at] == piece[at + m - 1])]
+        if not len(at):
+            return
+        last = word[at + m - 1]
+        if m == 2:                                            # longer phrases are told apart by their pairs
+            code, pairs = pd.factorize(word[at] * width + last)
+            pair[at] = code
+        longer = _joined(hashes[at], of_word[last])
+        begins = of_word[word[at]]
+        keys = _keys(begins, longer, m)
+        bad = failed[at] | failed[at + 1]
+        if m < max_words:
+            bad |= found.failures.has(keys)
+        take = found.frequent.has(keys) | bad
+        if found.slices > 1:
+            take &= _slice_of(keys, found.slices) == found.number
+        hashes[at], failed[at] = longer, bad
+        some = at[take]
+        if not len(some):
+            continue
+        codes = [pair[some]] if m == 2 else [pair[some], word[some + 2]] if m == 3 else [pair[some], pair[some + 2]]
+        code, which = pd.factorize(codes[0] if m == 2 else codes[0] * np.int64(max(len(pairs), width)) + codes[1])
+        place = np.empty(len(which), np.int64)                # a place of each phrase
+        place[code] = some
+        phrases = pc.binary_join_element_wise(*(distinct.take(pa.array(word[place + i])) for i in range(m)),
+                                              pa.scalar(b" ", pa.large_binary()))
+        yield m, phrases, np.bincount(code)
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
+    """Texts by language, about GROUP_BYTES at once."""
+    texts, size = {}, 0
+    for b in batches:
+        for language, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            texts.setdefault(language, []).append(text)
+            size += len(text)
+        if size >= GROUP_BYTES:
+            yield from texts.items()
             texts, size = {}, 0
-            for b in batches:
-                for language, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    texts.setdefault(language, []).append(text)
-                    size += len(text)
-                if size >= GROUP_BYTES:
-                    yield from of(texts)
-                    texts, size = {}, 0
-            yield from of(texts)
-
-        part = docs.mapInArrow(count, "lang string, phrase string, words int, n long") \
-                   .groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")) \
-                   .filter((F.col("words") == 0) | (F.col("n") >= least))
-        part = written(part, "phrases")
+    yield from texts.items()
+
+
+def _border(docs: DataFrame, known: DataFrame | None, levels: range, least: int, max_filter_bits: int) -> DataFrame:
+    """(key, n), written: the phrases that reach ``least`` of those that ``border_counts`` counts in all texts."""
+    context, out = docs.sparkSession.sparkContext, None
+    for flt, number, slices in _slices(known, max_filter_bits) if known is not None else [(None, 0, 1)]:
+        held = context.broadcast(flt)
+
+        def count(batches, held=held, number=number, slices=slices):
+            for language, texts in _groups(batches):
+                for keys, n in border_counts(language, texts, held.value, levels, number, slices):
+                    yield from few_rows([pa.RecordBatch.from_arrays(
+                        [pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], names=["key", "n"])], 50_000)
+
+        part = written(docs.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+                       .filter(F.col("n") >= least), "phrase-keys")
         held.destroy()
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def _propose(sample: DataFrame, max_words: int, least: int, max_filter_bits: int) -> DataFrame:
-    """(lang, phrase, words) of fewer than ``max_words`` words that reach ``least`` in the sample, level by level."""
-    out = None
-    for m in range(1, max(max_words, 2)):
-        own = _counted(sample, out, None, range(m, m + 1), least, max_filter_bits).select("lang", "phrase", "words")
-        out = own if out is None else out.unionByName(own)
+def _named(docs: DataFrame, counted: DataFrame, known: DataFrame, min_count: int, max_words: int,
+           max_filter_bits: int) -> DataFrame:
+    """(lang, phrase, words, n): the second pass."""
+    context, out = docs.sparkSession.sparkContext, None
+    size = F.col("key").bitwiseAND(F.lit(3)) + 1
+    words = counted.filter(size == 1)
+    failures = written(counted.filter(size < max_words).join(known, "key", "left_anti"), "phrase-failures")
+    small = [_filter(x, min(_bits(x), max_filter_bits)) for x in (words, failures)]
+    for flt, number, slices in _slices(counted, max_filter_bits):
+        held = context.broadcast(Found(flt, *small, number, slices))
+
+        def count(batches, held=held):
+            for language, texts in _groups(batches):
+                for m, phrases, n in text_counts(language, texts, held.value, max_words):
+                    yield from few_rows([pa.RecordBatch.from_arrays(
+                        [pa.array([language]).take(pa.array(np.zeros(len(n), np.int32))),
+                         phrases.cast(pa.binary()).cast(pa.string()), pa.array(np.full(len(n), m, np.int32)),
+                         pa.array(n, pa.int64())], names=["lang", "phrase", "words", "n"])], 50_000)
+
+        part = written(docs.mapInArrow(count, "lang string, phrase string, words int, n long")
+                       .groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
+                       .filter((F.col("words") == 0) | (F.col("n") >= min_count)), "phrase-counts")
+        held.destroy()
+        out = part if out is None else out.unionByName(part)
     return out
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", *, min_count: int = MIN_COUNT,
-                     max_words: int = MAX_WORDS, sample: float = SAMPLE, seed: int = SEED,
+                     max_words: int = MOST_WORDS, sample: float = SAMPLE, seed: int = SEED,
                      max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
-    """(lang, phrase, words, n) of every phrase of up to ``max_words`` words that occurs ``min_count`` times or
-    more, and per language one row with an empty phrase and no words: its number of words."""
+    """(lang, phrase, words, n) of every phrase of up to ``max_words`` (at most 4) words that occurs ``min_count``
+    times or more, and per language one row with an empty phrase and no words: its number of words."""
+    if not 1 <= max_words <= MOST_WORDS or max_filter_bits & (max_filter_bits - 1):
+        raise ValueError("phrases have 1 to 4 words, and max_filter_bits is a power of two")
     texts = short_batches(docs.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text")))
-    some = written(texts.sample(sample, seed), "phrase-sample")
-    known = _propose(some, max_words, max(1, round(min_count * sample / 2)), max_filter_bits)
-    counts = last = _counted(texts, known, None, range(0, max_words + 1), min_count, max_filter_bits)
-    while True:
-        failed = written(last.filter((F.col("words") > 0) & (F.col("words") < max_words))
-                         .join(known, ["lang", "phrase"], "left_anti").select("lang", "phrase", "words"), "failures")
-        if failed.isEmpty():
-            return counts.groupBy("lang", "phrase", "words").agg(F.max("n").alias("n"))
-        known = known.unionByName(failed)
-        last = _counted(texts, known, failed, range(2, max_words + 1), min_count, max_filter_bits)
-        counts = counts.unionByName(last)
+    some, least, known = written(texts.sample(sample, seed), "phrase-sample"), max(1, round(min_count * sample / 2)), None
+    for m in range(1, max(max_words, 2)):
+        own = _border(some, known, range(m, m + 1), least, max_filter_bits).select("key")
+        known = own if known is None else known.unionByName(own)
+    counted = _border(texts, known, range(1, max_words + 1), min_count, max_filter_bits)
+    return _named(texts, counted, known, min_count, max_words, max_filter_bits)
 
 
 def _part(first, words):
@@ -275,7 +346,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     A phrase inside a longer one that occurs at least ``cover`` percent as
     often is dropped.  ``mining``: the options of ``frequent_phrases``.
     """
-    counts = written(frequent_phrases(docs, text_col, lang_col, **mining), "phrase-counts")
+    counts = frequent_phrases(docs, text_col, lang_col, **mining)
     totals = counts.filter("words = 0").select("lang", F.col("n").alias("n"))
     known = counts.filter("words > 0").select("lang", "phrase", "n")
     # words hold no blanks, so a phrase gives them back

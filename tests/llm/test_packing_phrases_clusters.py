@@ -171,7 +171,7 @@ def corpus(spark):
 
 @pytest.mark.parametrize("options", [
     {"min_count": 30}, {"min_count": 3, "sample": 0.5}, {"min_count": 12, "sample": 0.02, "seed": 4},
-    {"min_count": 5, "max_filter_bits": 1 << 12}])
+    {"min_count": 5, "max_filter_bits": 1 << 14}])
 def test_phrases_match_brute_force(corpus, options):
     """Whatever the sample proposes, and with filters too small for one slice."""
     rows, df = corpus
@@ -184,6 +184,9 @@ def test_phrase_cases(corpus):
     top = sorted(map(tuple, phrases.collocations(df, top=3, min_count=5).collect()))
     assert top == mined(rows, 5, top=3)
     assert phrases.collocations(df.limit(0)).count() == 0
+    for wrong in ({"max_words": 5}, {"max_filter_bits": 1000}):
+        with pytest.raises(ValueError):
+            phrases.frequent_phrases(df, **wrong)
     two = {tuple(r) for r in phrases.frequent_phrases(df, max_words=2, min_count=40).select("lang", "phrase").collect()}
     assert ("en", "same old") in two and ("und", "") in two and ("xx", "one two") in two
 
