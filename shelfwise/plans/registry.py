@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ..operators import analyses, attendance, insights, movement, pricing, quality
 from ..session import staging_dir
 from ..sources import csv_io, feeds, keyed, schemas
+from ..sources import ordered as stored
 from ..streaming.ingest import start_snapshot_ingest
 from .city_insights import build_city_insights, build_daily, materialize, ordered
 from .oracle import WINDOW_END, WINDOW_START
@@ -135,6 +136,24 @@ def ordered_insights(spark, sf_dir):
     return comparable(ordered(_insights(spark, sf_dir)))
 
 
+def _stored_in_order(df: DataFrame, name: str, by: list[str]) -> DataFrame:
+    spark = df.sparkSession
+    path = f"{staging_dir(spark)}/{name}/{uuid.uuid4().hex}"
+    stored.write_ordered(df, path, by)
+    return stored.with_position(stored.read_ordered(spark, path, df.schema))
+
+
+def ordered_table(spark, sf_dir):
+    """``city_insights`` stored in its presentation order and read without a sort, with each row's place."""
+    return comparable(_stored_in_order(_insights(spark, sf_dir), "ordered_table", ["date", "city_name", "sku_id"]))
+
+
+def ordered_log(spark, sf_dir):
+    """Swipes stored by employee and time (then action) and read without a sort, with each row's place."""
+    return comparable(_stored_in_order(feeds.attendance_feed(spark, sf_dir), "ordered_log",
+                                       ["employee_id", "created_at", "action"]))
+
+
 def create_if_absent(spark, sf_dir):
     """``city_insights`` as a table that is created twice: the second time builds nothing."""
     path = f"{staging_dir(spark)}/create_if_absent/{uuid.uuid4().hex}"
@@ -250,8 +269,9 @@ def keyed_ingest(spark, sf_dir):
 def queries() -> dict[str, Query]:
     plain = [inventory_movement, inventory_movement_split, direct_sales, avg_historical_sales, estimated_qty,
              stock_status, price_modes, city_level_agg, total_stores_per_city, city_insights, city_insights_split,
-             ordered_insights, create_if_absent, hours_worked, hours_worked_split, hours_in_window,
-             hours_in_window_split, pair_swipes, attendance_log, key_violations, keyed_ingest, csv_round_trip, csv_categories, csv_store_city]
+             ordered_insights, ordered_table, ordered_log, create_if_absent, hours_worked, hours_worked_split,
+             hours_in_window, hours_in_window_split, pair_swipes, attendance_log, key_violations, keyed_ingest,
+             csv_round_trip, csv_categories, csv_store_city]
     reports = [analyses.top_skus, analyses.skus_by_city, analyses.stockout_skus, analyses.brand_revenue,
                analyses.city_revenue, analyses.category_revenue, analyses.discount_bands]
     return {f.__name__: f for f in [*plain, *map(_report, reports)]}
