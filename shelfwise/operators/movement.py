@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
-from ..functions.numeric import MEAN_TYPE, mean16
+from ..functions.numeric import MEAN_TYPE, pg_mean
 from .sequence import DEFAULT_SEGMENT_ROWS, SEGMENT, lead_in_sequence, split_sequences
 
 PAIR = ["store_id", "sku_id"]
@@ -74,7 +74,7 @@ def avg_historical_sales(sales: DataFrame) -> DataFrame:
     return (sales.filter(F.col("direct_qty_sold").isNotNull())
                  .groupBy(*PAIR)
                  .agg(F.sum("direct_qty_sold").alias("_s"), F.count("direct_qty_sold").alias("_n"))
-                 .select(*PAIR, mean16(F.col("_s"), F.col("_n")).alias("avg_sold")))
+                 .select(*PAIR, pg_mean(F.col("_s"), F.col("_n")).alias("avg_sold")))
 
 
 def _estimate(mean: Column) -> Column:
@@ -96,7 +96,7 @@ def estimated_qty(sales: DataFrame, split: bool = False) -> DataFrame:
         return sales.join(avg_historical_sales(sales), PAIR, "left") \
                     .withColumn("est_qty_sold_per_record", _estimate(F.col("avg_sold")))
     w = Window.partitionBy(*PAIR)
-    mean = mean16(F.sum("direct_qty_sold").over(w), F.count("direct_qty_sold").over(w))
+    mean = pg_mean(F.sum("direct_qty_sold").over(w), F.count("direct_qty_sold").over(w))
     return sales.withColumn("avg_sold", mean) \
                 .withColumn("est_qty_sold_per_record", _estimate(F.col("avg_sold")))
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.joins import DEFAULT_BROADCAST_ROWS
 from ..functions.ordering import pg_asc
-from ..operators.insights import city_insights, city_level_agg, daily_grain, total_stores_per_city
+from ..operators.insights import city_insights, city_roll_up, daily_grain, total_stores_per_city
 from ..operators.movement import direct_sales, split_movement
 from ..operators.pricing import price_modes
 from ..operators.sequence import DEFAULT_SEGMENT_ROWS
@@ -54,7 +54,7 @@ def build_daily(snap: DataFrame, store_city: DataFrame, **options) -> DataFrame:
 def insights_of(daily: DataFrame, categories: DataFrame, *, dedupe: bool = False,
                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """city_insights of a written daily grain (unsorted)."""
-    agg = city_level_agg(daily, price_modes(daily, weight="rows"), dedupe=dedupe)
+    agg = city_roll_up(daily, price_modes(daily, weight="rows"), dedupe=dedupe)
     return city_insights(agg, total_stores_per_city(daily), categories, broadcast_rows=broadcast_rows)
 
 

@@ -157,20 +157,85 @@ def test_large_drop_and_large_means(spark, split):
         assert as_rows(got, cols) == as_rows(want, cols), name
 
 
+def pg_mean_of(total, count):
+    """avg of integers as PostgreSQL rounds it: the quotient of two numerics of base-10000 digits."""
+    from decimal import Decimal, localcontext
+
+    def first(x):
+        digits = []
+        while x:
+            x, d = divmod(x, 10_000)
+            digits.append(d)
+        return len(digits) - 1, digits[-1]
+
+    (w1, d1), (w2, d2) = first(total), first(count)
+    places = max(16 - 4 * (w1 - w2 - (d1 <= d2)), 0)
+    with localcontext() as ctx:
+        ctx.prec = 80
+        return (Decimal(total) / count).quantize(Decimal(1).scaleb(-places), rounding="ROUND_HALF_UP"), places
+
+
 def test_units_contribution_is_exact(spark):
     from decimal import Decimal, localcontext
 
-    from shelfwise.functions.numeric import mean16, units_contribution
+    from shelfwise.functions.numeric import carried, pg_mean, units_contribution
     cases = [(7, 10**15, 3, 15_000, 10_001), (10**5, 3, 10**6, 2**31 - 1, 1), (1, 0, 5, 0, 0), (3, 2, 0, 7, 6),
-             (999_999, 10**9 + 7, 123_457, 2**31 - 2, 3)]
+             (999_999, 10**9 + 7, 123_457, 2**31 - 2, 3), (10**6, 0, 10**10, 10**9 + 7, 10**9)]
     df = spark.createDataFrame(cases, "n long, d long, r long, s long, c long")
-    got = df.select("n", "d", "r", "s", "c", units_contribution(
-        F.col("n"), F.col("d"), F.col("r"), mean16(F.col("s"), F.col("c"))).alias("u")).collect()
+    both = units_contribution(F.col("n"), F.col("d"), F.col("r"), pg_mean(F.col("s"), F.col("c")))
+    got = df.select("n", "d", "r", "s", "c", *[x.alias(n) for n, x in zip(("w", "f"), both)],
+                    *[x.alias(n) for n, x in zip(("cw", "cf"), carried(*both))]).collect()
     with localcontext() as ctx:
         ctx.prec = 60
         for r in got:
-            mean = ((Decimal(r.s) / r.c).quantize(Decimal(1).scaleb(-16), rounding="ROUND_HALF_UP") if r.c else 0)
-            assert r.u == r.n * (r.d + r.r * mean)
+            want = r.n * (r.d + r.r * (pg_mean_of(r.s, r.c)[0] if r.c else Decimal(0)))
+            assert r.w + r.f == want == r.cw + r.cf and 0 <= r.cf < 1
+
+
+def test_means_have_the_places_of_postgres(spark):
+    """20, 16, 12, 8 places; ties at the last one go up; the whole range of 32-bit means."""
+    import random
+
+    from shelfwise.functions.numeric import mean_places, pg_mean
+    rng = random.Random(4)
+    cases = [(1, 1), (5, 5), (3, 2), (7, 3), (10_000, 1), (10_000, 3), (20_000, 3), (9999, 10_000 - 1), (2**31 - 1, 1),
+             (2**31 - 1, 7), (10**8 + 1, 3), (19_999, 10_000), (20_001, 10_000), (10_001, 10_000), (2**62, 2**61 + 1),
+             (2**32 + 1, 2**32), (3 * 10**12 + 1, 2**21)]
+    cases += [(c * rng.randint(1, 10**rng.randint(0, 8)) + rng.randint(0, c), c)
+              for c in (rng.randint(1, 10**rng.randint(1, 9)) for _ in range(400))]
+    cases += [(c + 2 * i + 1, c) for c in (2**17, 2**21, 2**25) for i in range(40)]      # finite: ties at 16 places
+    df = spark.createDataFrame(cases + [(0, 0), (None, None)], "s long, c long")
+    rows = df.select("s", "c", pg_mean(F.col("s"), F.col("c")).alias("m"),
+                     F.when(F.col("c") > 0, mean_places(F.col("s"), F.col("c"))).alias("p")).collect()
+    seen = set()
+    for r in rows:
+        if not r.c:
+            assert r.m is None
+            continue
+        want, places = pg_mean_of(r.s, r.c)
+        assert (r.m, r.p) == (want, places), r
+        seen.add(places)
+    assert seen >= {20, 16, 12, 8}
+
+
+def test_a_tie_rounds_at_the_mean_s_places(spark):
+    """Means whose 12th, 16th or 20th place decides the cents of the sales."""
+    from decimal import Decimal
+
+    from shelfwise.functions.numeric import carried, money, pg_mean, units_contribution
+    # mean * rises * price lands on half a cent only with the right number of places
+    cases = [(s, c, r, p) for s, c in ((10**4 + 1, 3 * 10**3), (10_001, 3), (200_000, 3), (5, 3), (2, 3000), (30_001, 30_000))
+             for r in (3, 6, 3000, 15_000) for p in ("0.50", "0.05", "1.50", "99999999.99") if s >= c]
+    df = spark.createDataFrame([(*x[:3], Decimal(x[3])) for x in cases], "s long, c long, r long, p decimal(10,2)")
+    whole, frac = carried(*units_contribution(F.lit(1).cast("long"), F.lit(0).cast("long"), F.col("r"),
+                                              pg_mean(F.col("s"), F.col("c"))))
+    other = 0
+    for r in df.select("*", money(whole, frac, F.col("p")).alias("m")).collect():
+        units = r.r * pg_mean_of(r.s, r.c)[0]
+        assert r.m == (units * r.p).quantize(Decimal("0.01"), rounding="ROUND_HALF_UP"), r
+        at16 = r.r * (Decimal(r.s) / r.c).quantize(Decimal(1).scaleb(-16), rounding="ROUND_HALF_UP")
+        other += r.m != (at16 * r.p).quantize(Decimal("0.01"), rounding="ROUND_HALF_UP")
+    assert other                                              # 16 places everywhere would differ
 
 
 def test_dimensions_too_big_to_broadcast_give_same_result(spark):
