@@ -177,6 +177,43 @@ def test_toxicity_learns_from_bags(labelled):
     assert by_id[None] > 0.7 and not next(r.held for r in out if r.doc_id is None)
 
 
+def brute_toxicity(text, weights, bias):
+    """Noisy-or of the sentences' logistic scores, byte by byte from the definition."""
+    letters = set(b"0123456789abcdefghijklmnopqrstuvwxyz") | set(range(128, 256))
+    clean, sentence, word = 1.0, [], b""
+    for byte in (text or "").encode() + b".":
+        byte += 32 if 65 <= byte <= 90 else 0
+        if byte in letters:
+            word += bytes([byte])
+            continue
+        if word:
+            own = [word + b"$"] + [word[:n] for n in (4, 5, 6) if len(word) >= n]
+            sentence.append(sum(weights.get(f, 0.0) for f in own))
+        word = b""
+        if byte in b".!?\n":
+            if any(sentence):
+                clean *= 1 - 1 / (1 + math.exp(-(bias + sum(sentence))))
+            sentence = []
+    return 1 - clean
+
+
+def test_toxicity_scores_match_the_definition(spark, labelled, documents):
+    docs, labels = labelled[2:]
+    model = toxicity.fit(docs, labels)
+    assert model.weights
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + documents[0]
+    rng = random.Random(6)
+    words = [f.rstrip(b"$").decode(errors="ignore") for f in model.weights] + ["plain", "Ünder", "é", "7"]
+    rows += [(10_000 + i, "".join(rng.choice(words).upper() if rng.random() < 0.2 else rng.choice(words) +
+                                  rng.choice([" ", ". ", "!", "\n", "-", "…", "es "]) for _ in range(rng.randint(0, 30))))
+             for i in range(300)]
+    out = toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()
+    for r in out:
+        assert math.isclose(r.score, brute_toxicity(r.text, model.weights, model.bias), abs_tol=1e-9), r
+        assert r.predicted == int(r.score >= 0.7)
+    assert len(out) == len(rows) and {r.predicted for r in out} == {0, 1}
+
+
 def test_toxicity_never_sees_held_out_labels(labelled):
     _, _, docs, labels = labelled
     model = toxicity.fit(docs, labels)
