@@ -19,9 +19,9 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
 
     Both are counted by one distributed job on that side (partial sums per
     task): 16 bytes a column, with the UTF-8 length of texts and 48 bytes an
-    element of lists.  If the
-    side is larger, it is returned unhinted: the join becomes a shuffle join,
-    and AQE may still convert it from runtime statistics.
+    element of lists.  If the side is larger, it is returned unhinted: the
+    join becomes a shuffle join, and AQE may still convert it from runtime
+    statistics.
     """
     if max_rows <= 0:
         return df

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shelfwise.cli import main
 from shelfwise.operators import quality
 from shelfwise.session import commit_folder, list_names
-from shelfwise.sources import csv_io, keyed, schemas
+from shelfwise.sources import csv_io, keyed
 from shelfwise.sources.tables import create_table_if_absent
 from shelfwise.streaming.ingest import start_snapshot_ingest
 
