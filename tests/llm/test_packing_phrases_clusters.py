@@ -9,7 +9,6 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shelfwise.llm import centroids, packing, phrases
